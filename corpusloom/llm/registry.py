@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import language, line_dedup, mixing, quality, simhash
+from corpusloom.llm import language, line_dedup, media, mixing, pieces, quality, simhash
 from corpusloom.llm.common import table
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_media_shards": lambda s, d: media.query(table(s, d, "documents")),
         "op4_simhash_dedup": lambda s, d: simhash.query(table(s, d, "documents")),
         "op6_source_mixing": lambda s, d: mixing.query(table(s, d, "documents")),
         "op7_line_dedup": lambda s, d: line_dedup.query(table(s, d, "documents")),
+        "op8_piece_sampling": lambda s, d: pieces.query(table(s, d, "documents")),
         "op9_quality_rules": lambda s, d: quality.query(table(s, d, "documents"), table(s, d, "labels")),
         "op10_language_id": lambda s, d: language.query(table(s, d, "documents")),
     }
