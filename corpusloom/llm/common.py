@@ -24,3 +24,17 @@ def ascii_lower(c: Column) -> Column:
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+def seeded_sample(rows: DataFrame, key: Column, size: int, seed: str, total: int | None = None) -> DataFrame:
+    """``size`` rows at most, those of the smallest seeded hashes of ``key``.
+
+    ``total`` (counted if not given) sets the share of hashes that takes part
+    at all, twice what ``size`` needs, so tasks don't each send ``size`` rows.
+    """
+    total = rows.count() if total is None else total
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    unit = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 2**32
+    share = min(1.0, max(2 * size, 200) / max(total, 1))
+    others = [c for c, kind in rows.dtypes if kind != "map"]
+    return rows.where(unit < share).orderBy(digest, *others).limit(size)

@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import language, line_dedup, media, mixing, pieces, quality, simhash
+from corpusloom.llm import ann, language, line_dedup, lm, media, mixing, pieces, quality, simhash, toolcalls
 from corpusloom.llm.common import table
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_recurrent_lm": lambda s, d: lm.query(table(s, d, "documents")),
+        "op2_tool_calls": lambda s, d: toolcalls.query(table(s, d, "conversations")),
         "op3_media_shards": lambda s, d: media.query(table(s, d, "documents")),
         "op4_simhash_dedup": lambda s, d: simhash.query(table(s, d, "documents")),
+        "op5_forest_neighbours": lambda s, d: ann.query(table(s, d, "embeddings")),
         "op6_source_mixing": lambda s, d: mixing.query(table(s, d, "documents")),
         "op7_line_dedup": lambda s, d: line_dedup.query(table(s, d, "documents")),
         "op8_piece_sampling": lambda s, d: pieces.query(table(s, d, "documents")),
@@ -23,4 +26,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mixing": mixing.SQL, "op7_line_dedup": line_dedup.SQL}
+    return {"op2_tool_calls": toolcalls.SQL, "op6_source_mixing": mixing.SQL, "op7_line_dedup": line_dedup.SQL}

@@ -42,9 +42,9 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
     return np.add.reduce(bits, axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
 
 
-def fingerprint(text: str | None, words: int = SHINGLE) -> int:
+def fingerprint(text: bytes, words: int = SHINGLE) -> int:
     """The 64-bit SimHash of a whole text, unsigned; 0 for a text without words."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    found = text.lower().split()
     if not found:
         return 0
     joined = b" ".join(found)
@@ -63,7 +63,7 @@ def fingerprint(text: str | None, words: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(__id, __th, __fp) of every row; ``__th`` is a hash of the text."""
     rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    rows = rows.select("__id", F.xxhash64("__text").alias("__th"), "__text")
+    rows = rows.select("__id", F.xxhash64("__text").alias("__th"), F.col("__text").cast("binary").alias("__text"))
 
     def run(batches):
         for b in batches:
@@ -164,7 +164,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, c
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """(__id, __th, __fp, __component) of every row.
+    """(__id, __th, __fp, __group, __component) of every row.
+
+    ``__group`` tells components apart, those of rows with null ids included.
 
     ``__component`` is the smallest id reachable over links. Null text counts
     as empty; texts without words share fingerprint zero and link like any
@@ -177,9 +179,21 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = connected_components(links(distinct.select("__fp"), max_bits))
     named = roots.join(distinct, roots["node"] == distinct["__fp"])
     named = named.groupBy("root").agg(F.min("__min").alias("__component"))
-    named = roots.join(named, "root").select(F.col("node").alias("__fp"), "__component")
-    all_fp = distinct.join(named, "__fp", "left").select("__fp", F.coalesce("__component", "__min").alias("__component"))
-    return rows.join(all_fp, "__fp").select("__id", "__th", "__fp", "__component")
+    named = roots.join(named, "root").select(F.col("node").alias("__fp"), F.col("root").alias("__group"), "__component")
+    all_fp = distinct.join(named, "__fp", "left").select("__fp", F.coalesce("__group", F.xxhash64("__fp")).alias("__group"), F.coalesce("__component", "__min").alias("__component"))
+    return rows.join(all_fp, "__fp").select("__id", "__th", "__fp", "__group", "__component")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id (a null id only if there is no other)."""
+    rows = components(docs, id_col, text_col, max_bits)
+    best = rows.groupBy("__group").agg(F.min(F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"), F.col("__th").alias("t"))).alias("__b"), F.count(F.lit(1)).alias("__n"))
+    best = best.select(F.col("__b.i").alias("__id"), F.col("__b.t").alias("__th"), (F.col("__n") > 1).alias("__many"))
+    both = docs.withColumn("__t", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    both = both.join(best, both[id_col].eqNullSafe(best["__id"]) & (both["__t"] == best["__th"]))
+    # rows with one id and one text could both be the chosen one, in groups of several rows only
+    many = both.where("__many").dropDuplicates(["__id", "__t"])
+    return both.where(~F.col("__many")).unionByName(many).select(*docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:
