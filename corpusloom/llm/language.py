@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import fold
+from corpusloom.llm.common import fold, seeded_sample
 
 FOLDS, HELD_OUT = 5, 0
 WINDOW = 256
@@ -112,15 +112,16 @@ def fit(texts: list[bytes], langs: list[str], rounds: int = 6, batch: int = 128,
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, seed: str = "lang-1") -> ByteCnn:
     """Fits on ``sample`` documents at most, outside the held-out fold, two windows of each.
 
-    A window starts at a seeded position. Null texts, languages and ids do not
+    A window starts at a seeded position; the second one has a seeded length,
+    so that short texts are learned too. Null texts, languages and ids do not
     take part. What is collected is bounded by the sample.
     """
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col("__id").cast("string")).cast("binary"))
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.col(lang_col).alias("__lang"))
     rows = rows.where(F.col("__id").isNotNull() & F.col("__lang").isNotNull() & F.col("__text").rlike(r"\p{L}") & (fold(F.col("__id"), FOLDS) != HELD_OUT))
     span = F.greatest(F.char_length("__text") - WINDOW + 1, F.lit(1))
-    cuts = [F.substring("__text", F.pmod(F.xxhash64("__id", F.lit(i)), span.cast("long")).cast("int") + 1, F.lit(WINDOW)).alias(f"__w{i}") for i in range(2)]
-    got = rows.select("__id", "__lang", *cuts).orderBy(order, "__id", "__lang").limit(sample).toPandas()
+    short = F.pmod(F.xxhash64("__id", F.lit("length")), F.lit(WINDOW - 16)).cast("int") + 16
+    cuts = [F.substring("__text", F.pmod(F.xxhash64("__id", F.lit(i)), span.cast("long")).cast("int") + 1, size).alias(f"__w{i}") for i, size in enumerate((F.lit(WINDOW), short))]
+    got = seeded_sample(rows.select("__id", "__lang", *cuts), F.col("__id"), sample, seed, docs.count()).toPandas()
     texts = [t.encode("utf-8", "replace") for i in range(2) for t in got[f"__w{i}"]]
     return fit(texts, list(got["__lang"]) * 2)
 
@@ -132,7 +133,7 @@ def predicted(docs: DataFrame, model: ByteCnn, id_col: str = "doc_id", text_col:
     nothing was learned. Repeated rows come back repeated; an empty table
     gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("__id"), F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col)).alias("__text"))
+    rows = docs.select(F.col(id_col).alias("__id"), F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col).cast("binary")).alias("__text"))
     tables = model.pair_tables() if model.labels else []
     labels, bias, dense, dense_bias = model.labels, model.bias.astype(np.float32), model.dense.astype(np.float32), model.dense_bias.astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast(tables)  # of fixed size: about 8 MB
@@ -164,7 +165,7 @@ def predicted(docs: DataFrame, model: ByteCnn, id_col: str = "doc_id", text_col:
             for i, t in enumerate(b.column(1)):
                 if labels and t.is_valid:
                     at.append(i)
-                    texts.append(t.as_py().encode("utf-8", "surrogatepass"))
+                    texts.append(t.as_py())
                     size += len(texts[-1])
                     if size > 1 << 20:
                         flush()
