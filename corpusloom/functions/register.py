@@ -16,7 +16,6 @@ from corpusloom.sources.sitemap import gunzip
 
 #: SQL functions whose bodies are Catalyst expressions: name, arguments, result, body of the argument columns.
 EXPRESSIONS = {
-    "normalize_url": ("u STRING", "STRING", lambda: U.normalize_url(F.col("u"))),
     "url_priority": ("u STRING", "INT", lambda: U.url_priority(F.col("u"))),
     "is_valid_crawl_url": ("u STRING", "BOOLEAN", lambda: U.is_valid_crawl_url(F.col("u"))),
     "word_count": ("t STRING", "INT", lambda: X.word_count(F.col("t"))),
@@ -37,8 +36,9 @@ class LinkTable:
 
 def register(spark: SparkSession, terms: list[str] = V.SCIENCE_TERMS) -> None:
     spark.udf.register("partial_ratio", F.udf(lambda a, b: float(partial_ratio(a or "", b or "")), "double", useArrow=True))
+    spark.udf.register("normalize_url", F.udf(lambda u: U.normalized(u), "string", useArrow=True))
     spark.udf.register("maybe_gunzip", F.udf(lambda b: gunzip(b), "binary", useArrow=True))
-    spark.udf.register("clean_url", F.udf(lambda b, h: urljoin(b or "", h or ""), "string", useArrow=True))
+    spark.udf.register("absolute_url", F.udf(lambda b, h: urljoin(b or "", h or ""), "string", useArrow=True))
     spark.udtf.register("page_links", F.udtf(LinkTable, returnType="pos int, url string"))
     for name, (args, kind, body) in EXPRESSIONS.items():
         column = args.split()[0]

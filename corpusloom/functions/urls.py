@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,6 +57,18 @@ def normalize_url(url: Column, tracking: Sequence[str] = V.TRACKING_PARAMS) -> C
     return F.when(u == "", F.lit("")).otherwise(whole)
 
 
+def normalized(url: str | None, tracking: Sequence[str] = V.TRACKING_PARAMS) -> str:
+    """The same for one URL in Python, with the standard library's percent encoding: the body of a SQL function."""
+    text = (url or "").strip().split("#")[0]
+    try:
+        p = urlsplit(text)
+    except ValueError:
+        return ""
+    kept = sorted((k, v) for k, v in parse_qsl(p.query) if not k.lower().startswith("utm_") and k.lower() not in tracking)
+    trimmed = p.path if p.path == "/" else p.path.rstrip("/")
+    return urlunsplit((p.scheme.lower(), p.netloc.lower(), trimmed, urlencode(kept), ""))
+
+
 def url_hash(url: Column) -> Column:
     return F.sha2(_given(url).cast("binary"), 256)
 
@@ -78,19 +91,14 @@ LAST_PRIORITY = 10
 
 def url_priority(url: Column, rules: Sequence[tuple[int, str]] = PRIORITY_RULES) -> Column:
     """Crawl priority, low first; rules are SQL conditions on ``h`` (host) and ``p`` (lower-case path)."""
-    both = F.struct(host(strip(_given(url))).alias("h"), F.lower(path(strip(_given(url)))).alias("p"))
-
-    def pick(x: Column) -> Column:
-        out = None
-        for n, rule in rules:
-            holds = _condition(rule, x)
-            out = F.when(holds, n) if out is None else out.when(holds, n)
-        return (out.otherwise(LAST_PRIORITY) if out is not None else F.lit(LAST_PRIORITY)).cast("int")
-
-    return F.element_at(F.transform(F.array(both), pick), 1)
+    x = {"h": host(strip(_given(url))), "p": F.lower(path(strip(_given(url))))}
+    out = F.when(F.lit(False), LAST_PRIORITY)
+    for n, rule in rules:
+        out = out.when(_condition(rule, x), n)
+    return out.otherwise(LAST_PRIORITY).cast("int")
 
 
-def _condition(rule: str, x: Column) -> Column:
+def _condition(rule: str, x: dict[str, Column]) -> Column:
     """A disjunction of conjunctions of ``h = '…'`` and ``function(h|p, '…')`` as a column."""
     text, stash = rule, []
     while m := re.search(r"\(([^()]*(?:\([^()]*\)[^()]*)*)\)(?<!\w)", text):

@@ -27,6 +27,7 @@ URLS = [
 
 def test_normalize_like_the_model(spark):
     once = run(spark, U.normalize_url, URLS)
+    assert [U.normalized(u) for u in URLS] == once
     assert once == [model(u) for u in URLS]
     assert run(spark, U.normalize_url, once) == once
     assert run(spark, U.normalize_url, [None, "", "#x"]) == ["", "", ""]
