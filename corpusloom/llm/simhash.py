@@ -15,6 +15,7 @@ one edge a row), which keeps every connection without emitting all pairs.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -83,13 +84,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _block_keys(fp: Column, blocks: int, max_bits: int) -> Column:
     """An array of longs: the value of each choice of blocks that must agree for some close pair."""
     edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
+    if comb(blocks, max_bits) > 127 or 64 - 64 * max_bits // blocks > 56:
+        raise ValueError("too many choices of blocks")
     part = [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
     keys = []
     for n, chosen in enumerate(combinations(range(blocks), blocks - max_bits)):
-        k = F.lit(n).cast("long")
+        k = F.lit(0).cast("long")
         for i in chosen:
             k = F.shiftleft(k, edges[i + 1] - edges[i]).bitwiseOR(part[i])
-        keys.append(k)
+        keys.append(k.bitwiseOR(F.lit(n << 56)))  # below it are the chosen blocks' bits, 56 at most
     return F.array(*keys)
 
 

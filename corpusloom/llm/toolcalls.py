@@ -25,13 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.components import connected_components
 from corpusloom.storage import stored
 
 #: Schemas of the tools that calls may name: a subset of JSON Schema.
 SCHEMAS = {"respond": {"type": "object", "required": ["prompt"], "properties": {"prompt": {"type": "string", "minLength": 1}}, "additionalProperties": False}}
 KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
-#: Rounds in which forward references are raised; what is left then is in a cycle or deeper than this.
-MAX_LEVELS = 64
 
 
 def canonical(value) -> str:
@@ -130,31 +129,35 @@ def levels(calls: DataFrame) -> DataFrame:
     """(id, level, broken) of calls (id, at, refs): broken names a reference without a call, or a cycle.
 
     Level 0 for calls that refer to earlier ones only; a call that refers
-    forward is one above what it refers to.
+    forward is one above what it refers to. Only groups of calls with a forward
+    reference go through the rounds. No level of a group without a cycle is
+    above its number of forward references, so what rises beyond is in a cycle
+    or waits for one, and the rounds end.
     """
     refs = calls.select("id", "at", F.explode("refs").alias("to"))
     ends = refs.join(calls.select(F.col("id").alias("to"), F.col("at").alias("to_at")), "to", "left")
     missing = ends.where("to_at IS NULL").groupBy("id").agg(F.concat(F.lit("unresolved "), F.min("to")).alias("broken"))
     ends = stored(ends.where("to_at IS NOT NULL").select("id", "to", (F.col("to_at") >= F.col("at")).alias("forward")))
-    level = calls.select("id", F.lit(0).alias("level"))
-    if not ends.where("forward").isEmpty():
-        raised = True
-        for _ in range(MAX_LEVELS):
-            up = ends.join(level.select(F.col("id").alias("to"), F.col("level").alias("l")), "to")
-            up = up.groupBy("id").agg(F.max(F.col("l") + F.when(F.col("forward"), 1).otherwise(0)).alias("up"))
-            new = stored(level.join(up, "id", "left").select("id", F.greatest("level", F.coalesce("up", F.lit(0))).alias("level"), (F.coalesce("up", F.lit(0)) > F.col("level")).alias("raised")))
-            raised = not new.where("raised").isEmpty()
-            level = new.select("id", "level", "raised")
-            if not raised:
-                break
-        cycle = level.where("raised").select("id", F.lit("cycle").alias("cycle")) if raised else None
-        level = level.drop("raised")
-    else:
-        cycle = None
-    out = level.join(missing, "id", "left")
-    if cycle is not None:
-        out = out.join(cycle, "id", "left").select("id", "level", F.coalesce("broken", "cycle").alias("broken"))
-    return out
+    out = calls.select("id", F.lit(0).alias("level")).join(missing, "id", "left")
+    if ends.where("forward").isEmpty():
+        return out
+    groups = connected_components(ends.select(F.xxhash64("id").alias("a"), F.xxhash64("to").alias("b")))
+    ends = ends.join(groups, F.xxhash64(ends["id"]) == groups["node"]).drop("node")
+    most = ends.where("forward").groupBy("root").agg(F.count(F.lit(1)).cast("int").alias("most"))
+    ends = stored(ends.join(most, "root"))
+    both = ends.select("id", "most").union(ends.select("to", "most")).distinct()
+    level = stored(both.select("id", "most", F.lit(0).alias("level")))
+    raised = True
+    while raised:
+        up = ends.join(level.select(F.col("id").alias("to"), F.col("level").alias("l")), "to")
+        up = up.groupBy("id").agg(F.max(F.col("l") + F.col("forward").cast("int")).alias("up"))
+        now = F.greatest("level", F.least(F.coalesce("up", F.lit(0)), F.col("most") + 1))
+        new = stored(level.join(up, "id", "left").select("id", "most", now.alias("level"), (now > F.col("level")).alias("raised")))
+        raised = not new.where("raised").isEmpty()
+        level = new.drop("raised")
+    cycle = F.when(F.col("l") > F.col("most"), F.lit("cycle"))
+    out = out.join(level.select("id", F.col("level").alias("l"), "most"), "id", "left")
+    return out.select("id", F.coalesce("l", "level").alias("level"), F.coalesce("broken", cycle).alias("broken"))
 
 
 def linked(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
