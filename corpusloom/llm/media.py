@@ -49,7 +49,7 @@ def png_encode(data: bytes) -> bytes:
     rows = np.zeros((len(data) // WIDTH, WIDTH + 1), np.uint8)
     rows[:, 1:] = np.frombuffer(data, np.uint8).reshape(-1, WIDTH)
     head = struct.pack(">IIBBBBB", WIDTH, len(rows), 8, 0, 0, 0, 0)
-    return PNG + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(rows.tobytes(), 1)) + _chunk(b"IEND", b"")
+    return PNG + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(rows.tobytes(), 6)) + _chunk(b"IEND", b"")
 
 
 def png_header(head: bytes) -> tuple[int, int, int]:
