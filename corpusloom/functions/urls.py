@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom.functions import vocabulary as V
-from corpusloom.functions.text import strip
+from corpusloom.functions.text import let, strip
 
 #: scheme, authority, path, query of RFC 3986; a fragment is cut before.
 PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
@@ -191,14 +191,16 @@ def bing_url(query: Column, page: Column) -> Column:
 def bing_target(href: Column) -> Column:
     """The URL behind a redirect of that engine, null if ``href`` is none."""
     value = lambda key: F.regexp_extract(_part(_given(href), 4), rf"(?:^|&){key}=([^&]+)", 1)
-    raw = F.coalesce(F.nullif(strip(F.coalesce(F.try_url_decode(value("u")), value("u"))), F.lit("")), strip(F.coalesce(F.try_url_decode(value("url")), value("url"))))
-    raw = F.coalesce(F.try_url_decode(raw), raw)
-    b64 = F.translate(F.substring(raw, 3, 100_000), "-_", "+/")
-    b64 = F.rpad(b64, (F.char_length(b64) + F.pmod(-F.char_length(b64), F.lit(4))).cast("int"), "=")
-    text = F.try_to_binary(b64, F.lit("base64")).cast("string")
-    found = F.nullif(F.regexp_extract(text, r"""https?://[^\s"'<>]+""", 0), F.lit(""))
-    out = F.when(raw.rlike("^https?://"), raw).when(F.startswith(raw, F.lit("a1")) & (F.char_length(raw) > 4), found)
-    return F.when(F.contains(host(href), F.lit("bing.com")), out)
+    decoded = lambda x: F.coalesce(F.try_url_decode(x), x)
+    raw = let(F.coalesce(F.nullif(value("u"), F.lit("")), value("url")), lambda x: let(strip(decoded(x)), decoded))
+
+    def target(x: Column) -> Column:
+        b64 = F.translate(F.substring(x, 3, 100_000), "-_", "+/")
+        padded = let(b64, lambda y: F.rpad(y, (F.char_length(y) + F.pmod(-F.char_length(y), F.lit(4))).cast("int"), "="))
+        found = F.nullif(F.regexp_extract(F.try_to_binary(padded, F.lit("base64")).cast("string"), r"""https?://[^\s"'<>]+""", 0), F.lit(""))
+        return F.when(x.rlike("^https?://"), x).when(F.startswith(x, F.lit("a1")) & (F.char_length(x) > 4), found)
+
+    return F.when(F.contains(host(href), F.lit("bing.com")), let(raw, target))
 
 
 def sanitize_instance(name: Column) -> Column:

@@ -5,6 +5,7 @@ Vocabularies are those of the tables' languages, as operators take any.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,13 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions import urls as U
 from corpusloom.functions.fuzzy import fuzzy_relevance
-from corpusloom.operators import frontier, gates, journal, links, sites
+from corpusloom.operators import frontier, gates, journal, links, sinks, sites
 from corpusloom.operators.dedupe import cap_per_key, first_of_key, keep_first
 from corpusloom.plans import crawl, discovery
 from corpusloom.settings import Settings
+from corpusloom.sources import readers, sitemap
+from corpusloom.storage import shared_dir
+from corpusloom.streaming import crawl_stream
 
 KEYWORDS = ["the", "les", "und", "que", "ing"]
 COMMON = ["the", "of", "and", "de", "la", "der", "die", "le", "les", "el"]
@@ -136,6 +140,97 @@ def _records(s: SparkSession, d: str) -> DataFrame:
     return gates.training_records(ok, compat=False).select("url", "source", "level", "word_count", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha"))
 
 
+def _first_words(s: SparkSession, d: str) -> DataFrame:
+    """Lines of a phrase file made of the benchmark: comments, site suffixes in two forms, repeats."""
+    b = s.read.parquet(f"{d}/benchmark.parquet")
+    words = F.array_join(F.slice(X.words(F.lower("text")), 1, 2), "  ")
+    line = F.when(F.col("item_id") % 5 == 0, F.concat(F.lit("# "), words)).when(F.col("item_id") % 5 == 1, F.concat(words, F.lit(" (site:www.example.org) ")))
+    return b.select(F.col("item_id").alias("pos"), line.when(F.col("item_id") % 5 == 2, F.concat(words, F.lit(" site:example.com more"))).otherwise(words).alias("line"))
+
+
+def _sitemaps(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """An index of one sitemap a host, each with its pages' URLs."""
+    p = _pages(s, d).select("page_id", "url", U.host(F.col("url")).alias("host"))
+    loc = lambda c: F.concat(F.lit("<url><loc> "), F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit(" </loc></url>"))
+    child = p.groupBy("host").agg(F.array_join(F.transform(F.array_sort(F.collect_list("url")), loc), "").alias("b"))
+    child = child.select(F.concat(F.lit("map:"), "host").alias("sitemap_url"), F.concat(F.lit("<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'>"), "b", F.lit("</urlset>")).cast("binary").alias("body"))
+    refs = F.transform(F.array_sort(F.collect_set(F.concat(F.lit("map:"), "host"))), lambda x: F.concat(F.lit("<sitemap><loc>"), x, F.lit("</loc></sitemap>")))
+    index = p.agg(F.array_join(refs, "").alias("b")).select(F.lit("map").alias("sitemap_url"), F.concat(F.lit("<sitemapindex>"), "b", F.lit("</sitemapindex>")).cast("binary").alias("body"))
+    return child.unionByName(index), s.createDataFrame([(0, "map"), (1, "map:missing")], "pos int, url string")
+
+
+def _sitemap_walk(s: SparkSession, d: str) -> DataFrame:
+    maps, roots = _sitemaps(s, d)
+    return sitemap.walk(maps, roots, ["/es/", "page="], Settings(max_sitemaps=10_000, max_pages=10_000_000))[0].select("url")
+
+
+def _sitemap_parse(s: SparkSession, d: str) -> DataFrame:
+    return sitemap.parsed(_sitemaps(s, d)[0]).select("sitemap_url", F.size("children").alias("n_children"), F.size("pages").alias("n_pages"))
+
+
+def _results(s: SparkSession, d: str, engine: str) -> DataFrame:
+    """Result pages of a search engine, one for each host, that link to its pages."""
+    p = _pages(s, d).select("url", U.host(F.col("url")).alias("host"))
+    redirect = {"duckduckgo": lambda u: F.concat(F.lit("//duckduckgo.com/l/?uddg="), F.url_encode(u), F.lit("&rut=1")), "bing": lambda u: F.concat(F.lit("https://www.bing.com/ck/a?u=a1"), F.rtrim(F.translate(F.base64(u.cast("binary")), "+/\n\r", "-_"), F.lit("=")), F.lit("&ntb=1"))}[engine]
+    tag = F.concat(F.lit('<a href="'), redirect(F.col("url")), F.lit('">x</a>'))
+    return p.groupBy("host").agg(F.array_join(F.array_sort(F.collect_list(tag)), "").alias("html")).select(F.lit(engine).alias("engine"), F.concat(F.lit("https://search/"), "host").alias("search_url"), "html")
+
+
+def _search_results(s: SparkSession, d: str) -> DataFrame:
+    found = links.search_links(_results(s, d, "duckduckgo").unionByName(_results(s, d, "bing")))
+    return found.groupBy("page", "url").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _pagination(s: SparkSession, d: str) -> DataFrame:
+    """Conversations as articles: each turn is a page that leads to the next turn's."""
+    c = s.read.parquet(f"{d}/conversations.parquet")
+    url = lambda turn: F.concat(F.lit("c/"), F.col("conv_id").cast("string"), F.lit("/"), turn.cast("string"))
+    pages = c.select("turn", url(F.col("turn")).alias("url"), F.col("text").alias("content"), url(F.col("turn") + 1).alias("next_url"))
+    out = links.paginated(pages.where("turn = 0").drop("turn"), pages.drop("turn"))
+    return out.select("url", "n_pages", F.sha2(F.col("content").cast("binary"), 256).alias("content_sha"))
+
+
+def _spider(s: SparkSession, d: str) -> DataFrame:
+    rows = _pages(s, d).select(U.host(F.col("url")).alias("page"), F.col("page_id").cast("int").alias("pos"), F.concat("url", F.lit("#belajar")).alias("url"))
+    return frontier.spider_links(rows, Settings(spider_links=4), allow=["example."], focused=True).select("page", "pos")
+
+
+def _journal(s: SparkSession, d: str) -> DataFrame:
+    """Pages as journal pages with a PDF of each document that shares their number."""
+    page = F.concat(F.lit("https://neliti.com/j/"), F.col("doc_id"))
+    html = F.concat(F.lit("<h1>siswa dan guru "), F.col("doc_id"), F.lit('</h1><meta name="citation_author" content="A"><meta name="citation_author" content="B"><a href="/p/'), F.col("doc_id"), F.lit('.pdf">x</a><a href="/p/none.PDF">y</a>'))
+    docs = _docs(s, d).where("doc_id % 3 = 0")
+    pdfs = _docs(s, d).select(F.concat(F.lit("https://neliti.com/p/"), F.col("doc_id"), F.lit(".pdf")).alias("pdf_url"), "text")
+    out = journal.journal_records(docs.select(page.alias("url"), html.alias("html")), pdfs)
+    return out.select("url", "source_page", "title", F.array_join("authors", ";").alias("authors"), "word_count", "type", "level")
+
+
+def _raw(s: SparkSession, d: str) -> DataFrame:
+    rows = _page_text(s, d).select("url", "title", F.col("content").alias("main"), F.lit(0.9).alias("quality"))
+    out = gates.raw_records(rows, F.expr(NOW), KEYWORDS)
+    return out.select("url", "timestamp", F.col("metadata.word_count").alias("word_count"), F.array_join("metadata.keywords_found", ",").alias("keywords"), F.col("metadata.source_domain").alias("domain"))
+
+
+def _stream(s: SparkSession, d: str) -> DataFrame:
+    """All documents through a stream that drops contents seen before, up to what is there now."""
+    folder = f"{shared_dir(s).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    schema = s.read.parquet(f"{d}/documents.parquet").schema
+    rows = s.readStream.schema(schema).parquet(f"{d}/documents.parquet*").select("doc_id", F.col("text").alias("content"))
+    out = crawl_stream.first_contents(rows).select("fingerprint")
+    out.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/out").trigger(availableNow=True).start().awaitTermination()
+    return s.read.schema("fingerprint string").parquet(f"{folder}/out")
+
+
+ARTICLE = {"kompas": "https://www.kompas.com/read", "detik": "https://www.detik.com/edu/d-", "liputan6": "https://www.liputan6.com/read", "ruangguru": "https://www.ruangguru.com/blog", "republika": "https://news.republika.co.id/berita", "quipper": "https://www.quipper.com/id/blog", "zenius": "https://www.zenius.net/blog"}
+
+
+def _articles(s: SparkSession, d: str) -> DataFrame:
+    """Article tests of seven sites on the pages' paths put under their hosts, or left out for odd pages."""
+    tail = F.when(F.col("page_id") % 2 == 0, U.path(F.col("url"))).otherwise("")
+    cols = [U.is_article_url(F.concat(F.lit(base), tail), site).alias(site) for site, base in ARTICLE.items()]
+    return _pages(s, d).select("page_id", *cols, U.is_journal_url(F.col("url"), ["example.org"]).alias("journal"), U.sanitize_instance(F.col("url")).alias("instance"), U.source_of(F.col("url")).alias("source"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     page_row = ["page_id", "url"]
     return {
@@ -176,6 +271,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gate_reasons": _gates,
         "reject_histogram": lambda s, d: gates.reason_counts(_gated(s, d)),
         "cpt_records": _records,
+        "phrase_scan": lambda s, d: readers.phrases(_first_words(s, d)),
+        "sitemap_walk": _sitemap_walk,
+        "sitemap_parse": _sitemap_parse,
+        "search_results": _search_results,
+        "pagination_chain": _pagination,
+        "spider_links": _spider,
+        "journal_records": _journal,
+        "raw_records": _raw,
+        "article_urls": _articles,
+        "education_related": _doc(related=lambda t: X.is_education_related(t, None, KEYWORDS, 4), valid=lambda t: X.cleaner_valid(t, KEYWORDS, 100, 2)),
+        "run_counters": lambda s, d: sinks.run_counters(_gated(s, d)).select("pages", "accepted", "rejected"),
+        "host_counts": lambda s, d: _pages(s, d).groupBy(U.host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n")),
+        "uptime_format": lambda s, d: _jobs(s, d).select("id", X.uptime(F.col("id") * 7).alias("uptime"), X.utc_iso(F.col("created_at")).alias("iso")),
+        "stream_dedupe": _stream,
         "job_counts": lambda s, d: frontier.counts(_jobs(s, d), F.expr(NOW)),
         "claim_order": _claim,
         "retry_schedule": _retry,

@@ -230,6 +230,35 @@ def oracle_sql() -> dict[str, str]:
             titled AS (SELECT *, CASE WHEN length(title) > 10 AND NOT contains(lower(substring(cpt, 1, 200)), lower(title)) THEN title || chr(10) || chr(10) || cpt ELSE cpt END AS out FROM cpts WHERE cpt <> '')
             SELECT 'https://' || src || '.example.org/read/' || doc_id AS url, src || '.example.org' AS source, {_fixed_level("main || ' https://' || src || '.example.org/read/' || doc_id")} AS level, {COUNT.format("out")}::INT AS word_count, sha256(out) AS text_sha
             FROM titled WHERE {_good("out", 75)}""",
+        "phrase_scan": rf"""WITH l AS (SELECT item_id AS pos, ({WORDS.format("lower(text)")})[1] || ' ' || ({WORDS.format("lower(text)")})[2] AS phrase FROM benchmark),
+            k AS (SELECT *, CASE pos % 5 WHEN 1 THEN 'www.example.org' WHEN 2 THEN 'example.com' END AS site FROM l WHERE pos % 5 <> 0 AND phrase IS NOT NULL)
+            SELECT pos, phrase, site FROM k QUALIFY row_number() OVER (PARTITION BY phrase ORDER BY pos) = 1""",
+        "sitemap_walk": "SELECT DISTINCT trim(url) AS url FROM pages WHERE contains(url, '/es/') OR contains(url, 'page=')",
+        "sitemap_parse": f"""SELECT 'map:' || {HOST.format("url")} AS sitemap_url, 0::INT AS n_children, count(DISTINCT url)::INT AS n_pages FROM pages GROUP BY 1
+            UNION ALL SELECT 'map', count(DISTINCT {HOST.format("url")})::INT, 0 FROM pages""",
+        "search_results": f"""SELECT 'https://search/' || {HOST.format("url")} AS page, url, 2::BIGINT AS n FROM (SELECT DISTINCT url FROM pages)
+            WHERE NOT regexp_matches(lower({PATH.format("url")}), '({"|".join(re.escape(e) for e in V.SKIP_EXTENSIONS)})$') AND NOT ({" OR ".join(f"contains(lower(url), {_q(p.lower())})" for p in V.BLOCKED_URL_PARTS)})
+              AND NOT {_under(HOST.format("url"), V.BLOCKED_DOMAINS)}""",
+        "pagination_chain": r"""WITH c AS (SELECT conv_id, turn, text, min(CASE WHEN text = '' OR text IS NULL THEN turn END) OVER (PARTITION BY conv_id) AS stop,
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS r FROM conversations)
+            SELECT 'c/' || conv_id || '/0' AS url, count(*)::INT AS n_pages, sha256(string_agg(text, chr(10) || chr(10) ORDER BY turn)) AS content_sha
+            FROM c WHERE r = turn AND turn < 5 AND (stop IS NULL OR turn < stop) GROUP BY conv_id""",
+        "spider_links": f"""WITH l AS (SELECT {HOST.format("url")} AS page, page_id::INT AS pos, url || '#belajar' AS u, lower({PATH.format("url")}) AS p FROM pages)
+            SELECT page, pos FROM l WHERE contains(u, 'example.') QUALIFY row_number() OVER (PARTITION BY page ORDER BY pos) <= 4""",
+        "journal_records": rf"""WITH c AS (SELECT doc_id, {SQUEEZE.format(f"""array_to_string(list_filter({LINES}, lambda x: length(trim(x)) >= 3 AND NOT regexp_matches(trim(x), '^[0-9]+$')), chr(10))""")} AS t FROM documents WHERE doc_id % 3 = 0)
+            SELECT 'https://neliti.com/p/' || doc_id || '.pdf' AS url, 'https://neliti.com/j/' || doc_id AS source_page, 'siswa dan guru ' || doc_id AS title, 'A;B' AS authors, {COUNT.format("t")}::INT AS word_count,
+              'jurnal_ilmiah' AS type, 'umum' AS level FROM c WHERE length(t) >= 500""",
+        "raw_records": f"""SELECT 'https://' || source || '.example.org/read/' || doc_id AS url, '2024-01-15T00:00:00.000000+00:00' AS timestamp, {COUNT.format("text")}::INT AS word_count,
+            array_to_string({_hits("substring(text, 1, 12) || ' ' || text", KEYWORDS)}, ',') AS keywords, source || '.example.org' AS domain FROM documents""",
+        "article_urls": rf"""WITH p AS (SELECT page_id, url, CASE WHEN page_id % 2 = 0 THEN {PATH.format("url")} ELSE '' END AS t FROM pages)
+            SELECT page_id, contains('/read' || t, '/read/') AS kompas, true AS detik, contains('/read' || t, '/read/') AS liputan6, (starts_with('/blog' || lower(t), '/blog/') AND length(t) > 1) AS ruangguru,
+              contains('/berita' || lower(t), '/berita/') AS republika, contains('/id/blog' || lower(t), '/blog/') AS quipper, (contains('/blog' || lower(t), '/blog/') AND length('/blog' || t) > 6) AS zenius,
+              {_under(HOST.format("url"), ["example.org"])} AS journal, substring(trim(regexp_replace(trim(url), '[^A-Za-z0-9_.-]+', '_', 'g'), '._-'), 1, 64) AS instance, split_part(url, '/', 3) AS source FROM p""",
+        "education_related": f"SELECT doc_id, len({_hits('text', KEYWORDS)}) >= 4 AS related, ({COUNT.format('text')} >= 100 AND len({_hits('text', KEYWORDS)}) >= 2) AS valid FROM documents",
+        "run_counters": f"WITH {GATED} SELECT count(*) AS pages, count(*) FILTER (reject_reason IS NULL) AS accepted, count(*) FILTER (reject_reason IS NOT NULL) AS rejected FROM gated",
+        "host_counts": f"SELECT {HOST.format('url')} AS host, count(*) AS n FROM pages GROUP BY 1",
+        "uptime_format": "SELECT event_id AS id, printf('%02d:%02d:%02d', event_id * 7 // 3600, event_id * 7 % 3600 // 60, event_id * 7 % 60) AS uptime, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS iso FROM events",
+        "stream_dedupe": f"SELECT DISTINCT {FINGERPRINT.format('text')} AS fingerprint FROM documents",
         "job_counts": f"""WITH {JOBS} SELECT status, count(*)::BIGINT AS n FROM jobs GROUP BY status UNION ALL SELECT 'total', count(*) FROM jobs UNION ALL SELECT 'pending_ready', count(*) FILTER ({READY}) FROM jobs""",
         "claim_order": f"WITH {JOBS} SELECT id, url, priority FROM jobs WHERE {READY} ORDER BY priority, created_at, id LIMIT 25",
         "retry_schedule": f"""WITH {JOBS}, n AS (SELECT id, attempts + 1 AS a FROM jobs WHERE status = 'processing'), w AS (SELECT *, 10.0 * pow(2, greatest(a - 1, 0)) AS d FROM n)
