@@ -31,6 +31,7 @@ SHINGLE = 4
 MAX_BITS = 4
 BLOCKS = 6
 CHUNK = 2048
+HOT_SHARE = 1024
 #: Keys of this size or less are compared by shifted arrays, many keys at once.
 SMALL = 64
 #: Shingles that are hashed at once: 255 rows of bits add up in a byte.
@@ -178,13 +179,18 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gives no rows.
     """
     rows = stored(fingerprints(docs, id_col, text_col))
-    distinct = stored(rows.groupBy("__fp").agg(F.min("__id").alias("__min")))
+    distinct = stored(rows.groupBy("__fp").agg(F.min("__id").alias("__min"), F.count(F.lit(1)).alias("__n")))
     roots = connected_components(links(distinct.select("__fp"), max_bits))
     named = roots.join(distinct, roots["node"] == distinct["__fp"])
     named = named.groupBy("root").agg(F.min("__min").alias("__component"))
     named = roots.join(named, "root").select(F.col("node").alias("__fp"), F.col("root").alias("__group"), "__component")
-    all_fp = distinct.join(named, "__fp", "left").select("__fp", F.coalesce("__group", F.xxhash64("__fp")).alias("__group"), F.coalesce("__component", "__min").alias("__component"))
-    return rows.join(all_fp, "__fp").select("__id", "__th", "__fp", "__group", "__component")
+    all_fp = distinct.join(named, "__fp", "left").select("__fp", "__n", F.coalesce("__group", F.xxhash64("__fp")).alias("__group"), F.coalesce("__component", "__min").alias("__component"))
+    all_fp = stored(all_fp)
+    # fingerprints of over 1/HOT_SHARE of all rows, HOT_SHARE at most, are broadcast: no task gathers their rows
+    hot = F.broadcast(all_fp.where(F.col("__n") > max(64, rows.count() // HOT_SHARE)).drop("__n"))
+    cold = rows.join(hot.select("__fp"), "__fp", "left_anti").join(all_fp.drop("__n"), "__fp")
+    cols = ["__id", "__th", "__fp", "__group", "__component"]
+    return cold.select(*cols).unionByName(rows.join(hot, "__fp").select(*cols))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
