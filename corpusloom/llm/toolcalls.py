@@ -175,8 +175,9 @@ def linked(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     ident = F.col("id").isNotNull()
     first = rows.where(ident & (F.col("kind") != "message")).groupBy("kind", "id").agg(F.min(F.struct("at", "row")).alias("f"))
     first = first.select(F.col("kind").alias("k"), F.col("id").alias("i"), F.col("f.row").alias("first"))
-    rows = rows.join(first, (rows["kind"] == first["k"]) & (rows["id"] == first["i"]), "left").drop("k", "i")
-    rows = stored(rows.withColumn("lead", F.coalesce(F.col("row") == F.col("first"), F.lit(False))))
+    bare = rows.where(~ident).withColumn("lead", F.lit(False))  # rows without an identifier never meet in a join
+    rows = rows.where(ident).join(first, (rows["kind"] == first["k"]) & (rows["id"] == first["i"]), "left").drop("k", "i")
+    rows = stored(rows.withColumn("lead", F.coalesce(F.col("row") == F.col("first"), F.lit(False))).drop("first"))
     calls = rows.where((F.col("kind") == "call") & F.col("lead"))
     results = rows.where((F.col("kind") == "result") & F.col("lead"))
     order = levels(calls.select("id", "at", "refs"))
@@ -187,7 +188,8 @@ def linked(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     error = F.concat_ws("; ", "error", "broken")
     full = full.select("conv_id", "turn", "index", F.lit("call").alias("kind"), "id", "tool", F.coalesce("level", F.lit(0)).alias("level"), "result_turn", F.when(error != "", error).alias("error"), record.alias("record"))
     rest = rows.where(~((F.col("kind") == "call") & F.col("lead")))
-    rest = rest.join(calls.select("id", F.lit(True).alias("has_call")), "id", "left").where(~((F.col("kind") == "result") & F.col("lead") & F.coalesce("has_call", F.lit(False))))
+    rest = rest.join(calls.select("id", F.lit(True).alias("has_call")), "id", "left").where(~((F.col("kind") == "result") & F.col("lead") & F.coalesce("has_call", F.lit(False)))).drop("has_call")
+    rest = rest.unionByName(bare)
     why = F.when(F.col("kind") == "call", F.when(F.col("id").isNull(), "no id").otherwise("repeated id")).when(F.col("kind") == "result", F.when(F.col("lead"), "no call").otherwise("repeated result"))
     single = F.concat(F.lit('{"id":'), text("id"), F.lit(',"result":'), F.coalesce("result", F.lit("null")), F.lit("}"))
     rest = rest.select("conv_id", "turn", "index", F.when(F.col("kind") == "result", "orphan").otherwise(F.col("kind")).alias("kind"), "id", "tool", F.lit(0).alias("level"), F.lit(None).cast("long").alias("result_turn"), why.alias("error"), single.alias("record"))
