@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.storage import spread
+
 #: ASCII white space, as a character class and as characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -13,7 +15,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data directory; the path may be of any file system that Spark reads."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def ascii_lower(c: Column) -> Column:
