@@ -14,12 +14,12 @@ from corpusloom.functions import vocabulary as V
 from corpusloom.functions.fuzzy import partial_ratio
 from corpusloom.sources.sitemap import gunzip
 
-#: SQL functions whose bodies are Catalyst expressions: name, arguments, result, body of the argument columns.
+#: SQL functions whose bodies are Catalyst expressions: arguments, result, body. Bodies hold no lambdas, which have no SQL text.
 EXPRESSIONS = {
     "url_priority": ("u STRING", "INT", lambda: U.url_priority(F.col("u"))),
     "is_valid_crawl_url": ("u STRING", "BOOLEAN", lambda: U.is_valid_crawl_url(F.col("u"))),
-    "word_count": ("t STRING", "INT", lambda: X.word_count(F.col("t"))),
-    "content_fingerprint": ("t STRING", "STRING", lambda: X.fingerprint(F.col("t"))),
+    "word_count": ("t STRING", "INT", lambda: F.regexp_count(X.given(F.col("t")), F.lit(f"{X.NO_SPACE}+"))),
+    "content_fingerprint": ("t STRING", "STRING", lambda: F.sha2(X.strip(F.regexp_replace(F.lower(X.given(F.col("t"))), f"{X.SPACE}+", " ")).cast("binary"), 256)),
 }
 
 

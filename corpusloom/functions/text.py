@@ -17,8 +17,12 @@ from corpusloom.functions import vocabulary as V
 #: The code points of white space.
 SPACE_CODES = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 SPACES = "".join(map(chr, SPACE_CODES))
-SPACE = "[" + "".join(f"\\x{{{c:x}}}" for c in SPACE_CODES) + "]"
-NO_SPACE = SPACE.replace("[", "[^", 1)
+#: Those beyond \\s of a pattern without (?U), as ranges.
+RARE_SPACES = r"\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACE = rf"[\s{RARE_SPACES}]"
+NO_SPACE = rf"[^\s{RARE_SPACES}]"
+#: Found in every text that holds a rare space, and in a few others.
+MAYBE_RARE = r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{205f}\x{3000}]"
 
 
 def given(text: Column) -> Column:
@@ -39,17 +43,22 @@ def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def _by_spaces(text: Column, f: Callable[[Column, str, str], Column]) -> Column:
+    """``f`` of a text and the patterns of space and non-space: short ones, much faster, where rare spaces are out of the question."""
+    return let(given(text), lambda t: F.when(t.rlike(MAYBE_RARE), f(t, SPACE, NO_SPACE)).otherwise(f(t, r"\s", r"\S")))
+
+
 def words(text: Column) -> Column:
-    return F.filter(F.split(given(text), f"{SPACE}+"), lambda x: x != "")
+    return _by_spaces(text, lambda t, space, _: F.filter(F.split(t, f"{space}+"), lambda x: x != ""))
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(given(text), F.lit(f"{NO_SPACE}+"))
+    return _by_spaces(text, lambda t, _, other: F.regexp_count(t, F.lit(f"{other}+")))
 
 
 def squeezed(text: Column) -> Column:
     """Words joined by single spaces."""
-    return strip(F.regexp_replace(given(text), f"{SPACE}+", " "))
+    return _by_spaces(text, lambda t, space, _: strip(F.regexp_replace(t, f"{space}+", " ")))
 
 
 def any_of(patterns: Sequence[str]) -> str:
@@ -221,14 +230,16 @@ def is_quality_content(text: Column, min_words: int = 50) -> Column:
 
 def extraction_quality(content: Column, title: Column | None = None) -> Column:
     """A score of 0 to 1 by length, less for pages of links, more if the title occurs."""
-    n, low = word_count(content), F.lower(squeezed(content))
-    base = F.when(n >= 400, 0.95).when(n >= 250, 0.90).when(n >= 150, 0.82).when(n >= 110, 0.78).otherwise(0.60)
-    links = F.regexp_count(low, F.lit("http"))
-    score = base - F.when(links > F.greatest(F.lit(3), F.floor(n / 80)), 0.05).otherwise(0.0)
-    if title is not None:
-        t = F.lower(strip(given(title)))
-        score = score + F.when((F.char_length(t) >= 8) & F.contains(low, t), 0.02).otherwise(0.0)
-    return F.when(given(content) == "", 0.0).otherwise(F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)))
+    t = F.lower(strip(given(title))) if title is not None else F.lit("")
+
+    def score(n: Column, low: Column) -> Column:
+        base = F.when(n >= 400, 0.95).when(n >= 250, 0.90).when(n >= 150, 0.82).when(n >= 110, 0.78).otherwise(0.60)
+        links = F.regexp_count(low, F.lit("http")) > F.greatest(F.lit(3), F.floor(n / 80))
+        titled = F.when((F.char_length(t) >= 8) & F.contains(low, t), 0.02).otherwise(0.0)
+        return F.least(F.greatest(base - F.when(links, 0.05).otherwise(0.0) + titled, F.lit(0.0)), F.lit(1.0))
+
+    both = let(F.lower(squeezed(content)), lambda low: let(F.regexp_count(low, F.lit("[^ ]+")), lambda n: score(n, low)))
+    return F.when(given(content) == "", 0.0).otherwise(both)
 
 
 def main_paragraphs(content: Column) -> Column:

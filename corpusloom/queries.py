@@ -19,7 +19,7 @@ from corpusloom.operators.dedupe import cap_per_key, first_of_key, keep_first
 from corpusloom.plans import crawl, discovery
 from corpusloom.settings import Settings
 from corpusloom.sources import readers, sitemap
-from corpusloom.storage import shared_dir
+from corpusloom.storage import shared_dir, spread
 from corpusloom.streaming import crawl_stream
 
 KEYWORDS = ["the", "les", "und", "que", "ing"]
@@ -32,11 +32,11 @@ NOW = "timestamp'2024-01-15 00:00:00'"
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang", "source")
+    return spread(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang", "source"))
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url", "html")
+    return spread(spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url", "html"))
 
 
 def _jobs(spark: SparkSession, d: str) -> DataFrame:

@@ -24,6 +24,12 @@ def shared_dir(spark: SparkSession) -> str:
     return named or sc.getCheckpointDir()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if its files give fewer partitions than there are: small inputs only."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back from there."""
     shared_dir(df.sparkSession)
