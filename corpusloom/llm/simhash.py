@@ -196,7 +196,16 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest id (a null id only if there is no other)."""
     rows = components(docs, id_col, text_col, max_bits)
-    best = rows.groupBy("__group").agg(F.min(F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"), F.col("__th").alias("t"))).alias("__b"), F.count(F.lit(1)).alias("__n"))
+    return chosen(docs, rows.groupBy("__group").agg(smallest().alias("__b"), F.count(F.lit(1)).alias("__n")), id_col, text_col)
+
+
+def smallest() -> Column:
+    """Of rows (__id, __th) the first: smallest id, null last."""
+    return F.min(F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"), F.col("__th").alias("t")))
+
+
+def chosen(docs: DataFrame, best: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``best`` (__b: what ``smallest`` gave, __n: rows of its group) names, once each."""
     best = best.select(F.col("__b.i").alias("__id"), F.col("__b.t").alias("__th"), (F.col("__n") > 1).alias("__many"))
     both = docs.withColumn("__t", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     both = both.join(best, both[id_col].eqNullSafe(best["__id"]) & (both["__t"] == best["__th"]))
