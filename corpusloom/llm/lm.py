@@ -12,8 +12,11 @@ softmax of their own; further bands of ranks, and the rare words, are classes
 whose words go by their counts. Words that training never saw are one event, as
 in the base: within the rare class it weighs as much as all words seen once.
 
-Weights are fitted by truncated backpropagation through windows of ``STEPS``
-tokens, on a bounded sample of training documents. Scoring carries the state
+Biases start from the counts of the whole corpus. Weights are fitted by
+truncated backpropagation through windows of ``STEPS`` tokens over the complete
+text of every training document: documents are dealt by id into shards of about
+``SHARD`` tokens, shard 0 gives the starting point, then every shard trains on
+from there in a task and the weights are averaged by tokens. Scoring carries the state
 across windows from a document's first token to its end, so each score is the
 log-likelihood of the complete text.
 """
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import fold, seeded_sample
+from corpusloom.llm.common import fold
 from corpusloom.storage import stored
 
 FOLDS, HELD_OUT = 7, 2
@@ -36,7 +39,8 @@ VOCABULARY = 65_536
 CLASSES, MEMBERS, BANDS = 32, 32, 12
 HIDDEN = 24
 STEPS, LANES = 32, 32
-SAMPLE_DOCS, SAMPLE_CHARS = 1_500, 8_000
+#: Tokens of a shard, about; lanes and rate of the shards' training; rows that add weights up.
+SHARD, SHARD_LANES, SHARD_RATE, SUMS = 1_000_000, 128, 0.004, 8
 #: Texts that are scored together, in bytes, and lanes that step together.
 BLOCK, WIDE = 4 << 20, 512
 #: Entries of a task's dictionary of counts before it is passed on.
@@ -186,23 +190,29 @@ def _window(m: Gru, x: np.ndarray, keep: np.ndarray, h: np.ndarray) -> tuple[flo
     return float(loss), grads, h
 
 
-def fit(texts: list[np.ndarray], seed: int = 5, rate: float = 0.008, rounds: int = 2) -> Gru:
-    """Adam on lanes of joined texts (arrays of input ids)."""
-    m, rng = fresh(seed), np.random.default_rng(seed)
+def fit(texts: list[np.ndarray], seed: int = 5, rate: float = 0.008, rounds: int = 2, lanes: int = LANES, start: Gru | None = None) -> Gru:
+    """Adam on lanes of joined texts (arrays of input ids), from ``start`` on if it is given."""
+    m, rng, most = fresh(seed), np.random.default_rng(seed), lanes
+    if start is not None:
+        m = Gru(*[p.copy() for p in start.all()])
     if not texts:
         return m
-    counts = np.bincount(class_of(np.concatenate(texts)), minlength=N_CLASS) + 1.0
-    m.class_bias += np.log(counts / counts.sum()).astype(np.float32)
+    if start is None:
+        counts = np.bincount(class_of(np.concatenate(texts)), minlength=N_CLASS) + 1.0
+        m.class_bias += np.log(counts / counts.sum()).astype(np.float32)
     first, second, step = [np.zeros_like(p) for p in m.all()], [np.zeros_like(p) for p in m.all()], 0
-    total = sum(map(len, texts)) * rounds // (LANES * STEPS) + 1
+    total = sum(map(len, texts)) * rounds // (most * STEPS) + 1
     for _ in range(rounds):
         order = rng.permutation(len(texts))
         x = np.concatenate([texts[i] for i in order])
         keep = np.ones(len(x), np.float32)
         keep[np.cumsum([0, *(len(texts[i]) for i in order[:-1])])] = 0
-        size = max(1, len(x) // LANES)
-        lanes = min(LANES, len(x))
-        x, keep = x[: size * lanes].reshape(lanes, size).T, keep[: size * lanes].reshape(lanes, size).T.copy()
+        lanes = min(most, len(x))
+        size = -(-len(x) // lanes)
+        lanes = -(-len(x) // size)
+        fill = size * lanes - len(x)  # the last lane ends with the first tokens again, so that none is left out
+        x, keep = np.concatenate([x, x[:fill]]), np.concatenate([keep, keep[:fill]])
+        x, keep = x.reshape(lanes, size).T, keep.reshape(lanes, size).T.copy()
         keep[0] = 0
         h = np.zeros((lanes, HIDDEN), np.float32)
         for a in range(0, size, STEPS):
@@ -283,6 +293,77 @@ def _least(counts: DataFrame) -> int:
     return least
 
 
+def from_counts(vocab: Vocabulary, counts: list[int], n_rare: int) -> Gru:
+    """Fresh weights whose biases give classes and head words their shares of the whole corpus."""
+    m, head = fresh(), CLASSES * MEMBERS
+    n = np.bincount(vocab.input_id, weights=counts, minlength=N_INPUT) + 1.0
+    n[RARE] += n_rare
+    by_class = np.bincount(class_of(np.arange(N_INPUT)), weights=n, minlength=N_CLASS)
+    m.class_bias += np.log(by_class / by_class.sum()).astype(np.float32)
+    members = n[:head].reshape(CLASSES, MEMBERS)
+    m.member_bias += np.log(members / members.sum(axis=1, keepdims=True)).astype(np.float32)
+    return m
+
+
+def trained(docs: DataFrame, vocab: Vocabulary, start: Gru, n_all: int, id_col: str, text_col: str) -> Gru:
+    """``start`` trained on the complete text of every training document; the driver gets SUMS rows of weights a pass."""
+    spark = docs.sparkSession
+    shards = -(-int(n_all) // SHARD)
+    if not shards:
+        return start
+    key = F.col(id_col).cast("string")
+    train = docs.where(F.col(id_col).isNotNull() & (fold(F.col(id_col), FOLDS) != HELD_OUT))
+    train = train.select(F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("__shard"), F.xxhash64(F.lit("lm-1"), key).alias("__at"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
+
+    def averaged(rows: DataFrame, tasks: int, start: Gru, rounds: int, lanes: int, rate: float) -> Gru:
+        shared = spark.sparkContext.broadcast((vocab, start))
+        rows = rows.repartition(tasks, "__shard").sortWithinPartitions("__shard", "__at", "__text")
+
+        def run(batches):
+            vocab, start = shared.value
+            now, texts = None, []
+
+            def weights():
+                n = sum(map(len, texts))
+                flat = np.concatenate([p.ravel() for p in fit(texts, rate=rate, rounds=rounds, lanes=lanes, start=start).all()]).astype(float) * n
+                return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["shard", "n", "w"])
+
+            for b in batches:
+                for shard, text in zip(b.column(0).to_pylist(), b.column(2), strict=True):
+                    if shard != now and texts:
+                        yield weights()
+                        texts = []
+                    now = shard
+                    words = tokens(text.as_py())
+                    known = np.fromiter((vocab.ids.get(w, -1) for w in words), np.int64, len(words))
+                    x = np.full(len(words), RARE, np.int32)
+                    x[known >= 0] = vocab.input_id[known[known >= 0]]
+                    texts.append(x)
+            if texts:
+                yield weights()
+
+        def add(batches):
+            n, total = 0, 0.0
+            for b in batches:
+                for k, w in zip(b.column(1).to_pylist(), b.column(2), strict=True):
+                    n, total = n + k, total + np.frombuffer(w.as_py())
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "w"])
+
+        parts = rows.mapInArrow(run, "shard int, n bigint, w binary")
+        sums = parts.repartition(SUMS, "shard").sortWithinPartitions("shard").mapInArrow(add, "n bigint, w binary").collect()  # SUMS rows at most
+        if not sums:
+            return start
+        flat, at, out = sum(np.frombuffer(r["w"]) for r in sums) / sum(r["n"] for r in sums), 0, []
+        for p in start.all():
+            out.append(flat[at : at + p.size].reshape(p.shape).astype(np.float32))
+            at += p.size
+        return Gru(*out)
+
+    first = averaged(train.where("__shard = 0"), 1, start, 2, LANES, 0.008)
+    return averaged(train, shards, first, 1, SHARD_LANES, SHARD_RATE) if shards > 1 else first
+
+
 def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(__id, n_tokens, n_known, train_tokens, base_score, score, rare_tokens) of every row.
 
@@ -300,17 +381,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     n_rare = n_all - sum(r["n"] for r in top)
     unseen = n_once / (n_rare + n_once) if n_rare else 1.0
 
-    sample = docs.where(F.col(id_col).isNotNull() & (fold(F.col(id_col), FOLDS) != HELD_OUT)).select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    short = F.char_length("__text") <= SAMPLE_CHARS
-    at = F.pmod(F.xxhash64("__id"), F.greatest(F.char_length("__text") - SAMPLE_CHARS + 1, F.lit(1)).cast("long")).cast("int") + 1
-    sample = sample.select("__id", short.alias("__whole"), F.substring("__text", F.when(short, F.lit(1)).otherwise(at), F.lit(SAMPLE_CHARS)).cast("binary").alias("__text"))
-    ids = vocab.ids
-    texts = []
-    for r in seeded_sample(sample, F.col("__id"), SAMPLE_DOCS, "lm-1", docs.count()).collect():  # of bounded size
-        known = np.array([ids.get(w, -1) for w in (tokens(bytes(r["__text"])) if r["__whole"] else tokens(bytes(r["__text"]))[1:-2])], np.int64)
-        if len(known):
-            texts.append(np.where(known >= 0, vocab.input_id[known] if len(ids) else known, RARE))
-    model = fit(texts)
+    model = trained(docs, vocab, from_counts(vocab, [r["n"] for r in top], n_rare), n_all, id_col, text_col)
     shared = spark.sparkContext.broadcast((vocab, model))
 
     rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))

@@ -83,3 +83,28 @@ def test_beats_the_base_on_held_out_documents(spark, data):
 
 def test_empty_table(spark):
     assert lm.query(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_weights_come_from_every_token_of_every_shard(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD", 2_000)
+    words = [f"w{i}".encode() for i in range(50)]
+    vocab = lm.vocabulary([*words, lm.END], [9] * 51)
+    rows = [(i, " ".join(f"w{(i + j) % 50}" for j in range(2_500))) for i in range(12)]
+    train = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    n = sum(len(lm.tokens(t.encode())) for _, t in train)
+    start = lm.from_counts(vocab, [9] * 51, 0)
+    fit = lambda rows: lm.trained(spark.createDataFrame(rows, "doc_id long, text string"), vocab, start, n, "doc_id", "text")
+    model = fit(rows)
+    assert all((a == b).all() for a, b in zip(model.all(), fit(rows[::-1]).all(), strict=True))
+    for i, text in train:  # the last words of each document, beyond any prefix, change the weights
+        other = [(k, t if k != i else text[: -len(" w1 w1")] + " w3") for k, t in rows]
+        assert any((a != b).any() for a, b in zip(model.all(), fit(other).all(), strict=True))
+        break
+    held = [(k, t if (k, t) in train else "w1 w1 w1") for k, t in rows]
+    assert all((a == b).all() for a, b in zip(model.all(), fit(held).all(), strict=True))
+
+
+def test_biases_are_shares_of_the_whole_corpus():
+    m = lm.from_counts(lm.vocabulary([b"a", b"b"], [80, 20]), [80, 20], 7)
+    share = np.exp(m.member_bias[0])
+    assert share[0] / share[1] == pytest.approx(81 / 21, rel=1e-4) and np.exp(m.class_bias).sum() == pytest.approx(1, abs=1e-4)
