@@ -196,10 +196,10 @@ def _spider(s: SparkSession, d: str) -> DataFrame:
 
 
 def _journal(s: SparkSession, d: str) -> DataFrame:
-    """Pages as journal pages with a PDF of each document that shares their number."""
+    """Every document as a journal page, with a PDF of the document that shares its number."""
     page = F.concat(F.lit("https://neliti.com/j/"), F.col("doc_id"))
     html = F.concat(F.lit("<h1>siswa dan guru "), F.col("doc_id"), F.lit('</h1><meta name="citation_author" content="A"><meta name="citation_author" content="B"><a href="/p/'), F.col("doc_id"), F.lit('.pdf">x</a><a href="/p/none.PDF">y</a>'))
-    docs = _docs(s, d).where("doc_id % 3 = 0")
+    docs = _docs(s, d)
     pdfs = _docs(s, d).select(F.concat(F.lit("https://neliti.com/p/"), F.col("doc_id"), F.lit(".pdf")).alias("pdf_url"), "text")
     out = journal.journal_records(docs.select(page.alias("url"), html.alias("html")), pdfs)
     return out.select("url", "source_page", "title", F.array_join("authors", ";").alias("authors"), "word_count", "type", "level")
