@@ -121,7 +121,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     span = F.greatest(F.char_length("__text") - WINDOW + 1, F.lit(1))
     short = F.pmod(F.xxhash64("__id", F.lit("length")), F.lit(WINDOW - 16)).cast("int") + 16
     cuts = [F.substring("__text", F.pmod(F.xxhash64("__id", F.lit(i)), span.cast("long")).cast("int") + 1, size).alias(f"__w{i}") for i, size in enumerate((F.lit(WINDOW), short))]
-    got = seeded_sample(rows.select("__id", "__lang", *cuts), F.col("__id"), sample, seed, docs.count()).toPandas()
+    got = seeded_sample(rows.select("__id", "__lang", *cuts), F.col("__id"), sample, seed).toPandas()
     texts = [t.encode("utf-8", "replace") for i in range(2) for t in got[f"__w{i}"]]
     return fit(texts, list(got["__lang"]) * 2)
 
