@@ -1,10 +1,24 @@
 """Approximate nearest neighbours by a forest of random-projection trees.
 
-Trees are fitted on a bounded, seeded sample (``SAMPLE`` distinct vectors): a
-node splits along the difference of two sampled vectors at the sample's median.
-Every distinct vector is then indexed in one leaf of each tree. A query walks
-all trees through one shared priority queue of margins and visits the leaves of
-the smallest margins; its candidates are scored exactly in their leaves.
+Trees are fitted on a bounded, seeded sample (``SAMPLE`` distinct vectors, and
+``SAMPLE_BYTES`` of them, at most). All nodes of a tree's level split along one
+direction, the difference of two sampled vectors, at the median of the node's
+sampled vectors. Below the levels that the sample fills, ``TURNS`` directions
+take turns, and cuts are normal quantiles of the vectors of the nearest node
+that the sample fills. So a tree has any depth that the table asks for, while
+the model stays small. Every distinct vector is indexed in one leaf of each tree.
+
+A query walks all trees through one shared priority queue: a branch's priority
+is the chance that a neighbour lies in it, given the query's distances from the
+cuts on the way. How neighbours scatter around a query along each direction is
+learned from the sample. Candidates are scored exactly in their leaves.
+
+How many rows a query scores is measured, not set: the fewest with which
+queries out of the sample find ``RECALL`` of their neighbours in the sample.
+For a larger table, that number and the neighbours' nearness go on growing as
+they do from a quarter of the sample to all of it: hardly at all where vectors
+have few dimensions in truth, nearly with the table where they are noise. No
+query scores more rows than there are; where it would, one leaf holds them all.
 
 Nearness is the inner product: vectors get one more component that brings them
 all to the largest norm, so the trees split directions and norms alike.
@@ -14,14 +28,16 @@ never be among k neighbours), so a vector that fills the table is one entry.
 The sample also bounds a query's k-th best score from below, and leaves pass on
 only what reaches a looser bound, so few of the scored candidates leave their task.
 
-Leaves hold ``LEAF`` rows by design: the depth follows the number of vectors as
-far as the sample reaches, and deeper leaves are dealt into parts of ``PART``.
+Tasks work on cells, subtrees of about ``PART`` vectors; cells that hold more
+by the sample's count are dealt into parts.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +51,23 @@ from corpusloom.storage import stored
 K = 20
 QUERY_EVERY = 20
 TREES = 16
-LEAF = 400
+LEAF = 64
 PART = 8192
-SAMPLE = 40_000
-#: The share of all leaves that a query visits, and the rows that it visits in each tree at least.
-SHARE, LEAST = 0.05, 1_000
-#: The bound is the sample's score of rank BOUND * (k + 1), so that k neighbours reach it even if many are missed.
-BOUND = 2
+SAMPLE, SAMPLE_BYTES = 40_000, 64 << 20
+#: Queries out of the sample that measure recall, what they are to reach, and the most leaves to do it with.
+TRIALS, RECALL, LEAVES = 200, 0.92, 4_096
+#: Sampled vectors of a node that has a cut of its own, at least; directions that take turns below such nodes.
+FILLED, TURNS = 8, 4
+#: Sampled vectors that bound a query's k-th best score, and the bound's rank among them, BOUND * (k + 1).
+GAUGE, BOUND = 8_192, 2
+#: What goes on top of an estimate for a table of four times the sample or more.
+SURE = 1.5
+#: Rows that a query scores at least, if there are as many.
+LEAST = 2_048
+#: Bytes of vectors that a task sends on at once.
+BLOCK = 16 << 20
 #: Scores from matrix products are rounded differently; more are kept, and then scored again exactly.
 SPARE = 12
-BY_MARGIN = -1e30
 
 
 def valid(vector: Column) -> Column:
@@ -54,58 +77,198 @@ def valid(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists(wide, lambda x: x != 0), F.lit(False))
 
 
+def _medians(node: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """The lower median of each node's values; 0 of a node without any."""
+    order = np.lexsort((values, node))
+    held = np.bincount(node, minlength=n)
+    first = np.cumsum(held) - held
+    at = np.minimum(first + np.maximum(held - 1, 0) // 2, len(values) - 1)
+    return np.where(held > 0, values[order[at]], 0.0)
+
+
 class Forest:
-    """Complete binary trees of one depth: node normals and thresholds, by heap order."""
-
-    def __init__(self, sample: np.ndarray, depth: int, trees: int, top: float, seed: int = 11):
-        rng = np.random.default_rng(seed)
-        self.depth, self.top = depth, top
-        x = self.lifted(sample)
-        size = (1 << depth) - 1
-        self.normals = rng.normal(size=(trees, size, x.shape[1]))
-        self.cuts = np.zeros((trees, size))
+    """Trees of one depth over vectors of norm ``top`` at most; leaves are numbered over all trees."""
+
+    def __init__(self, sample: np.ndarray, top: float, depth: int, trees: int, seed: int = 11):
+        rng, x = np.random.default_rng(seed), lifted(sample, top)
+        self.depth, self.top, self.trees = depth, top, trees
+        self.filled = min(depth, int(math.log2(max(len(x) / FILLED, 1))))
+        self.directions = np.zeros((trees, depth, x.shape[1]))
+        self.cuts: list[list[np.ndarray]] = []
         for t in range(trees):
-            rows = {0: np.arange(len(x))}
-            for node in range(size):
-                own = rows.pop(node)
-                if len(own) >= 2:
-                    a, b = rng.choice(own, 2, replace=False)
-                    if np.any(x[a] != x[b]):
-                        self.normals[t, node] = x[a] - x[b]
-                self.normals[t, node] /= np.linalg.norm(self.normals[t, node])
-                p = x[own] @ self.normals[t, node]
-                self.cuts[t, node] = np.median(p) if len(own) else 0.0
-                rows[2 * node + 1], rows[2 * node + 2] = own[p <= self.cuts[t, node]], own[p > self.cuts[t, node]]
-
-    def lifted(self, x: np.ndarray) -> np.ndarray:
-        rest = np.sqrt(np.maximum(self.top**2 - (x * x).sum(axis=1), 0))
-        return np.concatenate([x, rest[:, None]], axis=1)
-
-    def leaves(self, x: np.ndarray) -> np.ndarray:
-        """(rows, trees): the leaf of each vector in each tree, numbered over all trees."""
-        x, out = self.lifted(x), []
-        for t in range(len(self.normals)):
-            node = np.zeros(len(x), np.int64)
-            for _ in range(self.depth):
-                node = 2 * node + 1 + ((x * self.normals[t][node]).sum(axis=1) > self.cuts[t][node])
-            out.append(node - (1 << self.depth) + 1 + (t << self.depth))
+            for level in range(min(depth, self.filled + TURNS)):
+                a, b = rng.choice(len(x), 2, replace=False) if len(x) > 1 else (0, 0)
+                way = x[a] - x[b] if np.any(x[a] != x[b]) else rng.normal(size=x.shape[1])
+                self.directions[t, level] = way / np.linalg.norm(way)
+            for level in range(self.filled + TURNS, depth):
+                self.directions[t, level] = self.directions[t, level - TURNS]
+            along, node, cuts = x @ self.directions[t].T, np.zeros(len(x), np.int64), []
+            for level in range(self.filled):
+                cuts.append(_medians(node, along[:, level], 1 << level))
+                node = 2 * node + (along[:, level] > cuts[-1][node])
+            held = np.maximum(np.bincount(node, minlength=1 << self.filled), 1)
+            for level in range(self.filled, depth):
+                v = along[:, level]
+                mean = np.bincount(node, v, 1 << self.filled) / held
+                sd = np.sqrt(np.maximum(np.bincount(node, v * v, 1 << self.filled) / held - mean**2, 0))
+                before = (level - self.filled) // TURNS
+                at = [NormalDist().inv_cdf((2 * i + 1) / (2 << before)) for i in range(1 << before)]
+                cuts.append((mean[:, None] + sd[:, None] * np.array(at)).ravel())
+            self.cuts.append(cuts)
+        self.slope, self.shift, self.spread = np.ones((trees, depth)), np.zeros((trees, depth)), np.ones((trees, depth))
+
+    def place(self, level: int, node):
+        """Where ``cuts`` of a level have a node's (an int's, or an array's of them)."""
+        beyond = level - self.filled
+        if beyond <= 0:
+            return node
+        out = node >> beyond
+        for back in range(beyond - beyond // TURNS * TURNS, beyond, TURNS):  # the sides taken along this direction, first to last
+            out = 2 * out + (node >> (beyond - 1 - back) & 1)
+        return out
+
+    def leaves(self, vectors: np.ndarray) -> np.ndarray:
+        """(rows, trees): the leaf of each vector in each tree."""
+        x, out = lifted(vectors, self.top), []
+        for t in range(self.trees):
+            along, node = x @ self.directions[t].T, np.zeros(len(x), np.int64)
+            for level, cut in enumerate(self.cuts[t]):
+                node = 2 * node + (along[:, level] > cut[self.place(level, node)])
+            out.append(node + (t << self.depth))
         return np.stack(out, axis=1)
 
-    def visits(self, q: np.ndarray, count: int) -> np.ndarray:
-        """The ``count`` leaves of the smallest margins, over all trees, for one query."""
-        n, trees = (1 << self.depth) - 1, len(self.normals)
-        q = np.append(q / np.linalg.norm(q) * self.top, 0.0)
-        side = (self.normals @ q - self.cuts).tolist()
-        queue, out = [(BY_MARGIN, t, 0) for t in range(trees)], []
-        while queue and len(out) < count:
-            margin, t, node = heapq.heappop(queue)
-            while node < n:
-                s = side[t][node]
-                near, far = (2 * node + 2, 2 * node + 1) if s > 0 else (2 * node + 1, 2 * node + 2)
-                heapq.heappush(queue, (max(margin, abs(s)), t, far))
-                node = near
-            out.append(node - n + (t << self.depth))
-        return np.array(out)
+    def asked(self, queries: np.ndarray) -> np.ndarray:
+        """Queries as vectors of the largest norm: their own norm changes no ranks."""
+        size = np.abs(queries).max(axis=1, keepdims=True)
+        unit = queries / size
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        return np.concatenate([unit * self.top, np.zeros((len(unit), 1))], axis=1)
+
+    def learn(self, queries: np.ndarray, near: np.ndarray, closer: float = 1.0) -> None:
+        """How neighbours (queries, k, dimension) lie along each direction, as a line through the query's place.
+
+        ``closer``: how much nearer than those the neighbours in the table are.
+        """
+        q, y = self.asked(queries), lifted(near.reshape(-1, near.shape[2]), self.top)
+        for t in range(self.trees):
+            a = np.repeat(q @ self.directions[t].T, near.shape[1], axis=0)
+            b = y @ self.directions[t].T
+            wide = a.var(axis=0)
+            self.slope[t] = np.where(wide > 0, ((a - a.mean(axis=0)) * (b - b.mean(axis=0))).mean(axis=0) / np.maximum(wide, 1e-300), 0.0)
+            self.shift[t] = b.mean(axis=0) - self.slope[t] * a.mean(axis=0)
+            self.spread[t] = np.maximum((b - self.slope[t] * a - self.shift[t]).std(axis=0), 1e-6 * self.top)
+        self.slope = 1 - (1 - self.slope) * closer**2
+        self.shift, self.spread = self.shift * closer**2, self.spread * closer
+
+    def visits(self, query: np.ndarray, count: int) -> list[int]:
+        """The ``count`` leaves in which a neighbour is likeliest, over all trees, likeliest first."""
+        along = self.directions @ self.asked(query[None])[0]
+        place = (self.slope * along + self.shift).tolist()
+        scale = (math.sqrt(0.5) / self.spread).tolist()
+        if not hasattr(self, "listed"):
+            self.listed = [[c.tolist() for c in cuts] for cuts in self.cuts]
+        depth, filled, erfc, log = self.depth, self.filled, math.erfc, math.log
+        push, swap, out = heapq.heappush, heapq.heappushpop, []
+        queue = [(0.0, t, 0, 0) for t in range(1, self.trees)]
+        now = (0.0, 0, 0, 0)
+        while True:
+            cost, t, level, node = now
+            if level == depth:
+                out.append(node + (t << depth))
+                if len(out) == count or not queue:
+                    return out
+                now = heapq.heappop(queue)
+                continue
+            cut = self.listed[t][level][node if level <= filled else self.place(level, node)]
+            right = 0.5 * erfc((cut - place[t][level]) * scale[t][level])
+            high = (cost - log(right if right > 1e-12 else 1e-12), t, level + 1, 2 * node + 1)
+            low = (cost - log(1 - right if right < 1 - 1e-12 else 1e-12), t, level + 1, 2 * node)
+            push(queue, low if right > 0.5 else high)
+            now = swap(queue, high if right > 0.5 else low)
+
+
+def lifted(x: np.ndarray, top: float) -> np.ndarray:
+    rest = np.sqrt(np.maximum(top**2 - (x * x).sum(axis=1), 0))
+    return np.concatenate([x, rest[:, None]], axis=1)
+
+
+@dataclass
+class Index:
+    """The search over vectors of one length: a forest, None for one leaf; leaves a query visits; levels of cells, and their parts."""
+
+    forest: Forest | None
+    count: int
+    rows: int
+    cell_level: int
+    parts: np.ndarray
+    gauge: np.ndarray
+    top: float
+    recall: float
+
+    def cell(self, leaf: np.ndarray) -> np.ndarray:
+        return leaf >> (self.forest.depth - self.cell_level) if self.forest else leaf
+
+    @property
+    def scored(self) -> float:
+        """Rows that a query scores, about, repeats included."""
+        return self.count * self.rows / (1 << self.forest.depth) if self.forest else float(self.rows)
+
+
+def _neighbours(sample: np.ndarray, k: int) -> np.ndarray:
+    """(trials, k): places of the nearest in the sample of its first rows."""
+    trials = sample[:TRIALS]
+    scores = trials @ sample.T
+    scores[np.arange(len(trials)), np.arange(len(trials))] = -np.inf
+    return np.argpartition(-scores, k - 1, axis=1)[:, :k]
+
+
+def _measured(sample: np.ndarray, top: float, k: int, trees: int, leaf: int, recall: float) -> tuple[float, float, float]:
+    """(rows a query is to score among ``sample`` itself, their recall, spread of its neighbours): all rows, if fewer don't do."""
+    n = len(sample)
+    depth, near, trials = math.ceil(math.log2(max(n / leaf, 1))), _neighbours(sample, k), sample[:TRIALS]
+    forest = Forest(sample, top, depth, trees)
+    forest.learn(trials, sample[near])
+    home, most = forest.leaves(sample), 1 << depth
+    first = np.full(near.shape, most)
+    for i, q in enumerate(trials):
+        rank = {leaf: r for r, leaf in enumerate(forest.visits(q, most))}
+        first[i] = [min(rank.get(v, most) for v in row) for row in home[near[i]].tolist()]
+    found = np.cumsum(np.bincount(first.ravel(), minlength=most + 1)[:most]) / first.size
+    spread = float(forest.spread.mean()) if depth else top
+    if found[-1] < recall:
+        return n, 1.0, spread
+    count = int(np.argmax(found >= recall))
+    return (count + 1) * n / most, float(found[count]), spread
+
+
+def fit(sample: np.ndarray, rows: int, top: float, k: int = K, trees: int = TREES, leaf: int = LEAF, recall: float = RECALL, part: int = PART) -> Index:
+    """The index for ``rows`` distinct vectors that ``sample`` (in random order) stands for."""
+    n = len(sample)
+    exact = Index(None, 1, rows, 0, np.array([max(1, math.ceil(rows / part))]), sample[:GAUGE], top, 1.0)
+    if rows <= LEAST or n <= 8 * k or not 0 < top * top < math.inf:
+        return exact
+    least, got, spread = _measured(sample, top, k, trees, leaf, recall)
+    closer = 1.0
+    if rows > n and n >= 32 * k:
+        before, _, wider = _measured(sample[: n // 4], top, k, trees, leaf, recall)
+        steps = math.log(rows / n) / math.log(4)
+        least *= min(max(least / before, 1.0), 4.0) ** steps * SURE ** min(steps, 1.0)
+        closer = min(spread / wider, 1.0) ** steps
+    elif rows > n:
+        least *= rows / n
+    least = max(least, LEAST)
+    depth = math.ceil(math.log2(rows / leaf))
+    while depth and least / rows * (1 << depth) > LEAVES:
+        depth -= 1
+    count = math.ceil(least / rows * (1 << depth))
+    if count >= 1 << depth:
+        return exact
+    forest = Forest(sample, top, depth, trees)
+    forest.learn(sample[:TRIALS], sample[_neighbours(sample, k)], closer)
+    level = min(depth, forest.filled, max(0, math.ceil(math.log2(rows / part))))
+    held = np.bincount((forest.leaves(sample) >> (depth - level)).ravel(), minlength=trees << level)
+    parts = np.maximum(1, np.ceil(held * (rows / n) / (2 * part))).astype(np.int64)
+    return Index(forest, count, rows, level, parts, sample[:GAUGE], top, got)
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -114,89 +277,152 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, trees: int = TREES, leaf: int = LEAF, share: float = SHARE) -> DataFrame:
+def _packed(rows: np.ndarray) -> pa.Array:
+    """Rows of a matrix as binary values."""
+    data, wide = np.ascontiguousarray(rows), rows.shape[1] * rows.dtype.itemsize
+    offsets = np.arange(len(data) + 1, dtype=np.int64) * wide
+    return pa.Array.from_buffers(pa.large_binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _unpacked(column: pa.ChunkedArray, dim: int, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(float)
+
+
+def indexes(kinds: DataFrame, k: int, trees: int, leaf: int, recall: float) -> dict[int, Index]:
+    """An :class:`Index` for each length of ``kinds`` (__key, __v, __dim); the driver gets the sample and a row a length."""
+    norm = F.sqrt(F.aggregate("__v", F.lit(0.0), lambda a, x: a + x * x))
+    sizes = {r["__dim"]: (r["n"], r["top"]) for r in kinds.groupBy("__dim").agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("top")).collect()}
+    if not sizes:
+        return {}
+    total, widest = sum(n for n, _ in sizes.values()), max(sizes)
+    most = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * widest)))
+    got = seeded_sample(kinds.select("__key", "__v", "__dim"), F.col("__key"), most, "ann-1", total).select("__v", "__dim").toArrow()
+    by_dim = got["__dim"].to_numpy()
+    out = {}
+    for dim, (n, top) in sizes.items():
+        at = np.flatnonzero(by_dim == dim)
+        out[dim] = fit(_matrix(got["__v"].take(pa.array(at)), dim), n, top, k, trees, leaf, recall)
+    return out
+
+
+def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, trees: int = TREES, leaf: int = LEAF, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row for which ``queries`` holds.
 
-    Rows with a null id, or whose vector is not :func:`valid`, take no part;
-    neither do vectors of another length than the longest. A query is no
-    candidate of its own, its copies are. Ties go to the smaller id. Repeated
-    rows (one id, one vector) count once. Without valid rows the result is
-    empty; with few, all candidates come back.
+    Rows with a null id, or whose vector is not :func:`valid`, take no part.
+    Vectors of different lengths have no inner product: each length is searched
+    by itself. A query is no candidate of its own, its copies are. Ties go to
+    the smaller id. Repeated rows (one id, one vector) count once; an id with
+    several vectors asks and answers with each of them. Without valid rows the
+    result is empty; with few, all candidates come back. Norms whose square is
+    beyond a double are searched without trees. Other columns don't matter.
     """
     spark = vectors.sparkSession
+    narrow = vectors.schema[vector_col].dataType.elementType.typeName() == "float"
+    real = np.float32 if narrow else np.float64
     rows = vectors.select(F.col(id_col).cast("long").alias("__id"), F.transform(vector_col, lambda x: x.cast("double") + F.lit(0.0)).alias("__v"), queries.alias("__q"))
     rows = rows.where(F.col("__id").isNotNull() & valid(F.col("__v"))).dropDuplicates(["__id", "__v"])
-    dim = rows.agg(F.max(F.size("__v"))).first()[0] or 0
-    rows = stored(rows.where(F.size("__v") == dim).withColumn("__h", F.xxhash64("__v")))
+    rows = stored(rows.withColumn("__h", F.xxhash64("__v")))
     first = rows.select("__h", "__v", "__id", F.row_number().over(W.partitionBy("__h", "__v").orderBy("__id")).alias("__r")).where(F.col("__r") <= k + 1)
     kinds = first.groupBy("__h", "__v").agg(F.sort_array(F.collect_list("__id")).alias("__ids"))
-    kinds = stored(kinds.select("__h", "__v", "__ids", F.col("__ids")[0].alias("__key")))
-    n, top = kinds.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("__v", F.lit(0.0), lambda a, x: a + x * x)))).first()
-    asked = stored(rows.where("__q").groupBy("__h", "__v").agg(F.min("__id").alias("__query")))
-    sample = seeded_sample(kinds.select("__key", "__v"), F.col("__key"), SAMPLE, "ann-1", n).select("__v").toArrow()  # of fixed size
-    sample = _matrix(sample.column(0), dim) if dim else np.zeros((0, 0))
-    depth = max(0, min(math.ceil(math.log2(max(n, 1) / leaf)), int(math.log2(max(len(sample), 4) / 4))))
-    per_leaf = max(1.0, n / (1 << depth))
-    count = min(trees << depth, math.ceil(max(share * (trees << depth), trees * LEAST / per_leaf)))
-    parts = max(1, math.ceil(per_leaf / PART))
-    forest = Forest(sample, depth, trees, top or 1.0) if len(sample) else None
-    shared = spark.sparkContext.broadcast((forest, sample))  # of a size that the sample bounds
+    # an id with several vectors names several kinds, so kinds have names of their own
+    kinds = stored(kinds.select("__h", "__v", "__ids", F.col("__ids")[0].alias("__key"), F.size("__v").alias("__dim"), F.monotonically_increasing_id().alias("__kind")))
+    asked = stored(rows.where("__q").groupBy("__h", "__v").agg(F.min("__id").alias("__query"), F.size(F.first("__v")).alias("__dim")))
+    found = indexes(kinds, k, trees, leaf, recall)
+    shared = spark.sparkContext.broadcast(found)  # of a size that the sample bounds
+
+    def by_dim(dims):
+        """(length, positions) of a batch's rows."""
+        dims = dims.to_numpy()
+        for dim in np.unique(dims).tolist():
+            yield dim, np.flatnonzero(dims == dim)
 
     def index(batches):
-        forest, _ = shared.value
         for b in batches:
-            if len(b):
-                cells = forest.leaves(_matrix(b.column(1), dim))
-                at = np.repeat(np.arange(len(b)), cells.shape[1])
-                key = b.column(0).to_numpy()[at]
-                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel()), pa.array(key % parts), pa.array(key), b.column(1).take(pa.array(at))], names=["cell", "part", "key", "v"])
+            for dim, rows in by_dim(b.column(2)):
+                one = shared.value[dim]
+                for at in np.array_split(rows, -(-len(rows) * trees * dim * 8 // BLOCK)):
+                    v, kind, key = _matrix(b.column(1).take(pa.array(at)), dim), b.column(0).to_numpy()[at], b.column(3).to_numpy()[at]
+                    leaves = one.forest.leaves(v) if one.forest else np.zeros((len(v), 1), np.int64)
+                    of = np.repeat(np.arange(len(v)), leaves.shape[1])
+                    leaves = leaves.ravel()
+                    cell = one.cell(leaves)
+                    part = (kind[of] ^ (kind[of] >> 33)) % one.parts[cell]
+                    cols = [np.full(len(of), dim), cell, part, leaves, kind[of], key[of]]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), _packed(v.astype(real)).take(pa.array(of))], names=["dim", "cell", "part", "leaf", "kind", "key", "v"])
 
     def probe(batches):
-        forest, sample = shared.value
-        rank = BOUND * (k + 1)
+        rank, names = BOUND * (k + 1), ["dim", "cell", "part", "query", "q", "least", "leaves"]
         for b in batches:
-            for i, q in enumerate(_matrix(b.column(1), dim)):
-                scores = sample @ q
-                least = float(np.partition(scores, len(scores) - rank)[len(scores) - rank]) if len(scores) > rank else -np.inf
-                least -= 1e-9 * float(np.abs(q).sum() * top)
-                cells = forest.visits(q, count).repeat(parts)
-                n = len(cells)
-                at = pa.array(np.full(n, i))
-                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.tile(np.arange(parts), n // parts)), b.column(0).take(at), b.column(1).take(at), pa.array(np.full(n, least))], names=["cell", "part", "query", "q", "least"])
+            for dim, at in by_dim(b.column(2)):
+                one, q, query, out = shared.value[dim], _matrix(b.column(1).take(pa.array(at)), dim), b.column(0).to_numpy()[at], []
+
+                def flush():
+                    cells, parts, of, least, own = zip(*out, strict=True)
+                    out.clear()
+                    plain = [pa.array(x, pa.int64()) for x in ([dim] * len(of), cells, parts, query[list(of)])]
+                    return pa.RecordBatch.from_arrays([*plain, _packed(q[list(of)].astype(real)), pa.array(least, pa.float64()), pa.array(own, pa.list_(pa.int64()))], names=names)
+
+                for i in range(len(q)):
+                    least = -np.inf
+                    if len(one.gauge) > rank:
+                        scores = one.gauge @ q[i]
+                        least = float(np.partition(scores, len(scores) - rank)[len(scores) - rank]) - 1e-9 * float(np.abs(q[i]).sum() * one.top)
+                    leaves = np.sort(one.forest.visits(q[i], one.count)) if one.forest else np.zeros(1, np.int64)
+                    cell, begin = np.unique(one.cell(leaves), return_index=True)
+                    for c, own in zip(cell.tolist(), np.split(leaves, begin[1:]), strict=True):
+                        out += [(c, p, i, least, own) for p in range(one.parts[c])]
+                    if len(out) * dim * 8 > BLOCK:
+                        yield flush()
+                if out:
+                    yield flush()
 
     def rank(members: pa.Table, probes: pa.Table) -> pa.Table:
-        ids, keys, scores = [], [], []
+        ids, at, scores, keep = [], [], [], k + 1 + SPARE
         if len(members) and len(probes):
-            x, key = _matrix(members["v"], dim), members["key"].to_numpy()
-            q, query, least = _matrix(probes["q"], dim), probes["query"].to_numpy(), probes["least"].to_numpy()
-            keep = k + 1 + SPARE
-            for a in range(0, len(q), 512):
-                rough = q[a : a + 512] @ x.T
-                edge = least[a : a + 512]
-                if rough.shape[1] > keep:
-                    edge = np.maximum(edge, np.partition(rough, rough.shape[1] - keep, axis=1)[:, rough.shape[1] - keep])
-                i, j = np.nonzero(rough >= edge[:, None])
-                ids.append(query[a : a + 512][i])
-                keys.append(key[j])
-                scores.append((q[a + i] * x[j]).sum(axis=1))
+            dim = members["dim"][0].as_py()
+            x, q = _unpacked(members["v"], dim, real), _unpacked(probes["q"], dim, real)
+            order = np.argsort(members["leaf"].to_numpy(), kind="stable")
+            x, home = x[order], members["leaf"].to_numpy()[order]
+            wanted = probes["leaves"].combine_chunks()
+            goal, of = wanted.flatten().to_numpy(), np.repeat(np.arange(len(q)), np.diff(wanted.offsets.to_numpy()))
+            turn = np.argsort(goal, kind="stable")
+            goal, of = goal[turn], of[turn]
+            query, least = probes["query"].to_numpy(), probes["least"].to_numpy()
+            held, begin = np.unique(home, return_index=True)
+            end = np.append(begin[1:], len(home))
+            low, high = np.searchsorted(goal, held), np.searchsorted(goal, held, side="right")
+            for b, e, f, t in zip(begin.tolist(), end.tolist(), low.tolist(), high.tolist(), strict=True):
+                for a in range(f, t, 512):
+                    who = of[a : min(a + 512, t)]
+                    rough, edge = q[who] @ x[b:e].T, least[who]
+                    if e - b > keep:
+                        edge = np.maximum(edge, np.partition(rough, e - b - keep, axis=1)[:, e - b - keep])
+                    i, j = np.nonzero(rough >= edge[:, None])
+                    ids.append(query[who[i]])
+                    at.append(order[b + j])
+                    scores.append((q[who[i]] * x[b + j]).sum(axis=1))
         join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
-        return pa.table({"query": join(ids, np.int64), "key": join(keys, np.int64), "score": join(scores, float)})
+        at = pa.array(join(at, np.int64))
+        return pa.table({"query": join(ids, np.int64), "kind": members["kind"].take(at), "key": members["key"].take(at), "score": join(scores, float)})
 
-    members = kinds.select("__key", "__v").mapInArrow(index, "cell bigint, part bigint, key bigint, v array<double>")
-    probes = asked.select("__query", "__v").mapInArrow(probe, "cell bigint, part bigint, query bigint, q array<double>, least double")
-    pairs = members.groupBy("cell", "part").cogroup(probes.groupBy("cell", "part")).applyInArrow(rank, "query bigint, key bigint, score double")
-    pairs = pairs.groupBy("query", "key").agg(F.first("score").alias("score"))  # one pair from several trees has one score
-    best = W.partitionBy("query").orderBy(F.desc("score"), "key")
+    asked = stored(asked.withColumn("__ask", F.monotonically_increasing_id()))
+    members = kinds.select("__kind", "__v", "__dim", "__key").mapInArrow(index, "dim bigint, cell bigint, part bigint, leaf bigint, kind bigint, key bigint, v binary")
+    probes = asked.select("__ask", "__v", "__dim").mapInArrow(probe, "dim bigint, cell bigint, part bigint, query bigint, q binary, least double, leaves array<bigint>")
+    cell = ["dim", "cell", "part"]
+    pairs = members.groupBy(*cell).cogroup(probes.groupBy(*cell)).applyInArrow(rank, "query bigint, kind bigint, key bigint, score double")
+    pairs = pairs.groupBy("query", "kind").agg(F.first("key").alias("key"), F.first("score").alias("score"))  # one pair from several trees has one score
+    best = W.partitionBy("query").orderBy(F.desc("score"), "key", "kind")
     pairs = pairs.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k + 1).drop("__r")
-    named = pairs.join(kinds.select(F.col("__key").alias("key"), "__ids"), "key").select("query", "score", F.explode("__ids").alias("vec_id"))
+    pairs = pairs.join(kinds.select(F.col("__kind").alias("kind"), "__ids"), "kind")
+    named = pairs.select("query", "score", F.explode("__ids").alias("vec_id"))
     by_id = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    named = named.withColumn("__r", F.row_number().over(by_id)).where(F.col("__r") <= k + 1)
+    named = named.withColumn("__r", F.row_number().over(by_id)).where(F.col("__r") <= 2 * (k + 1))
     lists = stored(named.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("__r", "vec_id", "score"))).alias("__near")))
-    every = rows.where("__q").select(F.col("__id").alias("query_id"), "__h", "__v").join(asked, ["__h", "__v"]).select("query_id", F.col("__query").alias("query"))
-    found = every.join(lists, "query")
+    every = rows.where("__q").select(F.col("__id").alias("query_id"), "__h", "__v").join(asked, ["__h", "__v"]).select("query_id", F.col("__ask").alias("query"))
+    out = every.join(lists, "query")
     own = F.slice(F.filter("__near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
-    found = found.select("query_id", F.posexplode(own).alias("__p", "__n"))
-    return found.select("query_id", (F.col("__p") + 1).cast("int").alias("rank"), F.col("__n.vec_id").alias("vec_id"), F.col("__n.score").alias("score"))
+    out = out.select("query_id", F.posexplode(own).alias("__p", "__n"))
+    return out.select("query_id", (F.col("__p") + 1).cast("int").alias("rank"), F.col("__n.vec_id").alias("vec_id"), F.col("__n.score").alias("score"))
 
 
 def query(vectors: DataFrame) -> DataFrame:

@@ -53,27 +53,67 @@ def test_norms_count(spark):
     assert {q: [i for i, _ in n] for q, n in got.items()} == {q: [i for i, _ in n] for q, n in want.items()}
 
 
-def test_recall_and_whole_index(spark):
-    rng = np.random.default_rng(3)
-    x = rng.normal(size=(6000, 32)).astype(np.float32)
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
-    got = {}
-    for r in ann.nearest(df, F.col("vec_id") % 100 == 0, leaf=100, share=0.08).collect():
-        got.setdefault(r["query_id"], set()).add(r["vec_id"])
-    recall = []
+def recall_of(got, x):
+    found = []
     for q, near in got.items():
         s = x.astype(float) @ x[q].astype(float)
         s[q] = -np.inf
-        recall.append(len(near & set(np.argsort(-s)[:20].tolist())) / 20)
-    assert len(got) == 60 and np.mean(recall) >= 0.9
+        found.append(len(near & set(np.argsort(-s)[:20].tolist())) / 20)
+    return np.mean(found)
+
+
+def test_recall_at_default_parameters(spark):
+    x = np.random.default_rng(3).normal(size=(6000, 32)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for q, near in ours(df).items():
+        got[q] = {i for i, _ in near}
+        assert len(near) == 20 and [-s for _, s in near] == sorted(-s for _, s in near)
+    assert len(got) == 300 and recall_of(got, x) >= 0.9
+
+
+def test_lengths_are_searched_apart(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(np.float32(v)) for v in rng.normal(size=4 if i % 3 else 5)]) for i in range(200)] + [(1000, [1.0] * 9), (1001, [2.0] * 7)]
+    got, want = ours(frame(spark, rows)), {}
+    for dim in (4, 5, 7, 9):
+        want |= brute([r for r in rows if len(r[1]) == dim])
+    assert {q: [i for i, _ in n] for q, n in got.items()} == {q: [i for i, _ in n] for q, n in want.items() if n}
+
+
+def test_repeated_rows_count_once_and_an_id_may_have_two_vectors(spark):
+    rows = [(20, [1.0, 0.0]), (20, [1.0, 0.0]), (21, [3.0, 1.0]), (21, [3.0, 1.0]), (21, [0.0, 5.0])]
+    got = ours(frame(spark, rows))
+    assert got == {20: [(21, 3.0), (21, 0.0)]}
+
+
+def test_scored_rows_grow_far_slower_than_the_table():
+    rng = np.random.default_rng(7)
+    flat = rng.normal(size=(40_000, 4)) @ rng.normal(size=(4, 32))  # four dimensions inside 32
+    top = float(np.linalg.norm(flat, axis=1).max())
+    one = ann.fit(flat[:5_000], 40_000, top)  # fitted on an eighth
+    home, found = one.forest.leaves(flat), []
+    for q in flat[5_000:5_060]:
+        scores = flat @ q
+        visited = set(one.forest.visits(q, one.count))
+        found.append(np.mean([any(v in visited for v in home[i].tolist()) for i in np.argsort(-scores)[1:21]]))
+    assert np.mean(found) >= 0.9 and one.scored <= 10_000
+    assert one.forest.depth > one.forest.filled
+    assert ann.fit(flat[:5_000], 40_000_000, top).scored <= 50 * one.scored  # of a thousand times as many
+
+
+def test_a_query_scores_no_more_rows_than_there_are():
+    x = np.random.default_rng(8).normal(size=(9000, 96))  # hard: distances hardly differ
+    for n in (100, 2000, 9000):
+        assert ann.fit(x[:n], n, float(np.linalg.norm(x, axis=1).max())).scored <= n
 
 
 def test_forest_assigns_every_vector_once_a_tree():
     x = np.random.default_rng(4).normal(size=(500, 5))
-    f = ann.Forest(x, 4, 3, 10.0)
+    f = ann.Forest(x, 10.0, 4, 3)
     leaves = f.leaves(x)
     assert leaves.shape == (500, 3) and ((leaves >> 4) == np.arange(3)).all()
-    assert sorted(f.visits(x[0], 48).tolist()) == list(range(48))
+    assert sorted(f.visits(x[0], 48)) == list(range(48))
 
 
 def test_empty_table(spark):
