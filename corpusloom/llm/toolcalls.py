@@ -11,6 +11,12 @@ A message holds calls and results as JSON, or is plain text:
   identifier is the conversation and the user's turn.
 * Anything else is a message, kept but not linked.
 
+Identifiers and references hold inside their conversation; null conversations
+are one of their own. An identifier, name or reference that is no string goes
+by its canonical JSON. Text that is no JSON, holds NaN, Infinity or a number
+beyond a double, or nests deeper than ``DEPTH``, is plain. Lone surrogates,
+which no UTF-8 text can hold, come back as escapes.
+
 Calls and results meet in a hash join on the identifier; nothing gathers a
 conversation. Dependencies on earlier calls need no work, as order of
 appearance is topological for them; only calls that refer forward are raised,
@@ -20,22 +26,44 @@ level by level, until nothing changes or a cycle is left.
 from __future__ import annotations
 
 import json
+import math
+import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import connected_components
 from corpusloom.storage import stored
 
 #: Schemas of the tools that calls may name: a subset of JSON Schema.
-SCHEMAS = {"respond": {"type": "object", "required": ["prompt"], "properties": {"prompt": {"type": "string", "minLength": 1}}, "additionalProperties": False}}
+SCHEMAS = {
+    "respond": {
+        "type": "object",
+        "required": ["prompt"],
+        "properties": {"prompt": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "maximum": 160}, "after": {"type": "object"}},
+        "additionalProperties": False,
+    }
+}
 KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
+#: Nesting that is read as JSON.
+DEPTH = 100
+LONE = re.compile("[\ud800-\udfff]")
+
+
+def whole(text: str) -> str:
+    """Text that UTF-8 can hold: lone surrogates as escapes."""
+    return LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 def canonical(value) -> str:
     """JSON with sorted keys, no spaces, and no escapes but those JSON demands."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return whole(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
+def named(value) -> str:
+    """An identifier or name as text."""
+    return whole(value) if isinstance(value, str) else canonical(value)
 
 
 def _is(value, kind: str) -> bool:
@@ -53,7 +81,7 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
     out, kinds = [], schema.get("type")
     if kinds is not None and not any(_is(value, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return [f"{at}: not {kinds}"]
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         out.append(f"{at}: not in enum")
     if isinstance(value, str):
         out += [f"{at}: {n}" for n, bad in (("minLength", len(value) < schema.get("minLength", 0)), ("maxLength", len(value) > schema.get("maxLength", len(value)))) if bad]
@@ -64,28 +92,41 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
             out += violations(x, schema.get("items", {}), f"{at}[{i}]")
     if isinstance(value, dict):
         known = schema.get("properties", {})
-        out += [f"{at}.{k}: missing" for k in sorted(schema.get("required", [])) if k not in value]
+        out += [f"{at}.{whole(k)}: missing" for k in sorted(schema.get("required", [])) if k not in value]
         for k in sorted(value):
             if k in known:
-                out += violations(value[k], known[k], f"{at}.{k}")
+                out += violations(value[k], known[k], f"{at}.{whole(k)}")
             elif schema.get("additionalProperties", True) is False:
-                out.append(f"{at}.{k}: unknown")
+                out.append(f"{at}.{whole(k)}: unknown")
     return out
 
 
 def _references(value) -> list[str]:
     if isinstance(value, dict):
         if set(value) == {"$ref"}:
-            return [str(value["$ref"])]
+            return [named(value["$ref"])]
         return [r for v in value.values() for r in _references(v)]
     return [r for v in value for r in _references(v)] if isinstance(value, list) else []
 
 
+def _finite(text: str) -> float:
+    if not math.isfinite(number := float(text)):
+        raise ValueError(text)
+    return number
+
+
 def _load(text: str):
+    """The value, None if it is no JSON or nests too deep."""
     try:
-        return json.loads(text)
+        value = json.loads(text, parse_constant=_finite, parse_float=_finite)
     except (ValueError, RecursionError):
         return None
+    layer = [value]
+    for _ in range(DEPTH):
+        layer = [x for v in layer if isinstance(v, (dict, list)) for x in (v.values() if isinstance(v, dict) else v)]
+        if not layer:
+            return value
+    return None
 
 
 def items(conv: int | None, turn: int | None, role: str | None, text: str | None, schemas: dict) -> list[tuple]:
@@ -98,11 +139,12 @@ def items(conv: int | None, turn: int | None, role: str | None, text: str | None
             c = c if isinstance(c, dict) else {}
             args, name, ident = c.get("arguments"), c.get("name"), c.get("id")
             args = _load(args) if isinstance(args, str) else args
-            wrong = violations(args, schemas[name]) if name in schemas else [f"unknown tool {name}"]
-            out.append(("call", i, None if ident is None else str(ident), None if name is None else str(name), canonical(args), None, sorted(set(_references(args))), "; ".join(wrong) or None))
+            known = isinstance(name, str) and name in schemas
+            wrong = violations(args, schemas[name]) if known else [f"unknown tool {named(name)}"]
+            out.append(("call", i, None if ident is None else named(ident), None if name is None else named(name), canonical(args), None, sorted(set(_references(args))), "; ".join(wrong) or None))
         return out
     if isinstance(found, dict) and found.get("tool_call_id") is not None:
-        return [("result", 0, str(found["tool_call_id"]), None, None, canonical(found.get("content")), [], None)]
+        return [("result", 0, named(found["tool_call_id"]), None, None, canonical(found.get("content")), [], None)]
     if conv is not None and turn is not None and role == "user":
         args = {"prompt": text}
         return [("call", 0, f"{conv}:{turn}", "respond", canonical(args), None, [], "; ".join(violations(args, schemas.get("respond", {}))) or None)]
@@ -111,6 +153,11 @@ def items(conv: int | None, turn: int | None, role: str | None, text: str | None
     return [("message", 0, None, None, None, canonical(text), [], None)]
 
 
+def scoped(ident: Column) -> Column:
+    """An identifier with its conversation."""
+    return F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), F.lit(":"), ident)
+
+
 def parsed(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     """One row for every call, result or message."""
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
@@ -126,7 +173,7 @@ def parsed(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """(id, level, broken) of calls (id, at, refs): broken names a reference without a call, or a cycle.
+    """(id, level, broken) of calls (id, at, refs: structs of id and name): broken names a reference without a call, or a cycle.
 
     Level 0 for calls that refer to earlier ones only; a call that refers
     forward is one above what it refers to. Only groups of calls with a forward
@@ -134,9 +181,9 @@ def levels(calls: DataFrame) -> DataFrame:
     above its number of forward references, so what rises beyond is in a cycle
     or waits for one, and the rounds end.
     """
-    refs = calls.select("id", "at", F.explode("refs").alias("to"))
+    refs = calls.select("id", "at", F.explode("refs").alias("r")).select("id", "at", F.col("r.id").alias("to"), "r.name")
     ends = refs.join(calls.select(F.col("id").alias("to"), F.col("at").alias("to_at")), "to", "left")
-    missing = ends.where("to_at IS NULL").groupBy("id").agg(F.concat(F.lit("unresolved "), F.min("to")).alias("broken"))
+    missing = ends.where("to_at IS NULL").groupBy("id").agg(F.concat(F.lit("unresolved "), F.min("name")).alias("broken"))
     ends = stored(ends.where("to_at IS NOT NULL").select("id", "to", (F.col("to_at") >= F.col("at")).alias("forward")))
     out = calls.select("id", F.lit(0).alias("level")).join(missing, "id", "left")
     if ends.where("forward").isEmpty():
@@ -164,31 +211,35 @@ def linked(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     """(conv_id, turn, index, kind, id, tool, level, result_turn, valid, error, record): every call, result and message.
 
     A call's record has its arguments and the earliest result of its
-    identifier (null if none). Later results of it, and results without a
-    call, come back as ``orphan``. Of calls with one identifier the earliest is
-    linked, the others are errors. Null or empty texts are plain ones; rows
-    with a null conversation or turn are messages, unless JSON names them.
-    Sorting by (conv_id, level, turn, index) is a topological order. Repeated
-    rows are calls or results with one identifier. An empty table gives no rows.
+    identifier in its conversation (null if none). Later results of it, and
+    results without a call, come back as ``orphan``. Of calls with one
+    identifier the earliest is linked, the others are errors. Null or empty
+    texts are plain ones; rows with a null conversation or turn are messages,
+    unless JSON names them. Sorting by (conv_id, level, turn, index) is a
+    topological order. Repeated rows are calls or results with one identifier,
+    one of which is linked. Texts of any length are read whole. Columns beside
+    the four don't matter, whatever their names. An empty table gives no rows.
     """
-    rows = stored(parsed(messages, schemas).withColumn("at", F.struct("turn", "index", "conv_id")).withColumn("row", F.monotonically_increasing_id()))
+    refs = F.transform("refs", lambda r: F.struct(scoped(r).alias("id"), r.alias("name")))
+    rows = parsed(messages, schemas).withColumns({"at": F.struct("turn", "index"), "row": F.monotonically_increasing_id(), "sid": scoped(F.col("id")), "refs": refs})
+    rows = stored(rows)
     ident = F.col("id").isNotNull()
-    first = rows.where(ident & (F.col("kind") != "message")).groupBy("kind", "id").agg(F.min(F.struct("at", "row")).alias("f"))
-    first = first.select(F.col("kind").alias("k"), F.col("id").alias("i"), F.col("f.row").alias("first"))
+    first = rows.where(ident & (F.col("kind") != "message")).groupBy("kind", "sid").agg(F.min(F.struct("at", "row")).alias("f"))
+    first = first.select(F.col("kind").alias("k"), F.col("sid").alias("i"), F.col("f.row").alias("first"))
     bare = rows.where(~ident).withColumn("lead", F.lit(False))  # rows without an identifier never meet in a join
-    rows = rows.where(ident).join(first, (rows["kind"] == first["k"]) & (rows["id"] == first["i"]), "left").drop("k", "i")
+    rows = rows.where(ident).join(first, (rows["kind"] == first["k"]) & (rows["sid"] == first["i"]), "left").drop("k", "i")
     rows = stored(rows.withColumn("lead", F.coalesce(F.col("row") == F.col("first"), F.lit(False))).drop("first"))
     calls = rows.where((F.col("kind") == "call") & F.col("lead"))
     results = rows.where((F.col("kind") == "result") & F.col("lead"))
-    order = levels(calls.select("id", "at", "refs"))
-    answers = results.select("id", F.col("turn").alias("result_turn"), F.col("result").alias("answer"))
-    full = calls.drop("result").join(answers, "id", "left").join(order, "id", "left")
+    order = levels(calls.select(F.col("sid").alias("id"), "at", "refs")).withColumnRenamed("id", "sid")
+    answers = results.select("sid", F.col("turn").alias("result_turn"), F.col("result").alias("answer"))
+    full = calls.drop("result").join(answers, "sid", "left").join(order, "sid", "left")
     text = lambda c: F.when(F.col(c).isNull(), "null").otherwise(F.expr(f"substring(to_json(struct({c} AS v)), 6, char_length(to_json(struct({c} AS v))) - 6)"))
     record = F.concat(F.lit('{"arguments":'), F.col("arguments"), F.lit(',"id":'), text("id"), F.lit(',"result":'), F.coalesce("answer", F.lit("null")), F.lit(',"tool":'), text("tool"), F.lit("}"))
     error = F.concat_ws("; ", "error", "broken")
     full = full.select("conv_id", "turn", "index", F.lit("call").alias("kind"), "id", "tool", F.coalesce("level", F.lit(0)).alias("level"), "result_turn", F.when(error != "", error).alias("error"), record.alias("record"))
     rest = rows.where(~((F.col("kind") == "call") & F.col("lead")))
-    rest = rest.join(calls.select("id", F.lit(True).alias("has_call")), "id", "left").where(~((F.col("kind") == "result") & F.col("lead") & F.coalesce("has_call", F.lit(False)))).drop("has_call")
+    rest = rest.join(calls.select("sid", F.lit(True).alias("has_call")), "sid", "left").where(~((F.col("kind") == "result") & F.col("lead") & F.coalesce("has_call", F.lit(False)))).drop("has_call")
     rest = rest.unionByName(bare)
     why = F.when(F.col("kind") == "call", F.when(F.col("id").isNull(), "no id").otherwise("repeated id")).when(F.col("kind") == "result", F.when(F.col("lead"), "no call").otherwise("repeated result"))
     single = F.concat(F.lit('{"id":'), text("id"), F.lit(',"result":'), F.coalesce("result", F.lit("null")), F.lit("}"))
@@ -196,24 +247,59 @@ def linked(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     return full.unionByName(rest).withColumn("valid", F.col("error").isNull())
 
 
-def query(messages: DataFrame) -> DataFrame:
-    return linked(messages).select("conv_id", "turn", "kind", "id", "tool", "level", "result_turn", "valid", "error", F.sha2(F.col("record").cast("binary"), 256).alias("record_sha256"))
+def as_log(turns: DataFrame) -> DataFrame:
+    """Plain turns as a log of calls and results in JSON.
+
+    A user's turn calls ``respond``. Of a conversation's users' turns the first
+    and second refer forward to the next, the fourth back to the third, and the
+    third back to the second where the conversation divides by three. An
+    assistant's turn is the result for the turn before, but for the second,
+    which repeats the first's call where the conversation divides by five, and
+    the fourth, which answers a call that nobody made. Other roles, and turns
+    without number, stay as they are.
+    """
+    turn, at = F.col("turn"), F.floor(F.col("turn") / 2)
+    text = F.coalesce("text", F.lit(""))
+    goal = F.when(at.isin(0, 1), turn + 2).when((at == 3) | ((at == 2) & (F.col("conv_id") % 3 == 0)), turn - 2)
+    ident = lambda c: F.concat(F.lit("t"), c.cast("string"))
+    after = F.when(goal.isNotNull(), F.struct(ident(goal).alias("$ref")))
+    call = F.struct(ident(turn).alias("id"), F.lit("respond").alias("name"), F.struct(text.alias("prompt"), F.char_length(text).alias("limit"), after.alias("after")).alias("arguments"))
+    call = F.to_json(F.struct(F.array(call).alias("tool_calls")))
+    asked = F.when(at == 3, turn + 90).when((at == 1) & (F.col("conv_id") % 5 == 0), turn - 3).otherwise(turn - 1)
+    result = F.to_json(F.struct(ident(asked).alias("tool_call_id"), F.struct(text.alias("text"), F.char_length(text).alias("chars")).alias("content")))
+    known = F.col("conv_id").isNotNull() & turn.isNotNull()
+    return turns.select("conv_id", "turn", "role", F.when(known & (F.col("role") == "user"), call).when(known & (F.col("role") == "assistant"), result).otherwise(F.col("text")).alias("text"))
+
+
+def query(turns: DataFrame) -> DataFrame:
+    return linked(as_log(turns)).select("conv_id", "turn", "kind", "id", "tool", "level", "result_turn", "valid", "error", F.sha2(F.col("record").cast("binary"), 256).alias("record_sha256"))
 
 
 SQL = r"""
-WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
-c AS (SELECT *, conv_id || ':' || turn AS id FROM m WHERE role = 'user'),
-r AS (SELECT *, conv_id || ':' || (turn - 1) AS id FROM m WHERE role = 'assistant'),
+WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+c AS (SELECT *, 't' || turn AS id, CASE WHEN turn // 2 IN (0, 1) THEN turn + 2 WHEN turn // 2 = 3 OR (turn // 2 = 2 AND conv_id % 3 = 0) THEN turn - 2 END AS goal FROM m WHERE role = 'user'),
+a AS (SELECT *, 't' || CASE WHEN turn // 2 = 3 THEN turn + 90 WHEN turn // 2 = 1 AND conv_id % 5 = 0 THEN turn - 3 ELSE turn - 1 END AS id FROM m WHERE role = 'assistant'),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, id ORDER BY turn) AS nth FROM a),
+r AS (SELECT * FROM n WHERE nth = 1),
+e AS (SELECT c.conv_id, c.turn, c.goal, (c.goal > c.turn)::INT AS up FROM c JOIN c d ON d.conv_id = c.conv_id AND d.turn = c.goal),
+walk AS (
+  SELECT conv_id, turn, turn AS at, 0 AS level, 0 AS steps FROM c
+  UNION ALL
+  SELECT w.conv_id, w.turn, e.goal, w.level + e.up, w.steps + 1 FROM walk w JOIN e ON e.conv_id = w.conv_id AND e.turn = w.at WHERE w.steps < 9),
+far AS (SELECT conv_id, turn, max(level) AS level, max(steps) = 9 AS cycle FROM walk GROUP BY ALL),
+most AS (SELECT conv_id, sum(up) AS most FROM e GROUP BY ALL),
 linked AS (
-  SELECT c.conv_id, c.turn, 'call' AS kind, c.id, 'respond' AS tool, r.turn AS result_turn,
-         CASE WHEN c.text = '' THEN '$.prompt: minLength' END AS error,
-         '{"arguments":{"prompt":' || to_json(c.text)::VARCHAR || '},"id":"' || c.id || '","result":' || coalesce(to_json(r.text)::VARCHAR, 'null') || ',"tool":"respond"}' AS record
-  FROM c LEFT JOIN r ON c.id = r.id
+  SELECT c.conv_id, c.turn, 'call' AS kind, c.id, 'respond' AS tool, CASE WHEN f.cycle THEN most + 1 ELSE f.level END::INTEGER AS level, r.turn AS result_turn,
+         nullif(concat_ws('; ', CASE WHEN length(c.text) > 160 THEN '$.limit: maximum' END, CASE WHEN c.text = '' THEN '$.prompt: minLength' END,
+                CASE WHEN f.cycle THEN 'cycle' WHEN c.goal IS NOT NULL AND e.goal IS NULL THEN 'unresolved t' || c.goal END), '') AS error,
+         '{"arguments":{' || CASE WHEN c.goal IS NOT NULL THEN '"after":{"$ref":"t' || c.goal || '"},' ELSE '' END || '"limit":' || length(c.text) || ',"prompt":' || to_json(c.text)::VARCHAR
+           || '},"id":"' || c.id || '","result":' || coalesce('{"chars":' || length(r.text) || ',"text":' || to_json(r.text)::VARCHAR || '}', 'null') || ',"tool":"respond"}' AS record
+  FROM c JOIN far f USING (conv_id, turn) LEFT JOIN most USING (conv_id) LEFT JOIN e USING (conv_id, turn) LEFT JOIN r ON r.conv_id = c.conv_id AND r.id = c.id
   UNION ALL
-  SELECT r.conv_id, r.turn, 'orphan', r.id, NULL, NULL, 'no call', '{"id":"' || r.id || '","result":' || to_json(r.text)::VARCHAR || '}'
-  FROM r LEFT JOIN c ON c.id = r.id WHERE c.id IS NULL
+  SELECT n.conv_id, n.turn, 'orphan', n.id, NULL, 0, NULL, CASE WHEN nth > 1 THEN 'repeated result' ELSE 'no call' END, '{"id":"' || n.id || '","result":{"chars":' || length(n.text) || ',"text":' || to_json(n.text)::VARCHAR || '}}'
+  FROM n LEFT JOIN c ON c.conv_id = n.conv_id AND c.id = n.id WHERE c.id IS NULL OR nth > 1
   UNION ALL
-  SELECT conv_id, turn, 'message', NULL, NULL, NULL, NULL, '{"id":null,"result":' || to_json(text)::VARCHAR || '}'
+  SELECT conv_id, turn, 'message', NULL, NULL, 0, NULL, NULL, '{"id":null,"result":' || to_json(text)::VARCHAR || '}'
   FROM m WHERE role NOT IN ('user', 'assistant'))
-SELECT conv_id, turn, kind, id, tool, 0::INTEGER AS level, result_turn, (error IS NULL) AS valid, error, sha256(record) AS record_sha256 FROM linked
+SELECT conv_id, turn, kind, id, tool, level, result_turn, (error IS NULL) AS valid, error, sha256(record) AS record_sha256 FROM linked
 """

@@ -53,5 +53,46 @@ def test_canonical():
     assert T.canonical({"b": [1, {"z": None, "é": 'q"'}], "a": 1.5}) == '{"a":1.5,"b":[1,{"z":null,"é":"q\\""}]}'
 
 
+def test_identifiers_belong_to_their_conversation(spark):
+    log = [(c, 0, "assistant", call(("c0", "add", {"a": c or 9, "b": {"$ref": "c1"}}), ("c1", "add", {"a": 1, "b": 1}))) for c in (1, 2, None)]
+    log += [(c, 1, "tool", json.dumps({"tool_call_id": "c0", "content": c})) for c in (1, 2, None)]
+    out = T.linked(spark.createDataFrame(log, "conv_id long, turn long, role string, text string"), SCHEMAS).collect()
+    assert len(out) == 6 and all(r["valid"] for r in out)
+    got = {r["conv_id"]: json.loads(r["record"]) for r in out if r["id"] == "c0"}
+    assert {c: (r["arguments"]["a"], r["result"]) for c, r in got.items()} == {1: (1, 1), 2: (2, 2), None: (9, None)}
+    assert {r["level"] for r in out if r["id"] == "c0"} == {1}
+
+
+def test_what_a_real_log_holds(spark):
+    deep = "[" * 2_000 + "]" * 2_000
+    bad = [
+        '{"tool_calls": [{"id": "a", "name": [], "arguments": {}}, {"id": {"x": 1}, "name": {"n": 2}, "arguments": 1}, 5]}',
+        '{"tool_calls": [{"id": "s\\ud800", "name": "\\udfff", "arguments": {"\\ud800": "\\udc00"}}]}',
+        '{"tool_call_id": ["r"], "content": "\\ud83d"}',
+        '{"tool_calls": [{"id": "d", "name": "add", "arguments": ' + deep + "}]}",
+        '{"tool_calls": [{"id": "n", "name": "add", "arguments": [NaN, Infinity]}]}', '{"tool_call_id": "x", "content": 1e999}',
+        '{"tool_calls": [{"id": "t", "name": "add", "arguments": "[NaN]"}, {"id": "i", "name": "add", "arguments": {"a": {"$ref": ["q"]}, "b": 1' + "0" * 5_000 + "}}]}",
+        '{"tool_calls": [{"id": "q", "name": "add", "arguments": {"a": {"$ref": ["q"]}, "b": 1}}]}', '{"tool_calls": {}}', "{", "{}", '{"tool_call_id": null}',
+    ]
+    text = [(9, i, "system", t, "x", 1) for i, t in enumerate(bad)] + [(10, 0, "user", "kata " * 400_000, "x", 1)]
+    out = T.linked(spark.createDataFrame(text, "conv_id long, turn long, role string, text string, id string, kind int"), SCHEMAS).collect()
+    by = {(r["turn"], r["index"]): r for r in out if r["conv_id"] == 9}
+    assert [by[0, i]["id"] for i in range(3)] == ["a", '{"x":1}', None]
+    assert [by[0, i]["error"] for i in range(3)] == ["unknown tool []", 'unknown tool {"n":2}', "no id"]
+    assert by[1, 0]["id"] == "s\\ud800" and by[1, 0]["error"] == "unknown tool \\udfff"
+    assert json.loads(by[1, 0]["record"])["arguments"] == {"\ud800": "\udc00"}
+    assert by[2, 0]["id"] == '["r"]' and by[2, 0]["kind"] == "orphan"
+    assert {by[t, 0]["kind"] for t in (3, 4, 5, 6, 8, 9, 10, 11)} == {"message"}  # 6: a number of 5,001 digits
+    assert by[7, 0]["error"] == 'unresolved ["q"]'
+    assert all(json.loads(r["record"]) for r in out)
+    assert len([r for r in out if r["conv_id"] == 10][0]["record"]) > 2_000_000
+
+
+def test_the_query_has_levels_and_errors_of_every_kind(spark):
+    out = T.query(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")).collect()
+    assert {r["level"] for r in out} == {0, 1, 2, 3}
+    assert {e for r in out if r["error"] for e in r["error"].split("; ")} >= {"cycle", "no call", "repeated result", "$.limit: maximum", "unresolved t2", "unresolved t4"}
+
+
 def test_empty_table(spark):
     assert T.query(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
