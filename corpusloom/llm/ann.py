@@ -58,8 +58,10 @@ SAMPLE, SAMPLE_BYTES = 40_000, 64 << 20
 TRIALS, RECALL, LEAVES = 200, 0.92, 4_096
 #: Sampled vectors of a node that has a cut of its own, at least; directions that take turns below such nodes.
 FILLED, TURNS = 8, 4
-#: Sampled vectors that bound a query's k-th best score, and the bound's rank among them, BOUND * (k + 1).
-GAUGE, BOUND = 8_192, 2
+#: The rank, BOUND * (k + 1), of the score in the sample that bounds a query's k-th best, and queries that get theirs at once.
+BOUND, TOGETHER = 2, 64
+#: Queries of a task that walks the trees, about.
+WALKS = 256
 #: What goes on top of an estimate for a table of four times the sample or more.
 SURE = 1.5
 #: Rows that a query scores at least, if there are as many.
@@ -244,7 +246,7 @@ def _measured(sample: np.ndarray, top: float, k: int, trees: int, leaf: int, rec
 def fit(sample: np.ndarray, rows: int, top: float, k: int = K, trees: int = TREES, leaf: int = LEAF, recall: float = RECALL, part: int = PART) -> Index:
     """The index for ``rows`` distinct vectors that ``sample`` (in random order) stands for."""
     n = len(sample)
-    exact = Index(None, 1, rows, 0, np.array([max(1, math.ceil(rows / part))]), sample[:GAUGE], top, 1.0)
+    exact = Index(None, 1, rows, 0, np.array([max(1, math.ceil(rows / part))]), sample, top, 1.0)
     if rows <= LEAST or n <= 8 * k or not 0 < top * top < math.inf:
         return exact
     least, got, spread = _measured(sample, top, k, trees, leaf, recall)
@@ -268,7 +270,7 @@ def fit(sample: np.ndarray, rows: int, top: float, k: int = K, trees: int = TREE
     level = min(depth, forest.filled, max(0, math.ceil(math.log2(rows / part))))
     held = np.bincount((forest.leaves(sample) >> (depth - level)).ravel(), minlength=trees << level)
     parts = np.maximum(1, np.ceil(held * (rows / n) / (2 * part))).astype(np.int64)
-    return Index(forest, count, rows, level, parts, sample[:GAUGE], top, got)
+    return Index(forest, count, rows, level, parts, sample, top, got)
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -363,10 +365,12 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
                     return pa.RecordBatch.from_arrays([*plain, _packed(q[list(of)].astype(real)), pa.array(least, pa.float64()), pa.array(own, pa.list_(pa.int64()))], names=names)
 
                 for i in range(len(q)):
-                    least = -np.inf
-                    if len(one.gauge) > rank:
-                        scores = one.gauge @ q[i]
-                        least = float(np.partition(scores, len(scores) - rank)[len(scores) - rank]) - 1e-9 * float(np.abs(q[i]).sum() * one.top)
+                    if i % TOGETHER == 0:
+                        near = q[i : i + TOGETHER]
+                        bound = np.full(len(near), -np.inf)
+                        if len(one.gauge) > rank:
+                            bound = np.partition(near @ one.gauge.T, len(one.gauge) - rank, axis=1)[:, len(one.gauge) - rank] - 1e-9 * np.abs(near).sum(axis=1) * one.top
+                    least = float(bound[i % TOGETHER])
                     leaves = np.sort(one.forest.visits(q[i], one.count)) if one.forest else np.zeros(1, np.int64)
                     cell, begin = np.unique(one.cell(leaves), return_index=True)
                     for c, own in zip(cell.tolist(), np.split(leaves, begin[1:]), strict=True):
@@ -406,8 +410,10 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
         return pa.table({"query": join(ids, np.int64), "kind": members["kind"].take(at), "key": members["key"].take(at), "score": join(scores, float)})
 
     asked = stored(asked.withColumn("__ask", F.monotonically_increasing_id()))
+    n_asked = asked.count()
+    walks = max(1, min(-(-n_asked // WALKS), max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_asked // 100_000)))
     members = kinds.select("__kind", "__v", "__dim", "__key").mapInArrow(index, "dim bigint, cell bigint, part bigint, leaf bigint, kind bigint, key bigint, v binary")
-    probes = asked.select("__ask", "__v", "__dim").mapInArrow(probe, "dim bigint, cell bigint, part bigint, query bigint, q binary, least double, leaves array<bigint>")
+    probes = asked.select("__ask", "__v", "__dim").repartition(walks).mapInArrow(probe, "dim bigint, cell bigint, part bigint, query bigint, q binary, least double, leaves array<bigint>")
     cell = ["dim", "cell", "part"]
     pairs = members.groupBy(*cell).cogroup(probes.groupBy(*cell)).applyInArrow(rank, "query bigint, kind bigint, key bigint, score double")
     pairs = pairs.groupBy("query", "kind").agg(F.first("key").alias("key"), F.first("score").alias("score"))  # one pair from several trees has one score
