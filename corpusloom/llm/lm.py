@@ -40,7 +40,7 @@ CLASSES, MEMBERS, BANDS = 32, 32, 12
 HIDDEN = 24
 STEPS, LANES = 32, 32
 #: Tokens of a shard, about; lanes and rate of the shards' training; rows that add weights up.
-SHARD, SHARD_LANES, SHARD_RATE, SUMS = 1_000_000, 128, 0.004, 8
+SHARD, SHARD_LANES, SHARD_RATE, SUMS = 1_000_000, 256, 0.004, 8
 #: Texts that are scored together, in bytes, and lanes that step together.
 BLOCK, WIDE = 4 << 20, 512
 #: Entries of a task's dictionary of counts before it is passed on.
@@ -108,16 +108,28 @@ def class_of(inputs: np.ndarray) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _step(m: Gru, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The next state, and what the way back needs, from input ids and a state."""
     g, u, n = m.gate_in[x], h @ m.hidden, HIDDEN
-    gates = _sigmoid(g[:, : 2 * n] + u[:, : 2 * n])
+    gates = _sigmoid(u[:, : 2 * n] + g[:, : 2 * n])
     z, r = gates[:, :n], gates[:, n:]
-    un = u[:, 2 * n :] + m.new_bias
-    new = np.tanh(g[:, 2 * n :] + r * un)
-    return new + z * (h - new), z, r, un, new
+    un = u[:, 2 * n :]
+    un += m.new_bias
+    new = r * un
+    new += g[:, 2 * n :]
+    np.tanh(new, out=new)
+    out = h - new
+    out *= z
+    out += new
+    return out, z, r, un, new
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
@@ -149,15 +161,14 @@ def _window(m: Gru, x: np.ndarray, keep: np.ndarray, h: np.ndarray) -> tuple[flo
     Position t predicts x[t] from the state that x[:t] left; the gradient
     stops at the window's start, the state goes on.
     """
-    n, steps = HIDDEN, len(x)
+    n, (steps, lanes) = HIDDEN, x.shape
     grads = [np.zeros_like(p) for p in m.all()]
-    states, kept = [], []
+    states, kept = np.empty((steps, lanes, n), m.hidden.dtype), []
     for t in range(steps):
-        h = h * keep[t][:, None]
-        states.append(h)
-        kept.append(_step(m, x[t], h))
+        np.multiply(h, keep[t][:, None], out=states[t])
+        kept.append(_step(m, x[t], states[t]))
         h = kept[-1][0]
-    flat, target = np.concatenate(states), x.ravel()
+    flat, target = states.reshape(-1, n), x.ravel()
     cls = class_of(target)
     logs = _log_softmax(flat @ m.to_class + m.class_bias)
     loss = -logs[np.arange(len(target)), cls].sum()
@@ -173,20 +184,27 @@ def _window(m: Gru, x: np.ndarray, keep: np.ndarray, h: np.ndarray) -> tuple[flo
         d[at] -= 1
         back[rows] += d @ m.to_member[k].T
         grads[5][k], grads[6][k] = flat[rows].T @ d, d.sum(axis=0)
-    back = back.reshape(steps, -1, n)
+    back = back.reshape(steps, lanes, n)
     dh = np.zeros_like(h)
-    gate_sums = np.zeros((steps, x.shape[1], 3 * n), np.float32)
+    du, new_sums = np.empty((steps, lanes, 3 * n), m.hidden.dtype), np.empty((steps, lanes, n), m.hidden.dtype)
     for t in range(steps - 1, -1, -1):
         _, z, r, un, new = kept[t]
-        dn = dh * (1 - z) * (1 - new * new)
-        dz = dh * (states[t] - new) * z * (1 - z)
-        dr = dn * un * r * (1 - r)
-        du = np.concatenate([dz, dr, dn * r], axis=1)
-        gate_sums[t] = np.concatenate([dz, dr, dn], axis=1)
-        grads[1] += states[t].T @ du
-        grads[2] += (dn * r).sum(axis=0)
-        dh = (dh * z + du @ m.hidden.T + back[t]) * keep[t][:, None]
-    np.add.at(grads[0], target, gate_sums.reshape(-1, 3 * n))
+        low = 1 - z
+        dn = np.multiply(dh * low, 1 - new * new, out=new_sums[t])
+        low *= z
+        np.multiply(dh * (states[t] - new), low, out=du[t, :, :n])
+        np.multiply(dn * un, r * (1 - r), out=du[t, :, n : 2 * n])
+        np.multiply(dn, r, out=du[t, :, 2 * n :])
+        dh *= z
+        dh += du[t] @ m.hidden.T
+        dh += back[t]
+        dh *= keep[t][:, None]
+    du = du.reshape(-1, 3 * n)
+    grads[1], grads[2] = flat.T @ du, du[:, 2 * n :].sum(axis=0)
+    du[:, 2 * n :] = new_sums.reshape(-1, n)
+    order = np.argsort(target, kind="stable")
+    kinds, first = np.unique(target[order], return_index=True)
+    grads[0][kinds] = np.add.reduceat(du[order], first, axis=0)
     return float(loss), grads, h
 
 
@@ -231,28 +249,27 @@ def fit(texts: list[np.ndarray], seed: int = 5, rate: float = 0.008, rounds: int
 def score_texts(m: Gru, texts: list[np.ndarray]) -> np.ndarray:
     """ln P of whole texts (arrays of input ids), the state carried from window to window."""
     out = np.zeros(len(texts))
-    order = np.argsort([-len(t) for t in texts], kind="stable")
+    sizes = np.array([len(t) for t in texts])
+    order = np.argsort(-sizes, kind="stable")
+    joined = np.concatenate([*texts, np.zeros(STEPS, np.int64)]) if len(texts) else np.zeros(STEPS, np.int64)
+    begin = np.cumsum(sizes) - sizes
     for a in range(0, len(order), WIDE):
         rows = order[a : a + WIDE]
-        sizes = np.array([len(texts[i]) for i in rows])
+        size, at = sizes[rows], begin[rows]
         h = np.zeros((len(rows), HIDDEN), np.float32)
-        for start in range(0, sizes[0], STEPS):
-            live = int((sizes > start).sum())
-            steps = min(STEPS, int(sizes[0]) - start)
-            x = np.zeros((live, steps), np.int64)
-            for i in range(live):
-                part = texts[rows[i]][start : start + steps]
-                x[i, : len(part)] = part
-            h, states = h[:live], []
+        for start in range(0, size[0], STEPS):
+            live = int(np.searchsorted(-size, -start))
+            steps = min(STEPS, int(size[0]) - start)
+            x = joined[np.minimum(at[None, :live] + start + np.arange(steps)[:, None], len(joined) - 1)]
+            h, states = h[:live], np.empty((steps, live, HIDDEN), np.float32)
             for t in range(steps):
-                states.append(h)
-                if start + t + 1 < sizes[0]:
-                    h = _step(m, x[:, t], h)[0]
-            real = np.arange(steps)[None, :] < (sizes[:live] - start)[:, None]
-            flat = np.stack(states, axis=1)[real]
+                states[t] = h
+                if start + t + 1 < size[0]:
+                    h = _step(m, x[t], h)[0]
+            real = np.arange(steps)[:, None] < (size[:live] - start)[None, :]
             logs = np.zeros(real.shape)
-            logs[real] = token_logs(m, flat, x[real])
-            out[rows[:live]] += logs.sum(axis=1)
+            logs[real] = token_logs(m, states[real], x[real])
+            out[rows[:live]] += logs.sum(axis=0)
     return out
 
 

@@ -108,3 +108,63 @@ def test_biases_are_shares_of_the_whole_corpus():
     m = lm.from_counts(lm.vocabulary([b"a", b"b"], [80, 20]), [80, 20], 7)
     share = np.exp(m.member_bias[0])
     assert share[0] / share[1] == pytest.approx(81 / 21, rel=1e-4) and np.exp(m.class_bias).sum() == pytest.approx(1, abs=1e-4)
+
+
+def plain_score(m, counts, text):
+    """log10 P of a text by the model's definition, token by token."""
+    kinds = sorted((w for w in counts if counts[w] >= 2), key=lambda w: (-counts[w], w))
+    rank, head = {w: i for i, w in enumerate(kinds)}, lm.CLASSES * lm.MEMBERS
+    edges = sorted({round(head * (len(kinds) / head) ** (i / lm.BANDS)) for i in range(lm.BANDS + 1)})
+    once = sum(n == 1 for n in counts.values())
+    n_rare = sum(n for n in counts.values() if n < 2)
+    unseen = once / (n_rare + once)
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    soft = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    w64 = [p.astype(float) for p in m.all()]
+    gate_in, hidden, new_bias, to_class, class_bias, to_member, member_bias = w64
+    h, total, met = np.zeros(lm.HIDDEN), 0.0, set()
+    for w in lm.tokens(text.encode()):
+        p_class = soft(h @ to_class + class_bias)
+        r = rank.get(w)
+        if r is not None and r < head:
+            met.add("head")
+            x, k = r, r // lm.MEMBERS
+            total += math.log10(p_class[k]) + math.log10(soft(h @ to_member[k] + member_bias[k])[r % lm.MEMBERS])
+        elif r is not None:
+            met.add("band")
+            b = max(i for i, e in enumerate(edges[:-1]) if e <= r)
+            x = head + b
+            total += math.log10(p_class[lm.CLASSES + b]) + math.log10(counts[w] / sum(counts[v] for v in kinds[edges[b] : edges[b + 1]]))
+        else:
+            met.add("rare" if w in counts else "unseen")
+            x = lm.RARE
+            total += math.log10(p_class[-1]) + math.log10(counts[w] / n_rare * (1 - unseen) if w in counts else unseen)
+        n, g, u = lm.HIDDEN, gate_in[x], h @ hidden
+        z, reset = sig(g[:n] + u[:n]), sig(g[n : 2 * n] + u[n : 2 * n])
+        new = np.tanh(g[2 * n :] + reset * (u[2 * n :] + new_bias))
+        h = (1 - z) * new + z * h
+    return total, met
+
+
+def test_whole_scores_against_plain_python(spark, monkeypatch):
+    rng, seen, real = np.random.default_rng(5), [], lm.trained
+    monkeypatch.setattr(lm, "trained", lambda *a: seen.append(real(*a)) or seen[-1])
+    words = [f"kata{i}" for i in range(2_500)]
+    texts = [" ".join(words[i] for i in (2_500 * rng.random(120) ** 3).astype(int)) for _ in range(120)] + ["belum pernah kata1 " * 3, "", "kata2 " * 500]
+    texts = [t + f" sekali{i}" for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["score"] for r in lm.query(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    counts, met = collections.Counter(), set()
+    for i, t in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            counts.update(lm.tokens(t.encode()))
+    for i in [*range(0, 120, 11), 120, 121, 122]:
+        want, kinds = plain_score(seen[0], counts, texts[i])
+        met |= kinds
+        assert got[i] == pytest.approx(want, rel=1e-4)
+    assert met == {"head", "band", "rare", "unseen"}
+
+
+def test_a_very_long_text_is_scored_whole(spark):
+    rows = [(i, "satu dua tiga " * 50) for i in range(20)] + [(100, "satu dua tiga " * 60_000)]
+    got = {r["doc_id"]: r for r in lm.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100]["n_tokens"] == 180_001 and got[100]["score"] < got[0]["score"]
