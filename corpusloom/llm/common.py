@@ -23,6 +23,20 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.char_length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def boxed(rows: DataFrame) -> DataFrame:
+    """(__row): each row as one struct, so that no column of the user's meets one of ours, whatever its name."""
+    return rows.select(F.struct("*").alias("__row"))
+
+
+def field(name: str) -> Column:
+    return F.col("__row").getField(name)
+
+
+def unboxed(rows: DataFrame, names: list[str], new: dict[str, Column] | None = None) -> DataFrame:
+    """The user's columns out of ``__row``, those in ``new`` by their new values."""
+    return rows.select(*[(new or {}).get(c, field(c)).alias(c) for c in names])
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

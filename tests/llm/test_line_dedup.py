@@ -43,7 +43,7 @@ def test_applied_to_documents(spark):
     assert {c[:2] for c in changed} == want and all(n == len(t) for _, t, n in changed)
 
 
-def test_hot_lines_take_the_other_way(spark, monkeypatch):
+def test_hot_lines_take_the_other_way(spark):
     rows = [(i, f"baris yang sangat umum\nunik nomor {i} di sini", 0) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, x int")
     got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.query(df).collect()}
@@ -54,9 +54,25 @@ def test_keep_runs(spark):
     df = spark.createDataFrame([([0, 1, 4], 6), ([5], 6), ([0], 1), ([2, 3], 6)], "d array<int>, n int")
     from pyspark.sql import functions as F
 
-    got = [[tuple(x) for x in r[0]] for r in df.select(line_dedup.keep_runs(F.col("d"), F.col("n"))).collect()]
+    got = [[tuple(x) for x in r[0]] for r in df.select(line_dedup.keep_runs(line_dedup.runs(F.col("d")), F.col("n"))).collect()]
     assert got == [[(2, 3), (5, 5)], [(0, 4)], [], [(0, 1), (4, 5)]]
 
 
+def test_lines_around_the_hot_threshold_agree(spark, monkeypatch):
+    """Hashes of 60 to 70 occurrences, all looked at: some are hot, some just below."""
+    monkeypatch.setattr(line_dedup, "LOOK", 1)
+    rows = [(i, "\n".join(f"baris bersama {k}" for k in range(60, 71) if i < k)) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: (n, d) for i, n, d, _ in brute([(*r, 0) for r in rows])}
+    assert {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in line_dedup.query(df).collect()} == want
+
+
+def test_a_very_long_text(spark):
+    text = "\n".join(f"baris panjang nomor {i % 50_000}" for i in range(100_000))
+    df = spark.createDataFrame([(1, text), (2, text + "\nyang baru di sini")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in line_dedup.query(df).collect()}
+    assert got == {1: (100_000, 0), 2: (100_001, 100_000)}
+
+
 def test_empty_table(spark):
     assert line_dedup.query(spark.createDataFrame([], "doc_id long, text string")).count() == 0
