@@ -3,7 +3,10 @@
 Two fingerprints that differ in at most d bits agree on at least m - d of m
 blocks. With m = 6 and d = 4 every close pair agrees on some 2 of 6 blocks, so
 each of the 15 pairs of blocks is a key of about 21 bits, and rows that share a
-key are compared. Work is on distinct fingerprints, so copies cost one row.
+key are compared. More fingerprints take more blocks, so that keys are longer
+and few unlike rows share one: 7 blocks give 35 keys of 27 bits, 8 give 70 of
+32; the links are the same. Work is on distinct fingerprints, so copies cost
+one row.
 
 A key's rows are never gathered whole: a key of more than ``chunk``
 fingerprints is dealt into chunks, and each pair of chunks is a cell of its
@@ -23,13 +26,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import boxed, field
 from corpusloom.llm.components import connected_components
 from corpusloom.storage import stored
 
 SEED = 42
 SHINGLE = 4
 MAX_BITS = 4
-BLOCKS = 6
+#: Blocks, and the fingerprints up to which so many do: 64 a key on average.
+BLOCKS = ((6, 1 << 27), (7, 1 << 33), (8, 1 << 62))
 CHUNK = 2048
 HOT_SHARE = 1024
 #: Keys of this size or less are compared by shifted arrays, many keys at once.
@@ -132,8 +137,14 @@ def _close(key: np.ndarray, fp: np.ndarray, max_bits: int) -> list[tuple[np.ndar
     return out
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, chunk: int = CHUNK) -> DataFrame:
-    """Edges (a, b) that connect exactly what links of ``max_bits`` or fewer connect; ``distinct``: (__fp)."""
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None, chunk: int = CHUNK) -> DataFrame:
+    """Edges (a, b) that connect exactly what links of ``max_bits`` or fewer connect; ``distinct``: (__fp).
+
+    ``blocks`` follows from the number of fingerprints if it is not given.
+    """
+    if blocks is None:
+        n = distinct.count()
+        blocks = next(b for b, most in BLOCKS if n <= most)
     rows = distinct.select(F.col("__fp"), F.explode(_block_keys(F.col("__fp"), blocks, max_bits)).alias("__k"))
     rows = stored(rows)
     big = stored(rows.groupBy("__k").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > chunk).select("__k", F.ceil(F.col("__n") / chunk).cast("int").alias("__g")))
@@ -175,8 +186,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``__component`` is the smallest id reachable over links. Null text counts
     as empty; texts without words share fingerprint zero and link like any
     other. A row with a null id takes part in links; a component of such rows
-    only has a null name. Repeated rows come back repeated. An empty table
-    gives no rows.
+    only has a null name. Repeated rows come back repeated. Texts of any length
+    count whole; columns beside the two don't matter. An empty table gives no
+    rows.
     """
     rows = stored(fingerprints(docs, id_col, text_col))
     distinct = stored(rows.groupBy("__fp").agg(F.min("__id").alias("__min"), F.count(F.lit(1)).alias("__n")))
@@ -194,7 +206,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest id (a null id only if there is no other)."""
+    """``docs`` with one row of each component, that of the smallest id (a null id only if there is no other).
+
+    Columns of any name pass unchanged. Other cases as in :func:`components`.
+    """
     rows = components(docs, id_col, text_col, max_bits)
     return chosen(docs, rows.groupBy("__group").agg(smallest().alias("__b"), F.count(F.lit(1)).alias("__n")), id_col, text_col)
 
@@ -205,13 +220,17 @@ def smallest() -> Column:
 
 
 def chosen(docs: DataFrame, best: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` that ``best`` (__b: what ``smallest`` gave, __n: rows of its group) names, once each."""
+    """The rows of ``docs`` that ``best`` (__b: what ``smallest`` gave, __n: rows of its group) names, once each.
+
+    Of rows with one id and one text the first by their JSON stays, so reruns agree.
+    """
     best = best.select(F.col("__b.i").alias("__id"), F.col("__b.t").alias("__th"), (F.col("__n") > 1).alias("__many"))
-    both = docs.withColumn("__t", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    both = both.join(best, both[id_col].eqNullSafe(best["__id"]) & (both["__t"] == best["__th"]))
+    both = boxed(docs).withColumn("__t", F.xxhash64(F.coalesce(field(text_col), F.lit(""))))
+    both = both.join(best, field(id_col).eqNullSafe(best["__id"]) & (both["__t"] == best["__th"]))
     # rows with one id and one text could both be the chosen one, in groups of several rows only
-    many = both.where("__many").dropDuplicates(["__id", "__t"])
-    return both.where(~F.col("__many")).unionByName(many).select(*docs.columns)
+    many = both.where("__many").withColumn("__json", F.to_json("__row", {"ignoreNullFields": "false"}))
+    many = many.groupBy("__id", "__t").agg(F.min_by("__row", "__json").alias("__row"))
+    return both.where(~F.col("__many")).select("__row").unionByName(many.select("__row")).select("__row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:
