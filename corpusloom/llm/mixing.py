@@ -8,24 +8,28 @@ pass over the sorted sources replaces the repeated clamping and resharing.
 
 A target of r times its source takes floor(r) whole repetitions of every
 document and, for the rest, whole documents in a seeded order until the words
-are used up; the document at the border gives its first words. The border is
+are used up; of the document at the border some words are due. The border is
 found by two rounds of 256 hash buckets, so no task ever sorts a whole source.
+Rows share a place in that order if their ids are equal (null ids: their
+texts); the words due to them are dealt out row by row, in tasks that count
+shares of such a group, never all of it. What a row takes follows from the row
+and its source's border alone, so texts are not shuffled but for those at it.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import WORD_PATTERN
+from corpusloom.llm.common import WORD_PATTERN, boxed, field, unboxed
 from corpusloom.storage import stored
 
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 SEED = "mix-1"
+#: Shares into which rows of one place are dealt to be counted.
+DEAL = 64
 
 
 def word_count(text: Column) -> Column:
@@ -51,92 +55,91 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
 
 def _border(rows: DataFrame, need: DataFrame, bucket: str, rest: str, out: str) -> DataFrame:
     """``need`` with the bucket in which a source's words run out, and what is left for that bucket."""
-    sums = rows.groupBy("__s", bucket).agg(F.sum("size").alias("__b"))
+    sums = rows.groupBy("__s", bucket).agg(F.sum("__size").alias("__b"))
     cum = F.sum("__b").over(W.partitionBy("__s").orderBy(bucket).rowsBetween(W.unboundedPreceding, W.currentRow))
     sums = sums.withColumn("__cum", cum).withColumnRenamed("__s", "__s2")
     at = need.join(sums, (need["__s"] == sums["__s2"]) & (sums["__cum"] > need[rest]) & (sums["__cum"] - sums["__b"] <= need[rest]), "left")
     return at.select(*need.columns, F.col(bucket).alias(f"{out}_b"), (F.col(rest) - (F.col("__cum") - F.col("__b"))).alias(out))
 
 
+def _keyed(text: Column, ident: Column, source: Column, seed: str) -> dict[str, Column]:
+    """A row's source as a key safe of nulls, size, and place in the seeded order with its two buckets."""
+    place = F.coalesce(ident.cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), place).cast("binary"))
+    return {"__s": F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("-")), "__size": word_count(text), "__u": order, "__b1": F.substring(order, 1, 2), "__b2": F.substring(order, 3, 2)}
+
+
+def _borders(rows: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
+    """A row a source: its size, target, whole repetitions, and the buckets in which its words run out with what is left for them."""
+    sizes = rows.groupBy("__s").agg(F.first("source").alias("source"), F.sum("__size").alias("source_size"))
+    targets = source_targets(sizes.select("source", "source_size"), weights, max_epochs)
+    targets = targets.withColumn("__s", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-"))).drop("source")
+    ratio = F.when(F.col("source_size") > 0, F.floor(F.round("target").cast("long") / F.col("source_size"))).otherwise(0)
+    need = targets.withColumn("__whole", ratio.cast("long"))
+    need = stored(need.withColumn("__f", F.round("target").cast("long") - F.col("__whole") * F.col("source_size")))
+    need = _border(rows, need, "__b1", "__f", "__f1")
+    inside = rows.join(_small(need.select(F.col("__s").alias("__s2"), F.col("__f1_b"))), (F.col("__s") == F.col("__s2")) & (F.col("__b1") == F.col("__f1_b")))
+    return stored(_border(inside.select(*rows.columns), need, "__b2", "__f1", "__f2"))
+
+
+def _small(sources: DataFrame) -> DataFrame:
+    """Rows by source, to be broadcast if there are few."""
+    return F.broadcast(sources) if sources.count() <= 10_000 else sources
+
+
+def _taken(rows: DataFrame, need: DataFrame) -> DataFrame:
+    """``rows`` (see ``_keyed``) with ``__whole`` repetitions, ``__part`` words more, and ``__more``: whether they stand for the whole row."""
+    all_rows = rows.join(_small(need.withColumnRenamed("__s", "__s2")), F.col("__s") == F.col("__s2")).drop("__s2")
+    before = F.coalesce((F.col("__b1") < F.col("__f1_b")) | ((F.col("__b1") == F.col("__f1_b")) & (F.col("__b2") < F.col("__f2_b"))), F.lit(False))
+    at = F.coalesce((F.col("__b1") == F.col("__f1_b")) & (F.col("__b2") == F.col("__f2_b")), F.lit(False))
+    plain = all_rows.where(~at).withColumns({"__part": F.when(before, F.col("__size")).otherwise(F.lit(0).cast("long")), "__more": before})
+    edge = stored(all_rows.where(at).withColumn("__deal", F.pmod(F.monotonically_increasing_id(), F.lit(DEAL))))
+    place = ["__s", "__u", "__size"]
+    held = edge.groupBy(*place, "__deal").agg(F.count(F.lit(1)).alias("__k"), F.first("__f2").alias("__f2"))
+    kinds = held.groupBy(*place).agg((F.sum("__k") * F.col("__size")).alias("__w"), F.first("__f2").alias("__f2"))
+    order = W.partitionBy("__s").orderBy("__u", "__size").rowsBetween(W.unboundedPreceding, -1)
+    kinds = kinds.withColumn("__due", F.col("__f2") - F.coalesce(F.sum("__w").over(order), F.lit(0))).drop("__f2", "__w")
+    ahead = W.partitionBy(*place).orderBy("__deal").rowsBetween(W.unboundedPreceding, -1)
+    held = held.withColumn("__ahead", F.coalesce(F.sum("__k").over(ahead), F.lit(0))).drop("__k", "__f2")
+    info = kinds.join(held, place).withColumnsRenamed({c: f"{c}2" for c in [*place, "__deal"]})
+    edge = edge.withColumn("__n", F.row_number().over(W.partitionBy(*place, "__deal").orderBy(F.lit(0))))
+    edge = edge.join(info, [F.col(c) == F.col(f"{c}2") for c in [*place, "__deal"]])
+    due = F.col("__due") - (F.col("__ahead") + F.col("__n") - 1) * F.col("__size")
+    edge = edge.withColumn("__part", F.greatest(F.lit(0).cast("long"), F.least(F.col("__size"), due)))
+    # with no words to count, a row goes along if anything is due at its place
+    edge = edge.withColumn("__more", (due > 0) & (F.col("__part") * 2 >= F.col("__size")))
+    return plain.unionByName(edge.select(*plain.columns))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """(doc_id, __key, source, size, source_size, target, whole, part) for every row.
+    """(doc_id, source, size, source_size, target, whole, part) for every row.
 
     ``whole`` repetitions of the row and ``part`` of its words more. Null text
     has size 0 and takes nothing; null sources form one source, the last; rows
     with one id share a place in the seeded order (null ids go by their text).
-    Equal rows are interchangeable there. An empty table gives no rows.
+    Equal rows are interchangeable there. Texts count whole at any length;
+    other columns don't matter. An empty table gives no rows.
     """
-    text_hash = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), text_hash))
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"),
-        # null-safe and equal-safe key of a source
-        F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("-")).alias("__s"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("__key"),
-        word_count(F.col(text_col)).alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary")).alias("__u"),
-    )
-    rows = stored(rows.withColumn("__b1", F.substring("__u", 1, 2)).withColumn("__b2", F.substring("__u", 3, 2)))
-    sizes = rows.groupBy("__s").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
-    targets = source_targets(sizes.select("source", "source_size"), weights, max_epochs)
-    targets = targets.withColumn("__s", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))).drop("source")
-    ratio = F.when(F.col("source_size") > 0, F.floor(F.round("target").cast("long") / F.col("source_size"))).otherwise(0)
-    need = targets.withColumn("whole", ratio.cast("long"))
-    need = stored(need.withColumn("__f", F.round("target").cast("long") - F.col("whole") * F.col("source_size")))
-    n_sources = need.count()
-    small = F.broadcast if n_sources <= 10_000 else (lambda x: x)
-    need = _border(rows, need, "__b1", "__f", "__f1")
-    inside = rows.join(small(need.select(F.col("__s").alias("__s2"), F.col("__f1_b"))), (F.col("__s") == F.col("__s2")) & (F.col("__b1") == F.col("__f1_b")))
-    need = stored(_border(inside.select(*rows.columns), need, "__b2", "__f1", "__f2"))
-    all_rows = rows.join(small(need.withColumnRenamed("__s", "__s2")), F.col("__s") == F.col("__s2")).drop("__s2")
-    before = (F.col("__b1") < F.col("__f1_b")) | ((F.col("__b1") == F.col("__f1_b")) & (F.col("__b2") < F.col("__f2_b")))
-    at = F.coalesce((F.col("__b1") == F.col("__f1_b")) & (F.col("__b2") == F.col("__f2_b")), F.lit(False))
-    plain = all_rows.where(~at).withColumn("part", F.when(before, F.col("size")).otherwise(F.lit(0).cast("long")))
-    order = W.partitionBy("__s").orderBy("__u", "__key").rowsBetween(W.unboundedPreceding, -1)
-    edge = all_rows.where(at).withColumn("__before", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    edge = edge.withColumn("part", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("__f2") - F.col("__before"))))
-    cols = ["doc_id", "__key", "source", "size", "source_size", "target", "whole", "part"]
-    return reduce(DataFrame.unionByName, [plain.select(*cols), edge.select(*cols)])
+    text, ident, source = F.col(text_col), F.col(id_col), F.col(source_col)
+    rows = stored(docs.select(ident.alias("doc_id"), source.alias("source"), *[c.alias(n) for n, c in _keyed(text, ident, source, seed).items()]))
+    out = _taken(rows, _borders(rows, weights, max_epochs))
+    return out.select("doc_id", "source", F.col("__size").alias("size"), "source_size", "target", F.col("__whole").alias("whole"), F.col("__part").alias("part"))
 
 
-def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """The mix itself: a row of ``docs`` for each repetition, the same columns.
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The mix itself: a row of ``docs`` for each repetition, the same columns of any name.
 
-    A border document's fractional repetition holds the words it gives, with
-    the white space before them, and its own ``n_chars``.
+    Texts stay whole: the document at a source's border comes once more if at
+    least half of its words are due, so a source's words are off its target by
+    half of one document at most. Texts without words are sampled by their
+    place like any other. Other cases as in :func:`mix`.
     """
-    plan = mix(docs, weights=weights, max_epochs=max_epochs, seed=seed)
-    plan = plan.groupBy("doc_id", "__key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")).alias("__s")).agg(
-        F.first("size").alias("__size"), F.first("whole").alias("__whole"),
-        # equal rows share their parts out in turn, the first of them getting the most
-        F.sort_array(F.collect_list("part"), asc=False).alias("__parts"),
-    ).withColumnRenamed("doc_id", "__id2")
-    return _repeat(docs, plan)
-
-
-def _repeat(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    names = docs.columns
-    at = docs.withColumn("__k", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    at = at.withColumn("__sk", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")))
-    # one row for each row of docs: equal rows are told apart by their rank among themselves
-    both = at.join(plan, at["doc_id"].eqNullSafe(plan["__id2"]) & (at["__k"] == plan["__key"]) & (at["__sk"] == plan["__s"]))
-    same = F.size("__parts") > 1
-    one = both.where(~same).withColumn("__part", F.col("__parts")[0])
-    rank = F.row_number().over(W.partitionBy("doc_id", "__k", "__sk").orderBy(F.lit(0)))
-    many = both.where(same).withColumn("__r", rank).withColumn("__part", F.col("__parts")[F.col("__r") - 1]).drop("__r")
-    both = one.unionByName(many)
-    whole = F.array_repeat(F.lit(True), F.col("__whole").cast("int"))
-    part = F.when(F.col("__part") >= F.col("__size"), F.when(F.col("__size") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    part = part.when(F.col("__part") > 0, F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>"))
-    out = both.withColumn("__full", F.explode(F.concat(whole, part)))
-    words = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    cut = F.array_join(F.slice(words, F.lit(1), F.col("__part").cast("int")), "")
-    out = out.withColumn("__cut", F.when(F.col("__full"), F.col("text")).otherwise(cut))
-    new = {"text": F.col("__cut")}
-    if "n_chars" in names:
-        new["n_chars"] = F.when(F.col("__full"), F.col("n_chars")).otherwise(F.char_length("__cut").cast("long"))
-    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in names])
+    keys = {n: c for n, c in _keyed(field(text_col), field(id_col), field(source_col), seed).items()}
+    rows = boxed(docs).select("__row", *[c.alias(n) for n, c in keys.items()])
+    small = stored(rows.select(field(source_col).alias("source"), *keys))
+    out = _taken(rows, _borders(small, weights, max_epochs))
+    times = F.col("__whole") + F.col("__more").cast("long")
+    return unboxed(out.withColumn("__again", F.explode(F.array_repeat(F.lit(True), times.cast("int")))), docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -52,17 +52,34 @@ def test_targets_and_words_taken(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
-def test_mixed_documents_hold_the_words(spark):
+def test_mixed_documents_are_whole_and_near_the_target(spark):
     data = rows(2)
     df = table(spark, data)
-    plan = mixing.query(df).collect()
+    targets = {s: t for s, t in mixing.mix(df).select("source", "target").distinct().collect()}
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
-    words = sum(len((r["text"] or "").split()) for r in out.collect())
-    assert words == sum(r["taken"] for r in plan)
-    full = {t for _, t, *_ in data}
-    cut = [r["text"] for r in out.collect() if r["text"] not in full]
-    assert len(cut) <= 5 and all(any((t or "").startswith(c) for t in full) for c in cut)
+    got, words = out.collect(), defaultdict(int)
+    assert {r["text"] for r in got} <= {t for _, t, *_ in data}
+    for r in got:
+        words[r["source"]] += len((r["text"] or "").split())
+    assert words.keys() == targets.keys() and all(abs(words[s] - t) <= 201 for s, t in targets.items())
+    assert any(not (r["text"] or "").split() for r in got)  # texts without words are sampled too
+
+
+def test_a_place_of_many_rows_is_dealt_out_row_by_row(spark):
+    """A third of the rows are equal and without id, and the border falls among them."""
+    data = [(None, "sama sama saja", "id", "a", 3, "x")] * 400 + [(i, "kata lain", "id", "a", 2, "x") for i in range(400)] + [(i, "b " * 9, "id", "b", 9, "x") for i in range(1000, 1400)]
+    got = mixing.mix(table(spark, data)).collect()
+    total = sum(r["whole"] * r["size"] + r["part"] for r in got if r["source"] == "a")
+    assert len(got) == 1200 and abs(total - [r["target"] for r in got if r["source"] == "a"][0]) <= 1
+    same = [r["part"] for r in got if r["doc_id"] is None]
+    assert len(same) == 400 and sum(0 < p < 3 for p in same) <= 1
+
+
+def test_a_very_long_text(spark):
+    data = [(1, "kata " * 300_000, "id", "a", 1, "x"), (2, "dua kata", "id", "b", 1, "x")]
+    got = {r["doc_id"]: (r["size"], r["taken"]) for r in mixing.query(table(spark, data)).collect()}
+    assert got[1][0] == 300_000 and got[2] == (2, 6) and abs(got[1][1] - 299_996) <= 1
 
 
 def test_one_source_and_no_words(spark):
