@@ -17,7 +17,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import WORD_PATTERN, fold
+from corpusloom.llm.common import WORD_PATTERN, boxed, fold, seeded_sample
+from corpusloom.llm.common import field as part_of
+from corpusloom.storage import stored
 
 FOLDS, HELD_OUT = 5, 0
 SAMPLE = 20_000
@@ -165,35 +167,47 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fits on at most ``sample`` labelled rows outside the held-out fold.
 
     Rows with a null id or label do not take part; an id with several labels
-    counts by their mean. The sample is bounded, so it may be broadcast and
-    its statistics collected.
+    counts by their mean. Which rows are in the sample goes by hashes of ids
+    alone; a task sends about its share of the sample. The sample is bounded,
+    so it may be broadcast and its statistics collected.
     """
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col("__id").cast("string")).cast("binary"))
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("double").alias("__y"))
     known = known.where(F.col("__id").isNotNull() & F.col("__y").isNotNull() & (fold(F.col("__id"), FOLDS) != HELD_OUT))
     known = known.groupBy("__id").agg((F.avg("__y") >= 0.5).cast("double").alias("__y"))
-    known = known.orderBy(order, "__id").limit(sample)
+    known = seeded_sample(known, F.col("__id"), sample, seed)
     text = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     rows = text.join(F.broadcast(known), "__id")
     stats = statistics(F.col("__text"))
-    rows = rows.select("__id", "__y", *[c.alias(n) for n, c in stats.items()]).orderBy(order, *stats).limit(sample).toPandas()
-    return fit(rows[list(stats)].to_numpy(float), rows["__y"].to_numpy(float), list(stats))
+    rows = stored(rows.select("__id", "__y", *[c.alias(n) for n, c in stats.items()]))
+    if (n := rows.count()) > sample:  # ids that many rows share
+        rows = rows.where(F.pmod(F.xxhash64("__id", *stats), F.lit(1 << 30)) < (2 * sample << 30) // n)
+    got = rows.orderBy(order, *stats).limit(sample).toPandas()
+    return fit(got[list(stats)].to_numpy(float), got["__y"].to_numpy(float), list(stats))
 
 
-def scored(docs: DataFrame, model: RuleEnsemble, text_col: str = "text") -> DataFrame:
-    """``docs`` and ``__score`` (0 to 1). Null texts score as empty ones; an empty table gives no rows."""
-    stats = statistics(F.coalesce(F.col(text_col), F.lit("")))
-    names = {n: f"__q_{n}" for n in stats}
-    wide = docs.select("*", *[c.alias(names[n]) for n, c in stats.items()])
-    own = RuleEnsemble(model.intercept, [(w, tuple((names[n], b, s) for n, b, s in path)) for w, path in model.rules], [(w, names[n], a, b) for w, n, a, b in model.linear])
-    return wide.withColumn("__score", own.score()).drop(*names.values())
+def boxed_scores(docs: DataFrame, model: RuleEnsemble, text_col: str = "text") -> DataFrame:
+    """(__row, __score): every row as a struct of its columns, whatever their names, and its score of 0 to 1.
+
+    Null texts score as empty ones, repeated rows alike; texts of any length
+    count whole. An empty table gives no rows.
+    """
+    stats = statistics(F.coalesce(part_of(text_col), F.lit("")))
+    wide = boxed(docs).select("__row", *[c.alias(n) for n, c in stats.items()])
+    return wide.select("__row", model.score().alias("__score"))
+
+
+def scored(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", name: str = "__score") -> DataFrame:
+    """``docs`` with a column ``name``, which none of its own must have, as in :func:`boxed_scores`."""
+    return boxed_scores(docs, model, text_col).select("__row.*", F.col("__score").alias(name))
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    rows = scored(docs.select("doc_id", "text"), train(docs, labels))
+    rows = boxed_scores(docs.select("doc_id", "text"), train(docs, labels))
+    ident = part_of("doc_id")
     return rows.select(
-        "doc_id",
-        F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
+        ident.alias("doc_id"),
+        F.coalesce(fold(ident, FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
         F.col("__score").alias("score"),
         F.when(F.col("__score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
