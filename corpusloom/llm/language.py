@@ -5,7 +5,7 @@ that cover all of it, the last one padded. One-hot byte filters of widths 2, 3
 and 4 slide over each window; their maxima pass a rectifier and a softmax
 layer. A text's prediction is the mean of its windows' log-probabilities,
 weighted by bytes. Training reads a bounded sample (``sample`` documents, two
-windows each); prediction reads every byte of every row.
+cuts of at most ``WINDOW`` characters each); prediction reads every byte of every row.
 """
 
 from __future__ import annotations
@@ -52,6 +52,12 @@ def windows(data: bytes) -> np.ndarray:
     return np.frombuffer(data.ljust(n * WINDOW, b"\0"), np.uint8).reshape(n, WINDOW)
 
 
+def held(data: bytes) -> np.ndarray:
+    """Bytes of the text in each of its windows, 1 at least."""
+    n = max(1, -(-len(data) // WINDOW))
+    return np.minimum(WINDOW, np.maximum(1, len(data) - WINDOW * np.arange(n)))
+
+
 def _maxima(tables: list[np.ndarray], x: np.ndarray) -> np.ndarray:
     """(windows, features) of windows (windows, WINDOW)."""
     t = np.ascontiguousarray(x.T).astype(np.int32)
@@ -72,11 +78,13 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: list[bytes], langs: list[str], rounds: int = 6, batch: int = 128, seed: int = 3) -> ByteCnn:
-    """Adam on single windows. Max pooling sends each gradient to one position, so its pass back is sparse."""
+    """Adam on all windows of the texts, weighted by their share of a text's bytes. Max pooling sends each gradient to one position, so its pass back is sparse."""
     rng = np.random.default_rng(seed)
     labels = sorted(set(langs))
-    x = np.concatenate([windows(t.lower())[:1] for t in texts]) if texts else np.zeros((0, WINDOW), np.uint8)
-    y = np.array([labels.index(v) for v in langs], int)
+    parts = [windows(t.lower()) for t in texts]
+    x = np.concatenate(parts) if texts else np.zeros((0, WINDOW), np.uint8)
+    y = np.array([labels.index(v) for v, w in zip(langs, parts, strict=True) for _ in w], int)
+    weight = np.concatenate([held(t) / held(t).sum() for t in texts]) if texts else np.zeros(0)
     params = [rng.normal(0, 0.1, (k, 256, FILTERS)) for k in WIDTHS]
     params += [np.zeros(len(WIDTHS) * FILTERS), rng.normal(0, 0.3, (len(WIDTHS) * FILTERS, len(labels))), np.zeros(len(labels))]
     first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
@@ -92,7 +100,7 @@ def fit(texts: list[bytes], langs: list[str], rounds: int = 6, batch: int = 128,
             hidden = np.maximum(top, 0.1 * top)
             delta = np.exp(_log_softmax(hidden @ params[4] + params[5]))
             delta[np.arange(len(yb)), yb] -= 1
-            delta /= len(yb)
+            delta *= (weight[rows] / weight[rows].sum())[:, None]
             back = (delta @ params[4].T) * np.where(top > 0, 1, 0.1)
             grads = []
             for n, (k, p) in enumerate(zip(WIDTHS, at, strict=True)):
@@ -112,8 +120,8 @@ def fit(texts: list[bytes], langs: list[str], rounds: int = 6, batch: int = 128,
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, seed: str = "lang-1") -> ByteCnn:
     """Fits on ``sample`` documents at most, outside the held-out fold, two windows of each.
 
-    A window starts at a seeded position; the second one has a seeded length,
-    so that short texts are learned too. Null texts, languages and ids do not
+    A cut starts at a seeded position; the second one has a seeded length, so
+    that short texts are learned too. All bytes of a cut are learned. Null texts, languages and ids do not
     take part. What is collected is bounded by the sample.
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.col(lang_col).alias("__lang"))
@@ -130,8 +138,10 @@ def predicted(docs: DataFrame, model: ByteCnn, id_col: str = "doc_id", text_col:
     """(__id, __lang, __score) of every row.
 
     ``und`` with score 0 where the text is null or has no letter, or where
-    nothing was learned. Repeated rows come back repeated; an empty table
-    gives no rows.
+    nothing was learned. Of languages that score alike the first by name is
+    taken. Texts of any length are read whole, and hold a task's memory alone.
+    Repeated rows come back repeated; other columns don't matter. An empty
+    table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col).cast("binary")).alias("__text"))
     tables = model.pair_tables() if model.labels else []
@@ -146,9 +156,9 @@ def predicted(docs: DataFrame, model: ByteCnn, id_col: str = "doc_id", text_col:
         for i in range(0, len(flat), CHUNK):
             top = _maxima(shared.value, flat[i : i + CHUNK]) + bias
             logs.append(_log_softmax(np.maximum(top, np.float32(0.1) * top) @ dense + dense_bias))
-        held = np.concatenate([np.minimum(WINDOW, np.maximum(1, len(t) - WINDOW * np.arange(len(w)))) for t, w in zip(texts, x, strict=True)])
+        size = np.concatenate([held(t) for t in texts])
         starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-        total = np.add.reduceat(np.concatenate(logs).astype(float) * held[:, None], starts, axis=0) / np.add.reduceat(held, starts)[:, None]
+        total = np.add.reduceat(np.concatenate(logs).astype(float) * size[:, None], starts, axis=0) / np.add.reduceat(size, starts)[:, None]
         p = np.exp(_log_softmax(total))
         return p.argmax(axis=1).tolist(), p.max(axis=1).tolist()
 
