@@ -31,6 +31,8 @@ from corpusloom.storage import shared_dir, stored
 
 WIDTH = 192
 SHARD_BYTES = 256 << 20
+#: Stored bytes that a task reads back, about, and the most tasks that do it.
+READ_BYTES, MOST_TASKS = 8 << 20, 100_000
 PNG = b"\x89PNG\r\n\x1a\n"
 #: Signature, then the IHDR chunk: length, name, 13 bytes, checksum.
 HEADER = 33
@@ -128,8 +130,9 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     """The manifest: (__id, n_bytes, digest, shard, offset, length) of every row.
 
     ``digest`` is the SHA-256 of the padded payload. Null text counts as
-    empty; equal texts share a payload inside a task. An empty table gives no
-    rows.
+    empty; null ids stay null; equal texts share a payload inside a task; a
+    text of any length is one member, written whole. Repeated rows come back
+    repeated; other columns don't matter. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
     names = ["__id", "n_bytes", "digest", "shard", "offset", "length"]
@@ -179,7 +182,10 @@ def _ranged(catalog: DataFrame, folder: str, read, schema: str) -> DataFrame:
         if file is not None:
             file.close()
 
-    near = catalog.select("digest", "shard", "offset", "length").repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
+    members = catalog.select("digest", "shard", "offset", "length")
+    total = members.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(1, -(-total // max(READ_BYTES, total // MOST_TASKS)))  # by what they read, not by the catalog's own size
+    near = members.repartitionByRange(tasks, "shard", "offset").sortWithinPartitions("shard", "offset")
     return near.mapInArrow(run, schema)
 
 
