@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -74,3 +76,77 @@ def test_pair_tables_are_the_filters():
 def test_windows_cover_the_text():
     assert [language.windows(b"x" * n).shape[0] for n in (0, 1, 256, 257)] == [1, 1, 1, 2]
     assert language.windows(b"ab" * 200).tobytes().rstrip(b"\0") == b"ab" * 200
+
+
+def plain_statistics(text):
+    """The quality statistics in plain Python."""
+    n, lines = max(len(text), 1), text.split("\n")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    count = lambda chars: sum(c in chars for c in text) / n
+    import unicodedata
+
+    return {
+        "log_chars": np.log1p(len(text)), "word_len": n / (len(words) + 1), "line_len": n / len(lines), "upper": sum(unicodedata.category(c) == "Lu" for c in text) / n,
+        "digit": count("0123456789"), "symbol": count("#$%&*+<=>@^_`~\\{}[]"), "pipe": count("|"), "shout": count("!"), "stop": count("."), "comma": count(","),
+        "same_lines": 1 - len(set(lines)) / len(lines), "word_kinds": len(set(text.split(" "))) / (len(words) + 1), "closed_lines": sum(x.endswith(".") for x in lines) / len(lines),
+    }
+
+
+def plain_quality(model, text):
+    s = plain_statistics(text)
+    z = model.intercept + sum(w * all((s[n] <= b) == below for n, b, below in path) for w, path in model.rules) + sum(w * min(max(s[n], a), b) for w, n, a, b in model.linear)
+    return 1 / (1 + np.exp(-min(max(z, -40), 40)))
+
+
+def test_quality_scores_against_plain_python(spark, docs):
+    labels = spark.read.parquet(f"{BIG}/labels.parquet")
+    model = quality.train(docs, labels)
+    assert model.rules and model.linear
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in quality.query(docs, labels).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        want = plain_quality(model, text)
+        assert got[i][0] == pytest.approx(want, abs=1e-6) and (abs(want - 0.3) < 1e-6 or got[i][1] == (want >= 0.3))
+
+
+def plain_language(model, text):
+    """Label and score by sliding every filter over every window, byte by byte."""
+    data = text.encode().lower()
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0
+    total = np.zeros(len(model.labels))
+    for a in range(0, max(len(data), 1), language.WINDOW):
+        part = data[a : a + language.WINDOW]
+        x = part.ljust(language.WINDOW, b"\0")
+        top = []
+        for k, f in zip(language.WIDTHS, model.filters, strict=True):
+            top += np.max([sum(f[j][x[p + j]] for j in range(k)) for p in range(language.WINDOW - k + 1)], axis=0).tolist()
+        top = np.array(top) + model.bias
+        z = np.maximum(top, 0.1 * top) @ model.dense + model.dense_bias
+        total += len(part) * (z - z.max() - np.log(np.exp(z - z.max()).sum()))
+    total /= len(data)
+    p = np.exp(total - total.max())
+    return model.labels[int(np.argmax(p))], float(p.max() / p.sum())
+
+
+def test_language_scores_against_a_plain_forward_pass(spark, docs):
+    some = docs.orderBy(F.length("text").desc(), "doc_id").limit(3).unionByName(docs.where("doc_id % 25 = 1")).unionByName(spark.createDataFrame([(10**9, "Ärger übel", None, None, 1), (10**9 + 1, "1 2", None, None, 1)], docs.schema))
+    model = language.train(docs)
+    got = {r["__id"]: (r["__lang"], r["__score"]) for r in language.predicted(some, model).collect()}
+    for r in some.collect():
+        label, score = plain_language(model, r["text"] or "")
+        assert got[r["doc_id"]][0] == label and got[r["doc_id"]][1] == pytest.approx(score, abs=2e-3)
+
+
+def test_all_bytes_of_wide_characters_are_learned():
+    """Only what stands beyond the first window's bytes tells these languages apart."""
+    texts = [("ა" * 90 + ("ბ" if i % 2 else "გ") * 90).encode() for i in range(400)]
+    model = language.fit(texts, ["xx" if i % 2 else "yy" for i in range(400)])
+    assert [plain_language(model, "ა" * 90 + c * 90)[0] for c in "ბგ"] == ["xx", "yy"]
+
+
+def test_sparse_labels_of_two_languages(spark):
+    rows = spark.range(400_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 20_000 < 10_000, "the and of was were").otherwise("der die und nicht auch").alias("text"), F.when(F.col("id") % 10_000 == 1, F.when(F.col("id") % 20_000 < 10_000, "en").otherwise("de")).alias("lang"))
+    assert rows.where("lang IS NOT NULL").count() == 40
+    assert language.train(rows).labels == ["de", "en"]
