@@ -19,7 +19,9 @@ The file gives ranks, not probabilities: a piece's weight follows Zipf's law.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 
 SPACE_MARK = "▁"
 WORDS = re.compile(r"\n| *[^ \n]+| +")
-#: Longer words take the way that needs memory in proportion to their length.
-LONG = 40
+#: Longer words take the way that needs memory in proportion to their length; draws that it makes at once.
+LONG, DRAWS = 40, 1 << 14
 #: Characters that are segmented at once.
 BLOCK = 1 << 21
 FALLBACK_LOG = -12.0
@@ -143,28 +145,37 @@ def _filter(v: Vocabulary, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _long_word(v: Vocabulary, word: str, key: np.uint64, start: int) -> tuple[list[tuple[int, int]], float]:
-    """(position, piece) of one sampled segmentation of a long word, in memory of its length, and its log weight."""
-    n, total, into = len(word), [0.0], [[]]
-    for j in range(1, n + 1):
+    """(position, piece) of one sampled segmentation of a long word, and its log weight.
+
+    The same draw as that of ``_filter``'s way. Of the lattice only the forward
+    weights are kept, a number a character; edges are found again on the way back.
+    """
+    n, total = len(word), array("d", [0.0])
+
+    def edges(j: int) -> list[tuple[float, int, int]]:
         found = [(i, v.ids[word[i:j]]) for i in range(max(0, j - v.longest), j) if word[i:j] in v.ids]
         steps = [(total[i] + float(v.weight[p]), i, p) for i, p in found]
         if not found or found[-1][0] != j - 1:
             steps.append((total[j - 1] + FALLBACK_LOG * len(word[j - 1].encode("utf-8", "surrogatepass")), j - 1, -2))
+        return steps
+
+    for j in range(1, n + 1):
+        steps = edges(j)
         top = max(s for s, _, _ in steps)
-        total.append(top + float(np.log(sum(np.exp(s - top) for s, _, _ in steps))))
-        into.append(steps)
-    draws, out, j, log = _uniform(np.full(n + 1, key), start + np.arange(n + 1)).tolist(), [], n, 0.0
+        total.append(top + math.log(sum(math.exp(s - top) for s, _, _ in steps)))
+    out, j, log, draws, low = [], n, 0.0, [], n + 1
     while j:
-        left, at = draws[j], j
-        for s, i, p in into[j]:
-            left -= float(np.exp(s - total[j]))
+        if j < low:
+            low = max(0, j - DRAWS)
+            draws = _uniform(np.full(j + 1 - low, key), start + np.arange(low, j + 1)).tolist()
+        left = draws[j - low]
+        for s, i, p in edges(j):
+            left -= math.exp(s - total[j])
             if left < 0:
                 break
         out.append((i, p))
         log += s - total[i]
         j = i
-        if j >= at:
-            raise AssertionError("no progress")
     return out, log
 
 
@@ -252,8 +263,9 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
     ``__ids`` are the piece ids of the sampled segmentation of the whole text
     (null: empty; an empty text has one piece, the space before it). The
     hashes are of the text and of the decoded ids. Rows with one id and one
-    text get one segmentation; null ids draw as one key. An empty table gives
-    no rows.
+    text get one segmentation; null ids draw as one key. Texts of any length are
+    segmented whole, in memory of their length; repeated rows come back
+    repeated; other columns don't matter. An empty table gives no rows.
     """
     key = F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
     rows = docs.select(F.col(id_col).alias("__id"), key.alias("__key"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))

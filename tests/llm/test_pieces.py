@@ -76,3 +76,29 @@ def test_query(spark):
     assert len({tuple(r) for r in got if r["doc_id"] == 1}) == 1
     assert [r["n_pieces"] for r in got if r["doc_id"] in (2, None)] == [1, 1]
     assert pieces.query(df.limit(0)).count() == 0
+
+
+def test_both_ways_give_the_same_draw(vocab, monkeypatch):
+    """Words below, at and beyond the length where the way changes."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("etaoinshrdlué▁😀"), n)) for n in (1, 2, 20, 38, 39, 40, 41, 42, 60, 90) for _ in range(6)]
+    keys = rng.integers(0, 2**63, len(texts)).astype(np.uint64)
+    got = []
+    for long in (0, 40, 500):
+        monkeypatch.setattr(pieces, "LONG", long)
+        got.append(pieces.sample(vocab, texts, keys))
+    for a, b, c in zip(*got, strict=True):
+        assert a[0].tolist() == b[0].tolist() == c[0].tolist()
+        assert a[1] == pytest.approx(b[1]) and b[1] == pytest.approx(c[1])
+
+
+def test_a_long_word_takes_memory_of_its_length(vocab, monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(pieces, "DRAWS", 500)
+    word = "antidisestablishment" * 2_000
+    tracemalloc.start()
+    cut, _ = pieces._long_word(vocab, word, np.uint64(5), 0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 150 * len(word) and cut[-1][0] == 0
