@@ -7,7 +7,7 @@ import corpus_pipeline
 from corpusloom.llm import mixing, quality
 from tests.llm.test_line_dedup import brute as brute_lines
 from tests.llm.test_mixing import brute_targets
-from tests.llm.test_simhash import brute_components, brute_fingerprint
+from tests.llm.test_near import brute as brute_near
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -35,18 +35,19 @@ def test_stages_against_brute_force(spark, data, tmp_path):
 
     given, out = seen[2]
     given = sorted(given, key=lambda r: r["doc_id"])
-    roots = brute_components([brute_fingerprint(r["text"]) for r in given])
-    assert {r["doc_id"] for r in out.collect()} == {given[i]["doc_id"] for i in set(roots)}
+    assert {r["doc_id"] for r in out.collect()} == brute_near([(r["doc_id"], r["text"]) for r in given])
 
     given, out = seen[3]
     sizes = defaultdict(int)
     for r in given:
         sizes[r["source"]] += len(r["text"].split())
     mixed = defaultdict(int)
+    longest = {s: max(len(r["text"].split()) for r in given if r["source"] == s) for s in sizes}
     for r in out.collect():
         mixed[r["source"]] += len(r["text"].split())
+        assert r["text"] == by_id(given)[r["doc_id"]]["text"]
     for s, t in brute_targets(dict(sizes)).items():
-        assert abs(mixed[s] - t) <= 1
+        assert abs(mixed[s] - t) <= longest[s] / 2 + 1
     times = Counter(r["doc_id"] for r in out.collect())
     assert max(times.values()) <= mixing.MAX_EPOCHS
 
