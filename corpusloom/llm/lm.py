@@ -23,7 +23,11 @@ log-likelihood of the complete text.
 
 from __future__ import annotations
 
+import ctypes
+import sys
+from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +46,7 @@ STEPS, LANES = 32, 32
 #: Tokens of a shard, about; lanes and rate of the shards' training; rows that add weights up.
 SHARD, SHARD_LANES, SHARD_RATE, SUMS = 1_000_000, 256, 0.004, 8
 #: Texts that are scored together, in bytes, and lanes that step together.
-BLOCK, WIDE = 4 << 20, 512
+BLOCK, WIDE = 8 << 20, 1_024
 #: Entries of a task's dictionary of counts before it is passed on.
 FLUSH = 400_000
 
@@ -62,6 +66,10 @@ class Vocabulary:
     band_log: np.ndarray
     n_bands: int
 
+    def ranks(self, words: list[bytes]) -> np.ndarray:
+        """The rank of each word, -1 where it is none of ours."""
+        return np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
+
 
 def vocabulary(words: list[bytes], counts: list[int]) -> Vocabulary:
     """Of words in order of falling count. Input ids: head words, then bands, then rare."""
@@ -138,20 +146,40 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def _by_class(cls: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(class, rows) of head classes."""
+def _softmax(z: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, float]:
+    """Probabilities of rows, in place, less one at ``at``, and the sum of the logs there."""
+    z -= z.max(axis=1, keepdims=True)
+    rows = np.arange(len(z))
+    held = float(z[rows, at].sum())
+    np.exp(z, out=z)
+    total = z.sum(axis=1, keepdims=True)
+    z /= total
+    z[rows, at] -= 1
+    return z, held - float(np.log(total).sum())
+
+
+def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of head classes in order of class, and where each class begins among them."""
     order = np.argsort(cls, kind="stable")
     cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    return [(k, order[cuts[k] : cuts[k + 1]]) for k in range(CLASSES) if cuts[k + 1] > cuts[k]]
+    return order[: cuts[-1]], cuts
+
+
+def _member_logits(m: Gru, own: np.ndarray, cls: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Of states in order of class."""
+    z = m.member_bias[cls]
+    for k in range(CLASSES):
+        z[cuts[k] : cuts[k + 1]] += own[cuts[k] : cuts[k + 1]] @ m.to_member[k]
+    return z
 
 
 def token_logs(m: Gru, h: np.ndarray, x: np.ndarray) -> np.ndarray:
     """ln P(input id | state) of rows, up to the share inside a band or the rare class."""
     cls = class_of(x)
     out = _log_softmax(h @ m.to_class + m.class_bias)[np.arange(len(x)), cls]
-    for k, rows in _by_class(cls):
-        logs = _log_softmax(h[rows] @ m.to_member[k] + m.member_bias[k])
-        out[rows] += logs[np.arange(len(rows)), x[rows] % MEMBERS]
+    rows, cuts = _by_class(cls)
+    logs = _log_softmax(_member_logits(m, h[rows], cls[rows], cuts)) if len(rows) else np.zeros((0, MEMBERS))
+    out[rows] += logs[np.arange(len(rows)), x[rows] % MEMBERS]
     return out
 
 
@@ -170,20 +198,21 @@ def _window(m: Gru, x: np.ndarray, keep: np.ndarray, h: np.ndarray) -> tuple[flo
         h = kept[-1][0]
     flat, target = states.reshape(-1, n), x.ravel()
     cls = class_of(target)
-    logs = _log_softmax(flat @ m.to_class + m.class_bias)
-    loss = -logs[np.arange(len(target)), cls].sum()
-    d = np.exp(logs)
-    d[np.arange(len(target)), cls] -= 1
+    d, logs = _softmax(flat @ m.to_class + m.class_bias, cls)
+    loss = -logs
     back = d @ m.to_class.T
     grads[3], grads[4] = flat.T @ d, d.sum(axis=0)
-    for k, rows in _by_class(cls):
-        logs = _log_softmax(flat[rows] @ m.to_member[k] + m.member_bias[k])
-        at = (np.arange(len(rows)), target[rows] % MEMBERS)
-        loss -= logs[at].sum()
-        d = np.exp(logs)
-        d[at] -= 1
-        back[rows] += d @ m.to_member[k].T
-        grads[5][k], grads[6][k] = flat[rows].T @ d, d.sum(axis=0)
+    rows, cuts = _by_class(cls)
+    if len(rows):
+        own = flat[rows]
+        d, logs = _softmax(_member_logits(m, own, cls[rows], cuts), target[rows] % MEMBERS)
+        loss -= logs
+        more = np.empty_like(own)
+        for k in range(CLASSES):
+            part = slice(cuts[k], cuts[k + 1])
+            np.matmul(d[part], m.to_member[k].T, out=more[part])
+            grads[5][k], grads[6][k] = own[part].T @ d[part], d[part].sum(axis=0)
+        back[rows] += more
     back = back.reshape(steps, lanes, n)
     dh = np.zeros_like(h)
     du, new_sums = np.empty((steps, lanes, 3 * n), m.hidden.dtype), np.empty((steps, lanes, n), m.hidden.dtype)
@@ -208,6 +237,13 @@ def _window(m: Gru, x: np.ndarray, keep: np.ndarray, h: np.ndarray) -> tuple[flo
     return float(loss), grads, h
 
 
+def _keep_memory() -> None:
+    """Has the C library keep freed blocks: a window's arrays are needed again at once, and fresh pages cost a fifth of its time."""
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "mallopt"):
+        libc.mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD
+
+
 def fit(texts: list[np.ndarray], seed: int = 5, rate: float = 0.008, rounds: int = 2, lanes: int = LANES, start: Gru | None = None) -> Gru:
     """Adam on lanes of joined texts (arrays of input ids), from ``start`` on if it is given."""
     m, rng, most = fresh(seed), np.random.default_rng(seed), lanes
@@ -279,7 +315,7 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = train.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
 
     def run(batches):
-        known: dict[bytes, int] = {}
+        known: Counter[bytes] = Counter()
 
         def flush():
             out = pa.RecordBatch.from_arrays([pa.array(list(known), pa.binary()), pa.array(list(known.values()), pa.int64())], names=["word", "n"])
@@ -288,8 +324,7 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
         for b in batches:
             for t in b.column(0):
-                for w in tokens(t.as_py()):
-                    known[w] = known.get(w, 0) + 1
+                known.update(tokens(t.as_py()))
                 if len(known) > FLUSH:
                     yield flush()
         if known:
@@ -337,6 +372,7 @@ def trained(docs: DataFrame, vocab: Vocabulary, start: Gru, n_all: int, id_col:
         rows = rows.repartition(tasks, "__shard").sortWithinPartitions("__shard", "__at", "__text")
 
         def run(batches):
+            _keep_memory()
             vocab, start = shared.value
             now, texts = None, []
 
@@ -352,7 +388,7 @@ def trained(docs: DataFrame, vocab: Vocabulary, start: Gru, n_all: int, id_col:
                         texts = []
                     now = shard
                     words = tokens(text.as_py())
-                    known = np.fromiter((vocab.ids.get(w, -1) for w in words), np.int64, len(words))
+                    known = vocab.ranks(words)
                     x = np.full(len(words), RARE, np.int32)
                     x[known >= 0] = vocab.input_id[known[known >= 0]]
                     texts.append(x)
@@ -405,21 +441,22 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = rows.withColumn("__row", F.monotonically_increasing_id())
 
     def run(batches):
+        _keep_memory()
         vocab, model = shared.value
 
         def flush(block):
             """One pass over a block: what frequent words give, and each text's rare words with their counts."""
             kinds: dict[bytes, int] = {}
             of = [kinds.setdefault(t, len(kinds)) for _, _, t in block]
-            inputs, sums, rares, get = [], [], [], vocab.ids.get
+            inputs, sums, rares = [], [], []
             for text in kinds:
                 words = tokens(text)
-                known = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+                known = vocab.ranks(words)
                 hit = known[known >= 0]
                 rare: dict[bytes, int] = {}
                 for i in np.flatnonzero(known < 0).tolist():
                     rare[words[i]] = rare.get(words[i], 0) + 1
-                x = np.full(len(words), RARE)
+                x = np.full(len(words), RARE, np.int32)
                 x[known >= 0] = vocab.input_id[hit]
                 inputs.append(x)
                 sums.append((len(words), len(hit), float(vocab.log_count[hit].sum()), float(vocab.band_log[hit].sum())))
