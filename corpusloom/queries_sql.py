@@ -245,7 +245,7 @@ def oracle_sql() -> dict[str, str]:
             FROM c WHERE r = turn AND turn < 5 AND (stop IS NULL OR turn < stop) GROUP BY conv_id""",
         "spider_links": f"""WITH l AS (SELECT {HOST.format("url")} AS page, page_id::INT AS pos, url || '#belajar' AS u, lower({PATH.format("url")}) AS p FROM pages)
             SELECT page, pos FROM l WHERE contains(u, 'example.') QUALIFY row_number() OVER (PARTITION BY page ORDER BY pos) <= 4""",
-        "journal_records": rf"""WITH c AS (SELECT doc_id, {SQUEEZE.format(f"""array_to_string(list_filter({LINES}, lambda x: length(trim(x)) >= 3 AND NOT regexp_matches(trim(x), '^[0-9]+$')), chr(10))""")} AS t FROM documents WHERE doc_id % 3 = 0)
+        "journal_records": rf"""WITH c AS (SELECT doc_id, {SQUEEZE.format(f"""array_to_string(list_filter({LINES}, lambda x: length(trim(x)) >= 3 AND NOT regexp_matches(trim(x), '^[0-9]+$')), chr(10))""")} AS t FROM documents)
             SELECT 'https://neliti.com/p/' || doc_id || '.pdf' AS url, 'https://neliti.com/j/' || doc_id AS source_page, 'siswa dan guru ' || doc_id AS title, 'A;B' AS authors, {COUNT.format("t")}::INT AS word_count,
               'jurnal_ilmiah' AS type, 'umum' AS level FROM c WHERE length(t) >= 500""",
         "raw_records": f"""SELECT 'https://' || source || '.example.org/read/' || doc_id AS url, '2024-01-15T00:00:00.000000+00:00' AS timestamp, {COUNT.format("text")}::INT AS word_count,
