@@ -97,9 +97,10 @@ def counts(jobs: DataFrame, now: Column) -> DataFrame:
 
 
 def backfill_priority(jobs: DataFrame) -> DataFrame:
-    """Old rows (priority null, 2 or 10) get their priority by URL."""
-    u = F.col("url")
-    new = F.when(F.like(u, F.lit("https://www.kompas.com/edu/%")) | F.like(u, F.lit("https://www.kompas.com/skola/%")), 0).when(F.like(u, F.lit("https://edukasi.kompas.com/%")), 1).when(F.like(u, F.lit("%kompas.com%")), 2).otherwise(10)
+    """Old rows (priority null, 2 or 10) get their priority by the start of their URL, else by the end of their domain, in any case."""
+    starts = lambda x: F.startswith(F.lower("url"), F.lit(x))
+    new = F.when(starts("https://www.kompas.com/edu/") | starts("https://www.kompas.com/skola/"), 0).when(starts("https://edukasi.kompas.com/"), 1)
+    new = new.when(F.endswith(F.lower("domain"), F.lit("kompas.com")), 2).otherwise(10)
     return jobs.withColumn("priority", F.when(F.col("priority").isNull() | F.col("priority").isin(2, 10), new).otherwise(F.col("priority")))
 
 
