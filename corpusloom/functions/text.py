@@ -155,13 +155,16 @@ def plain_text(markdown: Column) -> Column:
     return let(F.transform(lines, bare), lambda k: strip(F.array_join(_without_runs(k, 1), "\n")))
 
 
-def _first_of_each(lines: Column) -> Column:
-    """Non-blank lines whose lower-case form stood before go."""
+def _firsts(items: Column, keys: Column, stays: Callable[[Column, Column], Column]) -> Column:
+    """Those of ``items`` for whose key ``stays(key, is_first)`` holds, in their order; by sorting, so in n log n steps."""
+    ranked = F.sort_array(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
+    chosen = let(ranked, lambda r: F.filter(r, lambda x, j: stays(x["k"], (j == 0) | (F.get(r, j - 1)["k"] != x["k"]))))
+    return F.transform(F.sort_array(F.transform(chosen, lambda x: x["i"])), lambda i: F.get(items, i))
 
-    def pick(ls: Column) -> Column:
-        return let(F.transform(ls, lambda x: strip(F.lower(x))), lambda ks: F.filter(ls, lambda x, i: (x == "") | (F.array_position(ks, F.get(ks, i)) == i + 1)))
 
-    return let(lines, pick)
+def _first_of_each(lines: Column) -> Column:
+    """Non-blank lines whose lower-case form stood before go."""
+    return let(lines, lambda ls: _firsts(ls, F.transform(ls, lambda x: strip(F.lower(x))), lambda k, first: (k == "") | first))
 
 
 def _replace_if(needles: str, pattern: str, by: str) -> Callable[[Column], Column]:
@@ -249,7 +252,7 @@ def main_paragraphs(content: Column) -> Column:
 
     def pick(p: Column) -> Column:
         keys = F.transform(p, lambda x: F.regexp_replace(F.lower(x), r"(?U)\W+", ""))
-        first = let(keys, lambda ks: F.filter(p, lambda x, i: (F.get(ks, i) != "") & (F.array_position(ks, F.get(ks, i)) == i + 1)))
+        first = _firsts(p, keys, lambda k, first: (k != "") & first)
         kept = F.filter(first, lambda x: F.startswith(x, F.lit("#")) | (word_count(x) >= 6) | (F.char_length(x) >= 80))
         return let(kept, lambda k: strip(F.array_join(F.when(F.size(k) > 0, k).otherwise(p), "\n\n")))
 

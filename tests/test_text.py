@@ -125,3 +125,13 @@ def test_markdown_cleaning_is_idempotent_on_prose(spark):
     text = f"# Judul\n\n{PROSE}\n\n\n\n{PROSE}"
     once = run(spark, X.clean_markdown, [text])
     assert run(spark, X.clean_markdown, once) == once
+
+
+def test_a_hundred_thousand_lines_take_seconds(spark):
+    import time
+
+    line = lambda i: f"kalimat nomor {i % 60_000} yang cukup panjang di sini."
+    df = spark.createDataFrame([("\n\n".join(map(line, range(100_000))),)], "t string")
+    began = time.time()
+    n, m = df.select(F.size(F.split(X.main_paragraphs(F.col("t")), "\n\n")), F.size(F.split(X.clean_for_training(F.col("t")), "\n"))).first()
+    assert n == 60_000 and m >= 60_000 and time.time() - began < 60
