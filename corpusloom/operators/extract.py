@@ -203,6 +203,12 @@ def title_of(root: Node, selector: str = "") -> str:
     return text
 
 
+def titles(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """``pages`` with ``title``; empty where there is none."""
+    read = F.udf(lambda html: title_of(dom.parse(html or "")), "string", useArrow=True)
+    return pages.withColumn("title", read(html_col))
+
+
 def extract_page(html: str | None, method: str | None = "", selectors: dict | None = None, strip: list | None = None, persisted: str | None = None) -> dict:
     """title, content, source and selector of a page, by the first strategy that finds something."""
     out = {"title": "", "content": "", "source": "none", "selector": None, "next_page": None}
@@ -254,12 +260,30 @@ def extract(pages: DataFrame, html_col: str = "html", persisted_col: str | None
     return pages.withColumn("extracted", run(*[F.col(c) for c in args]))
 
 
+def read_rendered(html: str | None) -> dict:
+    """content, source and selector of a page as a browser shows it: generic rules, script variable, density."""
+    out = {"content": "", "source": "none", "selector": None}
+    if not html:
+        return out
+    text, used = generic(dom.parse(html))
+    if text:
+        return out | {"content": text, "source": f"css:{used}", "selector": used}
+    if text := script_variable(dom.parse(html)):
+        return out | {"content": text, "source": f"script:{SCRIPT_VARIABLE}"}
+    text = density(dom.parse(html))
+    return out | {"content": text, "source": "density" if text else "none"}
+
+
+def rendered_page(html):
+    """:func:`read_rendered` of a column; nothing is read where it is null."""
+    return F.udf(read_rendered, "content string, source string, selector string", useArrow=True)(html)
+
+
 def with_rendered(content: str | None, quality: float | None, rendered: str | None, least: float = 0.70) -> str | None:
-    """The retry of a poor page on its rendered HTML: generic rules, script variable, density."""
+    """The retry of a poor page on its rendered HTML."""
     if rendered is None or (quality is not None and quality >= least):
         return content
-    text, _ = generic(dom.parse(rendered))
-    return text or script_variable(dom.parse(rendered)) or density(dom.parse(rendered)) or content
+    return read_rendered(rendered)["content"] or content
 
 
 def citation_metadata(html: str | None) -> dict:

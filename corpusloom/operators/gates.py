@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions import urls as U
 from corpusloom.functions import vocabulary as V
 from corpusloom.operators.dedupe import first_of_key
+from corpusloom.operators.extract import rendered_page
 from corpusloom.settings import Settings
 from corpusloom.storage import stored
 
@@ -39,25 +41,49 @@ def late_reason(url: str = "url", title: str = "title", s: Settings = Settings()
     return out.when(X.relevance_score(both, keywords) < need, "low_relevance")
 
 
-def gated(df: DataFrame, order: Sequence[str], s: Settings = Settings(), seen: DataFrame | None = None, **lists) -> DataFrame:
+def _rendered(df: DataFrame, rendered: str, title: str, s: Settings) -> DataFrame:
+    """Poor pages once more from their rendered HTML: what is found there stands as it is, with its quality and fingerprint."""
+    poor = F.when(F.col("early") == "low_extraction_quality", F.col(rendered))
+    df = df.withColumn("__r", rendered_page(poor)).withColumn("__text", X.strip(X.given(F.col("__r.content"))))
+    both = F.struct(X.extraction_quality(F.col("__text"), F.col(title)).alias("quality"), X.fingerprint(F.col("__text")).alias("fingerprint"))
+    df = X.computed(df, "__s", F.when(F.col("__text") != "", both))
+    new = F.col("__s").isNotNull()
+    out = {n: F.when(new, F.col(f"__s.{n}")).otherwise(F.col(n)) for n in ("quality", "fingerprint")} | {"main": F.when(new, F.col("__text")).otherwise(F.col("main"))}
+    out["early"] = F.when(new & (F.col("__s.quality") >= s.min_quality), F.lit(None).cast("string")).otherwise(F.col("early"))
+    for own, theirs in (("extraction_source", F.concat(F.lit("rendered:"), F.col("__r.source"))), ("selector_used", F.col("__r.selector"))):
+        if own in df.columns:
+            out[own] = F.when(new, theirs).otherwise(F.col(own))
+    return df.select(*[out.get(c, F.col(c)).alias(c) for c in df.columns if c not in ("__r", "__s", "__text", rendered)])
+
+
+def gated(df: DataFrame, order: Sequence[str], s: Settings = Settings(), seen: DataFrame | None = None, text: bool = True, rendered: str | None = None, failed: str | None = None, **lists) -> DataFrame:
     """``df`` (url, title, content) without content but with main, quality, fingerprint and ``reject_reason``, null for what passes.
 
     A fingerprint counts as seen from the first page that reaches it, in
     ``order``, even if a later gate rejects that page; and if ``seen``
-    (fingerprint) holds it.
+    (fingerprint) holds it. Every gate but that one depends on the page alone
+    and is settled where the page is; only ``order`` and fingerprints are
+    shuffled to find first pages. Without ``text`` no text is stored, nor
+    main returned. ``rendered`` names a column of HTML for a second try of
+    pages of poor quality; ``failed`` one that says why a page could not be
+    fetched, which goes before all gates.
     """
-    # written once: two branches read it, without the texts that later steps don't need
     df = X.computed(with_stages(df), "early", early_reason(s=s))
-    df = stored(df.drop("content", "cleaned"))
-    passing = df.where(F.col("early").isNull()).select("*")
-    first = first_of_key(passing, ["fingerprint"], order, "first_seen")
+    if rendered is not None:
+        df = _rendered(df, rendered, "title", s)
+    if failed is not None:
+        df = df.withColumn("early", F.coalesce(failed, "early")).drop(failed)
+    df = X.computed(df, "late", F.when(F.col("early").isNull(), late_reason(s=s, **lists)))
+    df = stored(df.drop("content", "cleaned", *([] if text else ["main"])))
+    reached = df.where(F.col("early").isNull()).select(*order, "fingerprint")
+    first = first_of_key(reached, ["fingerprint"], order, "first_seen")
     if seen is not None:
         first = first.join(seen.select("fingerprint", F.lit(True).alias("known")).distinct(), "fingerprint", "left")
-        first = first.withColumn("first_seen", F.col("first_seen") & F.col("known").isNull()).drop("known")
-    late = F.when(~F.col("first_seen"), "duplicate_content").otherwise(late_reason(s=s, **lists))
-    passed = first.withColumn("reject_reason", late).drop("early", "first_seen")
-    failed = df.where(F.col("early").isNotNull()).withColumnRenamed("early", "reject_reason")
-    return passed.select(*failed.columns).unionByName(failed)
+        first = first.withColumn("first_seen", F.col("first_seen") & F.col("known").isNull())
+    again = first.where(~F.col("first_seen")).select(*[F.col(c).alias(f"__{c}") for c in order], F.lit(True).alias("__again"))
+    same = reduce(Column.__and__, [df[c].eqNullSafe(again[f"__{c}"]) for c in order])
+    reason = F.coalesce("early", F.when(F.col("__again"), "duplicate_content"), "late")
+    return df.join(again, same, "left").withColumn("reject_reason", reason).drop("early", "late", "__again", *[f"__{c}" for c in order])
 
 
 def reason_counts(df: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 
 def overwrite_jsonl(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """In as many files as ``df`` has partitions."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_tiers(raw: DataFrame, processed: DataFrame, folder: str, instance: str = "") -> None:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from corpusloom.functions import text as X
 from corpusloom.functions import urls as U
 from corpusloom.functions.fuzzy import fuzzy_relevance
 from corpusloom.operators import frontier, gates, journal, links, sinks, sites
-from corpusloom.operators.dedupe import cap_per_key, first_of_key, keep_first
+from corpusloom.operators.dedupe import cap_per_key, first_of_key, keep_first, not_seen
+from corpusloom.operators.extract import titles
 from corpusloom.plans import crawl, discovery
 from corpusloom.settings import Settings
 from corpusloom.sources import readers, sitemap
@@ -28,6 +30,20 @@ SIGNALS = ["tion", "ment", "keit", "ando", "heit", "oure", "ough"]
 LEVELS = [("EN", r"\b(the|and)\b"), ("FR", r"\b(les|une)\b"), ("DE", r"\b(der|das)\b")]
 SITES = [("example.org", "css"), ("example.com", "css"), ("www.example.com", "density"), ("blog.example.net", ""), ("example.net", "density")]
 BLOCKED = ["example.com", "m.example.org"]
+SHARDS = 3
+#: Site, method, and what stands before and after an article's paragraphs there.
+SITE_MARKUP = [
+    ("detik.com", "custom_detik", '<div class="detail__body-text itp_bodycontent">', '<table class="linksisip"><tr><td><p>lain</p></td></tr></table><p>Baca juga: lain</p><div><p>dalam</p></div></div>'),
+    ("ruangguru.com", "custom_ruangguru", '<div class="content-body"><p><img src="a.png"></p>', "<p>&nbsp;</p><p>(Sumber: lain)</p><ol><li>satu</li><li></li><li>tiga</li></ol></div>"),
+    ("liputan6.com", "custom_liputan6", '<div class="article-content-body__item-content">', '<div id="div-gpt-ad-1"><p>iklan</p></div><p>Advertisement</p><p>BACA JUGA: lain</p></div>'),
+    ("republika.co.id", "custom_republika", '<div class="article-content"><script>var x;</script>', '<div class="terkait"><p>lain</p></div></div>'),
+    ("quipper.com", "custom_quipper", '<div id="penci-post-entry-inner"><div class="lwptoc"><p>isi</p></div><h2>Awal</h2>', '<div class="post-tags"><p>lain</p></div></div>'),
+    ("zenius.net", "custom_zenius", '<section class="gh-content">', '<p><img alt="a+b">x</p><p>Baca Juga: lain</p><div class="kg-callout-card">kotak</div><div>lain</div></section>'),
+    ("kompas.com", "css", '<div class="read__content">', "<nav>lain</nav></div>"),
+]
+OLD_URLS = ["https://www.kompas.com/edu/a", "https://www.kompas.com/skola/b", "https://edukasi.kompas.com/c", "https://tekno.kompas.com/d", "https://other.com/?u=kompas.com", "https://www.kompas.com.evil.org/e", "https://notkompas.com/f"]
+RULE_HOSTS = ["www.kompas.com", "edukasi.kompas.com", "tekno.kompas.com", "www.detik.com", "www.ruangguru.com", "m.liputan6.com", "news.republika.co.id", "www.quipper.com", "www.zenius.net", "example.org", "kompas.com.evil.org"]
+RULE_SECTIONS = ["/edu/", "/skola/", "/blog/", "/read/", "/berita/", "/", "/edu/bahasa-inggris/", "/English/"]
 NOW = "timestamp'2024-01-15 00:00:00'"
 
 
@@ -61,12 +77,12 @@ LISTS = {"keywords": KEYWORDS, "common": COMMON, "ads": SIGNALS}
 LOOSE = Settings(min_keywords=2, max_ad_signals=4)
 
 
-def _gated(spark: SparkSession, d: str) -> DataFrame:
-    return gates.gated(_page_text(spark, d), ["id"], LOOSE, **LISTS)
+def _gated(spark: SparkSession, d: str, text: bool = True) -> DataFrame:
+    return gates.gated(_page_text(spark, d), ["id"], LOOSE, text=text, **LISTS)
 
 
 def _gates(s: SparkSession, d: str) -> DataFrame:
-    return _gated(s, d).select(F.col("id").alias("doc_id"), "reject_reason")
+    return _gated(s, d, text=False).select(F.col("id").alias("doc_id"), "reject_reason")
 
 
 def _claim(s: SparkSession, d: str) -> DataFrame:
@@ -109,9 +125,67 @@ def _phrases(s: SparkSession, d: str) -> DataFrame:
 
 
 def _search(s: SparkSession, d: str) -> DataFrame:
-    q = _phrases(s, d).select("pos", F.col("phrase").alias("query"))
-    tasks = discovery.engine_urls(q, 2)
-    return tasks.where(F.pmod("pos", F.lit(3)) == 1)
+    """All search tasks of a focused run, shard by shard, with the shard that does each."""
+    each = [discovery.search_tasks(s, "example.org", keywords=_phrases(s, d), shard=i, shards=SHARDS).withColumn("shard", F.lit(i)) for i in range(SHARDS)]
+    return reduce(DataFrame.unionByName, each)
+
+
+def _backfill(s: SparkSession, d: str) -> DataFrame:
+    """Jobs whose URLs meet every rule, and hosts and parameters that only look like it; some without priority."""
+    kind = (F.col("id") % (len(OLD_URLS) + 1)).cast("int")
+    url = F.coalesce(F.get(F.array(*map(F.lit, OLD_URLS)), kind), F.col("url"))
+    jobs = _jobs(s, d).withColumn("url", url).withColumn("domain", U.host(F.col("url"))).withColumn("priority", F.when(F.col("id") % 13 != 0, F.col("priority")))
+    return frontier.backfill_priority(jobs).groupBy("domain", "priority").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ignore(s: SparkSession, d: str) -> DataFrame:
+    jobs = _jobs(s, d)
+    poor = jobs.where("status = 'processing'").select("id", F.concat(F.lit("too_short_"), F.repeat(F.lit("x"), 600)).alias("reason"))
+    return frontier.ignore(jobs, poor, F.expr(NOW)).select("id", "status", "last_error", "attempts")
+
+
+def _rule_urls(s: SparkSession, d: str) -> DataFrame:
+    """Hosts and sections that the default rules name, and others, with the pages' numbers."""
+    at = lambda xs: F.get(F.array(*map(F.lit, xs)), (F.col("page_id") % len(xs)).cast("int"))
+    url = F.concat(F.lit("https://"), at(RULE_HOSTS), at(RULE_SECTIONS), F.col("page_id").cast("string"))
+    return _pages(s, d).select("page_id", url.alias("url"))
+
+
+def _url_rules(s: SparkSession, d: str) -> DataFrame:
+    u = F.col("url")
+    return _rule_urls(s, d).select(
+        "page_id", U.url_priority(u).alias("priority"), U.is_english_subject(u).alias("english"), U.is_priority_section(u).alias("section"), U.normalize_domain(F.concat(F.lit(" "), F.upper(u))).alias("domain"),
+        U.in_whitelist(u, ["kompas.com", "detik.com"]).alias("listed"), U.is_valid_crawl_url(u).alias("valid"), U.is_education_url(u).alias("education"),
+    )
+
+
+def _not_seen(s: SparkSession, d: str) -> DataFrame:
+    """Documents whose content no English document has."""
+    rows = _docs(s, d).select("doc_id", "lang", X.fingerprint(F.col("text")).alias("fingerprint"))
+    return not_seen(rows, rows.where("lang = 'en'"), ["fingerprint"]).select("doc_id", "fingerprint")
+
+
+def _cached(s: SparkSession, d: str) -> DataFrame:
+    """Pages with the selector that their host's latest page has in the cache, hosts by the length of their names being unknown."""
+    cache = _selectors(s, d).where(F.char_length("domain") % 3 != 0)
+    return sites.with_selector(_pages(s, d), cache).select("page_id", "domain", "selector")
+
+
+def _site_pages(s: SparkSession, d: str) -> DataFrame:
+    """Every document as an article of one of seven sites, in its markup, between menus, boxes and links to other articles."""
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), X.strip), lambda x: x != "")
+    safe = lambda x: F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    body = F.array_join(F.transform(lines, lambda x: F.concat(F.lit("<p>"), safe(x), F.lit("</p>"))), "")
+    kind = (F.col("doc_id") % len(SITE_MARKUP)).cast("int")
+    of = lambda i: F.get(F.array(*[F.lit(m[i]) for m in SITE_MARKUP]), kind)
+    html = F.concat(F.lit("<title> Judul "), F.col("doc_id"), F.lit("</title><nav>menu</nav>"), of(2), body, of(3), F.lit("<footer>kaki</footer>"))
+    return _docs(s, d).select(F.col("doc_id").alias("id"), F.concat(F.lit("https://"), of(0), F.lit("/a/"), F.col("doc_id")).alias("url"), html.alias("html"))
+
+
+def _site_rules(s: SparkSession, d: str) -> DataFrame:
+    manifest = s.createDataFrame([(m[0], m[1], {"body": "div.read__content"} if m[1] == "css" else {}, ["nav"]) for m in SITE_MARKUP], "site string, method string, selectors map<string,string>, strip array<string>")
+    out = crawl.extracted_pages(_site_pages(s, d), manifest)
+    return out.select(F.col("id").alias("doc_id"), "title", "extraction_source", F.sha2(F.col("content").cast("binary"), 256).alias("content_sha"))
 
 
 def _cleaned(f: Callable, name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -127,7 +201,7 @@ def _url(**columns: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _crawl(s: SparkSession, d: str) -> DataFrame:
-    rows = crawl.curated(_pages(s, d).withColumnRenamed("page_id", "id"), _sites(s).withColumn("selectors", F.create_map().cast("map<string,string>")).withColumn("strip", F.array().cast("array<string>")), Settings(domain_cap=5), **LISTS)
+    rows = crawl.curated(_pages(s, d).withColumnRenamed("page_id", "id"), _sites(s).withColumn("selectors", F.create_map().cast("map<string,string>")).withColumn("strip", F.array().cast("array<string>")), Settings(domain_cap=5), text=False, **LISTS)
     return rows.select("id", "host", "extraction_source", "reject_reason", "fingerprint")
 
 
@@ -242,7 +316,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "whitelist_semi": lambda s, d: sites.whitelisted(_pages(s, d), s.createDataFrame([("example.org",)], "domain string")).select(*page_row),
         "page_links": lambda s, d: links.page_links(_pages(s, d)).groupBy("page").agg(F.count(F.lit(1)).alias("n_links")),
         "page_hrefs": lambda s, d: _pages(s, d).select("page_id", F.size(links.hrefs(F.col("html"))).alias("n_hrefs"), F.array_join(links.hrefs(F.col("html")), " ").alias("hrefs")),
-        "page_title": lambda s, d: _pages(s, d).select("page_id", F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1).alias("title")),
+        "page_title": lambda s, d: titles(_pages(s, d)).select("page_id", "title"),
         "page_extract": lambda s, d: crawl.extracted_pages(_pages(s, d).withColumnRenamed("page_id", "id")).select("id", "title", "extraction_source", X.word_count(F.col("content")).alias("words")),
         "crawl_pipeline": _crawl,
         "cleaner_process": _cleaner,
@@ -269,7 +343,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cpt_clean_compat": _cleaned(X.clean_for_training, "cpt_sha"),
         "fuzzy_relevance": lambda s, d: _docs(s, d).select("doc_id", fuzzy_relevance(["the tionn", "und der"], 80)("text").alias("f")).select("doc_id", "f.score", F.size("f.hits").alias("n")),
         "gate_reasons": _gates,
-        "reject_histogram": lambda s, d: gates.reason_counts(_gated(s, d)),
+        "reject_histogram": lambda s, d: gates.reason_counts(_gated(s, d, text=False)),
         "cpt_records": _records,
         "phrase_scan": lambda s, d: readers.phrases(_first_words(s, d)),
         "sitemap_walk": _sitemap_walk,
@@ -281,7 +355,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_records": _raw,
         "article_urls": _articles,
         "education_related": _doc(related=lambda t: X.is_education_related(t, None, KEYWORDS, 4), valid=lambda t: X.cleaner_valid(t, KEYWORDS, 100, 2)),
-        "run_counters": lambda s, d: sinks.run_counters(_gated(s, d)).select("pages", "accepted", "rejected"),
+        "run_counters": lambda s, d: sinks.run_counters(_gated(s, d)),
         "host_counts": lambda s, d: _pages(s, d).groupBy(U.host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n")),
         "uptime_format": lambda s, d: _jobs(s, d).select("id", X.uptime(F.col("id") * 7).alias("uptime"), X.utc_iso(F.col("created_at")).alias("iso")),
         "stream_dedupe": _stream,
@@ -291,6 +365,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "job_complete": _complete,
         "job_recover": lambda s, d: frontier.recover(_jobs(s, d)).groupBy("status").agg(F.count(F.lit(1)).alias("n")),
         "enqueue_new": _enqueue,
-        "priority_backfill": lambda s, d: frontier.backfill_priority(_jobs(s, d)).groupBy("priority").agg(F.count(F.lit(1)).alias("n")),
+        "priority_backfill": _backfill,
         "selector_upsert": _selectors,
+        "selector_cache_join": _cached,
+        "job_ignore": _ignore,
+        "url_rules": _url_rules,
+        "contents_not_seen": _not_seen,
+        "site_rules": _site_rules,
     }

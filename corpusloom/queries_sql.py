@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from corpusloom.functions import vocabulary as V
-from corpusloom.queries import BLOCKED, COMMON, KEYWORDS, LEVELS, LOOSE, SIGNALS, SITES
+from corpusloom.queries import BLOCKED, COMMON, KEYWORDS, LEVELS, LOOSE, OLD_URLS, RULE_HOSTS, RULE_SECTIONS, SHARDS, SIGNALS, SITE_MARKUP, SITES
 
 TS = "TIMESTAMP '2024-01-15 00:00:00'"
 
@@ -198,15 +198,15 @@ def oracle_sql() -> dict[str, str]:
         "blocked_domain_anti": f"SELECT page_id, url FROM pages WHERE NOT {_under(HOST.format('url'), BLOCKED)}",
         "whitelist_semi": f"SELECT page_id, url FROM pages WHERE {_under(HOST.format('url'), ['example.org'])}",
         "page_hrefs": """SELECT page_id, len(regexp_extract_all(html, '(?i)href="([^"]*)"', 1))::INT AS n_hrefs, array_to_string(regexp_extract_all(html, '(?i)href="([^"]*)"', 1), ' ') AS hrefs FROM pages""",
-        "page_title": "SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages",
+        "page_title": f"""SELECT page_id, {STRIP.format("replace(replace(replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")} AS title FROM pages""",
         "tag_urls": rf"""WITH {PHRASES}, s AS (SELECT pos, substring(trim(regexp_replace(lower(phrase), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80) AS slug FROM phrases)
             SELECT min(pos) AS pos, 'https://www.kompas.com/tag/' || slug AS search_url, 'kompas_tag' AS engine FROM s WHERE slug <> '' GROUP BY slug""",
         "site_queries": f"""WITH {PHRASES}, t AS (SELECT pos * 8 + i - 1 AS pos, replace(({TEMPLATES})[i], '{{kw}}', phrase) AS query FROM phrases, range(1, 9) r(i) WHERE {COUNT.format("phrase")} >= 2),
             d AS (SELECT min(pos) AS pos, query FROM t GROUP BY query) SELECT pos, query FROM d ORDER BY pos LIMIT 400""",
-        "search_urls_sharded": rf"""WITH {PHRASES}, e AS (SELECT (pos * 2 + page) * 2 + e AS pos, page, e, replace(replace(url_encode(phrase), '%20', '+'), '''', '%27') AS q FROM phrases, range(0, 2) a(page), range(0, 2) b(e))
-            SELECT pos, CASE WHEN e = 0 THEN 'https://html.duckduckgo.com/html/?q=' || q || CASE WHEN page > 0 THEN '&s=' || (page * 30) || '&dc=' || (page * 30 + 1) ELSE '' END
-              ELSE 'https://www.bing.com/search?q=' || q || CASE WHEN page > 0 THEN '&first=' || (page * 10 + 1) ELSE '' END END AS search_url,
-              CASE WHEN e = 0 THEN 'duckduckgo' ELSE 'bing' END AS engine FROM e WHERE pos % 3 = 1""",
+        "search_urls_sharded": rf"""WITH {PHRASES}, t AS (SELECT pos * 8 + i - 1 AS pos, replace(({TEMPLATES})[i], '{{kw}}', phrase) AS query FROM phrases, range(1, 9) r(i) WHERE {COUNT.format("phrase")} >= 2),
+            d AS (SELECT min(pos) AS pos, query FROM t GROUP BY query ORDER BY pos LIMIT 400), e AS (SELECT pos * 2 + e AS pos, e, replace(replace(url_encode(query), '%20', '+'), chr(39), '%27') AS q FROM d, range(0, 2) b(e)),
+            n AS (SELECT *, (row_number() OVER (ORDER BY pos) - 1)::INT AS idx FROM e)
+            SELECT idx, CASE WHEN e = 0 THEN 'https://html.duckduckgo.com/html/?q=' ELSE 'https://www.bing.com/search?q=' END || q AS search_url, CASE WHEN e = 0 THEN 'duckduckgo' ELSE 'bing' END AS engine, idx % {SHARDS} AS shard FROM n""",
         "word_count": f"SELECT doc_id, {COUNT.format('text')}::INT AS words, {COUNT.format('substring(text, 1, 200000)')}::INT AS tokens FROM documents",
         "lang_ratio_gate": f"SELECT doc_id, {_language('text', 0.1)} AS is_language FROM documents",
         "keyword_hits": f"SELECT doc_id, len({_hits('text', KEYWORDS)})::INT AS hits, array_to_string({_hits('text', KEYWORDS)}, ',') AS found, len({_hits('text', SIGNALS)})::INT AS signals FROM documents",
@@ -255,7 +255,8 @@ def oracle_sql() -> dict[str, str]:
               contains('/berita' || lower(t), '/berita/') AS republika, contains('/id/blog' || lower(t), '/blog/') AS quipper, (contains('/blog' || lower(t), '/blog/') AND length('/blog' || t) > 6) AS zenius,
               {_under(HOST.format("url"), ["example.org"])} AS journal, substring(trim(regexp_replace(trim(url), '[^A-Za-z0-9_.-]+', '_', 'g'), '._-'), 1, 64) AS instance, split_part(url, '/', 3) AS source FROM p""",
         "education_related": f"SELECT doc_id, len({_hits('text', KEYWORDS)}) >= 4 AS related, ({COUNT.format('text')} >= 100 AND len({_hits('text', KEYWORDS)}) >= 2) AS valid FROM documents",
-        "run_counters": f"WITH {GATED} SELECT count(*) AS pages, count(*) FILTER (reject_reason IS NULL) AS accepted, count(*) FILTER (reject_reason IS NOT NULL) AS rejected FROM gated",
+        "run_counters": f"""WITH {GATED} SELECT count(*) AS pages, count(*) FILTER (reject_reason IS NULL) AS accepted, count(*) FILTER (reject_reason IS NOT NULL) AS rejected,
+            coalesce(sum(CASE WHEN reject_reason IS NULL THEN {COUNT.format('substring(main, 1, 200000)')} END), 0)::BIGINT AS tokens FROM gated""",
         "host_counts": f"SELECT {HOST.format('url')} AS host, count(*) AS n FROM pages GROUP BY 1",
         "uptime_format": "SELECT event_id AS id, printf('%02d:%02d:%02d', event_id * 7 // 3600, event_id * 7 % 3600 // 60, event_id * 7 % 60) AS uptime, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS iso FROM events",
         "stream_dedupe": f"SELECT DISTINCT {FINGERPRINT.format('text')} AS fingerprint FROM documents",
@@ -270,7 +271,29 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT normalized AS url, sha256(normalized) AS url_hash, host AS domain, 'pending' AS status, 10::INT AS priority FROM norm
             WHERE normalized NOT IN (SELECT normalized FROM old) AND NOT regexp_matches(lower({PATH.format("normalized")}), '({"|".join(re.escape(e) for e in V.SKIP_EXTENSIONS)})$')
               AND NOT ({" OR ".join(f"contains(lower(normalized), {_q(p.lower())})" for p in V.BLOCKED_URL_PARTS)}) AND NOT {_under("host", V.BLOCKED_DOMAINS)}""",
-        "priority_backfill": f"WITH {JOBS} SELECT CASE WHEN priority IN (2, 10) THEN 10 ELSE priority END::INT AS priority, count(*) AS n FROM jobs GROUP BY 1",
+        "priority_backfill": f"""WITH {JOBS}, u AS (SELECT coalesce(({_list(OLD_URLS)})[(id % {len(OLD_URLS) + 1} + 1)::INT], url) AS url, CASE WHEN id % 13 <> 0 THEN priority END AS priority FROM jobs),
+            h AS (SELECT *, {HOST.format("url")} AS domain FROM u)
+            SELECT domain, CASE WHEN priority IS NOT NULL AND priority NOT IN (2, 10) THEN priority WHEN url ILIKE 'https://www.kompas.com/edu/%' OR url ILIKE 'https://www.kompas.com/skola/%' THEN 0
+              WHEN url ILIKE 'https://edukasi.kompas.com/%' THEN 1 WHEN domain ILIKE '%kompas.com' THEN 2 ELSE 10 END::INT AS priority, count(*) AS n FROM h GROUP BY ALL""",
+        "job_ignore": f"""WITH {JOBS} SELECT id, CASE WHEN status = 'processing' THEN 'ignored' ELSE status END AS status, CASE WHEN status = 'processing' THEN 'too_short_' || repeat('x', 490) END AS last_error, attempts FROM jobs""",
+        "url_rules": rf"""WITH p AS (SELECT page_id, ({_list(RULE_HOSTS)})[(page_id % {len(RULE_HOSTS)} + 1)::INT] AS h, ({_list(RULE_SECTIONS)})[(page_id % {len(RULE_SECTIONS)} + 1)::INT] AS sec FROM pages),
+            u AS (SELECT page_id, h, lower(sec) AS p, 'https://' || h || sec || page_id AS url FROM p)
+            SELECT page_id, (CASE WHEN h = 'www.kompas.com' AND (starts_with(p, '/edu/') OR starts_with(p, '/skola/')) THEN 0 WHEN h = 'edukasi.kompas.com' THEN 1 WHEN ends_with(h, 'kompas.com') THEN 2
+                WHEN ends_with(h, 'detik.com') AND contains(p, '/edu/') THEN 3 WHEN ends_with(h, 'ruangguru.com') AND contains(p, '/blog/') THEN 4 WHEN ends_with(h, 'liputan6.com') AND contains(p, '/read/') THEN 5
+                WHEN ends_with(h, 'detik.com') OR ends_with(h, 'ruangguru.com') OR ends_with(h, 'liputan6.com') THEN 6 WHEN ends_with(h, 'republika.co.id') AND contains(p, '/berita/') THEN 7
+                WHEN ends_with(h, 'quipper.com') AND contains(p, '/blog/') THEN 8 WHEN ends_with(h, 'republika.co.id') OR ends_with(h, 'quipper.com') OR ends_with(h, 'zenius.net') THEN 9 ELSE 10 END)::INT AS priority,
+              (contains(p, 'bahasa-inggris') OR contains(p, 'english') OR contains(p, 'b-inggris')) AS english,
+              (starts_with(url, 'https://www.kompas.com/edu/') OR starts_with(url, 'https://www.kompas.com/skola/') OR starts_with(url, 'https://edukasi.kompas.com/')) AS section, h AS domain,
+              {_under("h", ["kompas.com", "detik.com"])} AS listed, (NOT {_under("h", V.BLOCKED_DOMAINS)} AND NOT ({" OR ".join(f"contains(lower(url), {_q(x.lower())})" for x in V.BLOCKED_URL_PARTS)})) AS valid,
+              ({" OR ".join(f"contains(lower(url), {_q(x.lower())})" for x in [*V.EDU_URL_PARTS, *V.ACCEPTED_HOST_PARTS])}) AS education FROM u""",
+        "contents_not_seen": f"WITH f AS (SELECT doc_id, lang, {FINGERPRINT.format('text')} AS fingerprint FROM documents) SELECT doc_id, fingerprint FROM f WHERE fingerprint NOT IN (SELECT fingerprint FROM f WHERE lang = 'en')",
+        "site_rules": f"""WITH l AS (SELECT doc_id, (doc_id % {len(SITE_MARKUP)})::INT AS k, list_filter(list_transform({LINES}, lambda x: {STRIP.format("x")}), lambda x: x <> '') AS l FROM documents),
+            a AS (SELECT doc_id, k, CASE WHEN k = 0 AND len(l) > 0 THEN list_filter(list_concat([ltrim(l[1], ' -—–')], l[2:]), lambda x: x <> '') ELSE l END AS l FROM l),
+            c AS (SELECT doc_id, k, CASE k WHEN 1 THEN list_concat(l, ['1. satu', '3. tiga']) WHEN 4 THEN list_concat(['## Awal'], l) WHEN 5 THEN list_concat(l, ['[Formula: a+b] x', 'kotak']) ELSE l END AS l FROM a)
+            SELECT doc_id, 'Judul ' || doc_id AS title, ({_list(["manual_css:div.read__content" if m[1] == "css" else m[1] for m in SITE_MARKUP])})[k + 1] AS extraction_source,
+              sha256(CASE WHEN k = 6 THEN array_to_string(l, chr(10)) ELSE array_to_string(l, chr(10) || chr(10)) END) AS content_sha FROM c""",
+        "selector_cache_join": f"""WITH p AS (SELECT page_id, {HOST.format("url")} AS domain FROM pages), c AS (SELECT domain, '.c' || (max(page_id) % 3) AS selector FROM p GROUP BY domain)
+            SELECT page_id, domain, CASE WHEN length(domain) % 3 <> 0 THEN selector END AS selector FROM p JOIN c USING (domain)""",
         "selector_upsert": f"""WITH p AS (SELECT {HOST.format("url")} AS domain, '.c' || (page_id % 3) AS selector, page_id AS last_seen, page_id / 10.0::DOUBLE AS quality FROM pages)
             SELECT domain, selector, last_seen, quality FROM p QUALIFY row_number() OVER (PARTITION BY domain ORDER BY last_seen DESC, selector DESC) = 1""",
     }

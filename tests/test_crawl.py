@@ -197,6 +197,62 @@ def test_crawl_plan(spark):
     assert out == {0: None, 1: None, 2: "domain_cap:a.com", 3: "domain_cap:a.com", 9: "duplicate_content", 10: "no_content"}
 
 
+def test_crawl_plan_with_errors_rendering_pages_and_cache(spark):
+    page = lambda t: f"<div class='x'><div id='own'>{t}</div></div>"
+    part = lambda t, n: f"<div class='b'>{t}</div><a class='n' href='{n}'>next</a>"
+    rows = [
+        (1, "https://a.com/1", f"<article><p>{prose('satu')}</p></article>", 200, None, None),
+        (2, "https://a.com/2", f"<article><p>{prose('dua')}</p></article>", 503, None, None),
+        (3, "https://a.com/3", None, None, "timeout", None),
+        (4, "https://a.com/4", "<article><p>" + "guru dan murid belajar di sekolah yang baik. " * 9 + "</p></article>", 200, None, f"<article><p>{prose('empat')}</p></article>"),
+        (5, "https://c.com/5", page(prose("lima")), 200, None, None),
+        (6, "https://p.com/6", part(prose("enam"), "/7"), 200, None, None),
+        (7, "https://p.com/7", part(prose("tujuh"), "8"), 200, None, None),
+        (8, "https://p.com/8", part(prose("delapan"), "/6"), 200, None, None),
+    ]
+    df = spark.createDataFrame(rows, "id int, url string, html string, status int, error string, rendered_html string")
+    sites = spark.createDataFrame([("p.com", "css", {"body": "div.b", "next_page": "a.n"}, [])], "site string, method string, selectors map<string,string>, strip array<string>")
+    cache = spark.createDataFrame([("c.com", "#own")], "domain string, selector string")
+    out = crawl.curated(df, sites, selectors=cache, keywords=["guru"])
+    by = {r["id"]: r for r in out.collect()}
+    assert {i: r["reject_reason"] for i, r in by.items()} == {1: None, 2: "HTTP 503", 3: "fetch:timeout", 4: None, 5: None, 6: None, 7: None, 8: None}
+    assert by[4]["extraction_source"] == "rendered:css:article" and "empat" in by[4]["main"] and by[4]["quality"] >= 0.7
+    assert by[5]["selector_used"] == "#own"
+    assert by[6]["extraction_source"] == "manual_css:div.b+pagination:3" and all(w in by[6]["main"] for w in ("enam", "tujuh", "delapan"))
+    kept = {(r["domain"], r["selector"]) for r in crawl.selectors_seen(out, F.lit(5)).collect()}
+    assert kept == {("a.com", "article"), ("c.com", "#own")}
+    jobs = spark.createDataFrame([(i, "processing", 0, {}) for i in range(1, 10)], "id long, status string, attempts int, metadata map<string,string>")
+    for c, k in (("title", "string"), ("content_markdown", "string"), ("last_error", "string"), ("updated_at", "timestamp"), ("next_retry_at", "timestamp")):
+        jobs = jobs.withColumn(c, F.lit(None).cast(k))
+    after = {r["id"]: r for r in crawl.settled(jobs, out, F.expr("timestamp'2024-01-01 00:00:00'")).collect()}
+    assert {i: r["status"] for i, r in after.items()} == {1: "completed", 2: "pending", 3: "pending", 4: "completed", 5: "completed", 6: "completed", 7: "completed", 8: "completed", 9: "processing"}
+    assert after[2]["last_error"] == "HTTP 503" and after[2]["attempts"] == 1 and "satu" in after[1]["content_markdown"]
+    assert "main" not in crawl.curated(df, sites, text=False, keywords=["guru"]).columns
+
+
+def test_backfill_goes_by_the_domain(spark):
+    rows = [("https://www.kompas.com/EDU/a", "www.kompas.com", 2), ("https://other.com/?u=kompas.com", "other.com", None), ("https://x/", "www.kompas.com.evil.org", 10), ("https://x/", "tekno.KOMPAS.com", 10), ("https://edukasi.kompas.com/q", "edukasi.kompas.com", None), ("https://edukasi.kompas.com/q", "edukasi.kompas.com", 7)]
+    got = frontier.backfill_priority(spark.createDataFrame(rows, "url string, domain string, priority int")).collect()
+    assert [r["priority"] for r in got] == [0, 10, 10, 2, 1, 7]
+
+
+def test_no_text_is_shuffled_without_text(spark):
+    df = spark.createDataFrame([(i, f"https://a.com/{i}", "t", prose(f"k{i}")) for i in range(4)], "id int, url string, title string, content string")
+    out = gates.gated(df, ["id"], text=False, keywords=["guru"])
+    assert not {"main", "content", "cleaned"} & set(out.columns)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "main#" not in plan and "content#" not in plan
+
+
+def test_small_inputs_alone_are_spread(spark, monkeypatch, data):
+    from corpusloom import storage
+
+    df = spark.read.parquet(f"{data}/documents.parquet")
+    assert storage.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(storage, "SMALL", 10)
+    assert storage.spread(df).rdd.getNumPartitions() == df.rdd.getNumPartitions()
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "é")], "a int, b string")
     sinks.append_jsonl(df, str(tmp_path / "o"))
