@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -22,6 +25,21 @@ def write_tiers(raw: DataFrame, processed: DataFrame, folder: str, instance: str
     append_jsonl(processed, f"{folder}/dataset_raw_processed_1{suffix}.jsonl")
 
 
+def observed(df: DataFrame, name: str = "crawl") -> tuple[DataFrame, Observation]:
+    """``df`` (reject_reason), which counts itself while an action writes it, and where the counts are found after."""
+    ok, seen = F.col("reject_reason").isNull(), Observation(name)
+    failed = F.coalesce(F.col("reject_reason").rlike("^(?:HTTP |fetch:)"), F.lit(False))
+    return df.observe(seen, F.count(F.lit(1)).alias("pages"), F.count_if(ok).alias("accepted"), F.count_if(failed).alias("failed"), F.count_if(~ok & ~failed).alias("skipped")), seen
+
+
+def notify(seen: Observation, send: Callable[[str], None]) -> None:
+    """Sends a line of counts; a callback that fails stops nothing, as a notice is no part of the run."""
+    try:
+        send(" | ".join(f"{k}={v}" for k, v in seen.get.items()))
+    except Exception as error:  # noqa: BLE001
+        logging.getLogger(__name__).warning("notice not sent: %s", error)
+
+
 def run_counters(df: DataFrame) -> DataFrame:
     """One row: pages, accepted, rejected, tokens, of (reject_reason, main)."""
     from corpusloom.functions import text as X

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,3 +88,33 @@ def line_count(spark: SparkSession, path: str) -> int:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+def binary_pages(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
+    """(pdf_url, content) of files under a path; contents are read only where they are asked for."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("path").alias("pdf_url"), "content")
+
+
+def markdown_of_pdf(data: bytes) -> str:
+    """A PDF as markdown, where the libraries for it are installed."""
+    import pymupdf
+    import pymupdf4llm
+
+    return pymupdf4llm.to_markdown(pymupdf.open(stream=data, filetype="pdf"))
+
+
+def decoded(files: DataFrame, decode: Callable[[bytes], str] = markdown_of_pdf) -> DataFrame:
+    """(pdf_url, text) of (pdf_url, content); null where a file can't be decoded. A missing library is an error."""
+
+    def text(data: bytes | None) -> str | None:
+        if data is None:
+            return None
+        try:
+            return decode(bytes(data))
+        except ImportError:
+            raise
+        except Exception:  # noqa: BLE001 - a damaged file is no reason to stop
+            return None
+
+    return files.select("pdf_url", F.udf(text, "string", useArrow=True)("content").alias("text"))

@@ -9,13 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpusloom.functions import text as X
 from corpusloom.operators import frontier
+from corpusloom.plans import crawl
 from corpusloom.settings import Settings
+from corpusloom.storage import stored
+
+#: Reasons that come before a page's fingerprint counts as seen.
+EARLY = "^(?:no_content|too_short_raw|too_short_clean|too_short_main|low_extraction_quality|HTTP |fetch:)"
 
 
 def first_contents(pages: DataFrame, content: str = "content") -> DataFrame:
@@ -90,6 +95,38 @@ def selector_cache_step(path: str) -> Callable[[DataFrame, int], None]:
     return step
 
 
+def worker_step(path: str, sites: DataFrame | None = None, s: Settings = Settings(), now: Column | None = None, **lists) -> Callable[[DataFrame, int], None]:
+    """A crawl worker's step for :func:`each_batch`: fetched pages (id, url, html, ...) in, a new version of the crawl's tables out.
+
+    Under ``path`` each batch writes ``jobs``, ``seen`` and ``selectors`` as
+    versions of their own, ``jobs/start`` being the frontier before the first,
+    and its accepted pages to ``records``. A batch takes only pages whose job
+    is pending or being worked on, so a page that comes again does nothing. A
+    replayed batch reads the versions before it and writes its own again.
+    """
+    now = F.current_timestamp() if now is None else now
+
+    def step(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        before = lambda table: f"{path}/{table}/{n - 1}"
+        jobs = spark.read.parquet(before("jobs") if n else f"{path}/jobs/start")
+        seen = spark.read.parquet(before("seen")) if n else spark.createDataFrame([], "fingerprint string")
+        cache = spark.read.parquet(before("selectors")) if n else spark.createDataFrame([], "domain string, selector string, last_seen long, quality double")
+        pages = batch.join(jobs.where(F.col("status").isin("pending", "processing")).select("id"), "id", "left_semi").dropDuplicates(["id"])
+        rows = stored(crawl.curated(pages, sites, s, selectors=cache, seen=seen, **lists))
+        reached = rows.where(F.col("fingerprint").isNotNull() & ~F.coalesce(F.col("reject_reason").rlike(EARLY), F.lit(False)))
+        out = {
+            "jobs": crawl.settled(jobs, rows, now, s=s),
+            "seen": seen.unionByName(reached.select("fingerprint")).distinct(),
+            "selectors": frontier.upsert_selectors(cache, crawl.selectors_seen(rows, F.unix_timestamp(now), s)),
+            "records": rows.where(F.col("reject_reason").isNull()),
+        }
+        for table, df in out.items():
+            df.write.mode("overwrite").parquet(f"{path}/{table}/{n}")
+
+    return step
+
+
 def stop_after(query, successes: Callable[[], int], most: int) -> bool:
     """Stops a query whose count of successes has reached ``most``; says whether it did."""
     if successes() < most:

@@ -266,6 +266,24 @@ def test_sinks(spark, tmp_path):
     assert (n["pages"], n["accepted"], n["rejected"], n["tokens"]) == (2, 1, 1, 2)
 
 
+def test_rows_count_themselves_and_notices_may_fail(spark, tmp_path):
+    df, seen = sinks.observed(spark.createDataFrame([(None,), ("HTTP 500",), ("no_content",), (None,)], "reject_reason string"))
+    df.write.parquet(str(tmp_path / "w"))
+    said = []
+    sinks.notify(seen, said.append)
+    assert said == ["pages=4 | accepted=2 | failed=1 | skipped=1"]
+    sinks.notify(seen, lambda line: 1 / 0)
+
+
+def test_binary_pages(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.pdf").write_bytes(b"%PDF isi")
+    (tmp_path / "y.pdf").write_bytes(b"\xff")
+    (tmp_path / "z.txt").write_bytes(b"no")
+    out = readers.decoded(readers.binary_pages(spark, str(tmp_path)), lambda data: data.decode("ascii"))
+    assert {r["pdf_url"].rsplit("/", 1)[1]: r["text"] for r in out.collect()} == {"x.pdf": "%PDF isi", "y.pdf": None}
+
+
 def test_sql_names(spark):
     register.register(spark)
     r = spark.sql("SELECT normalize_url('HTTP://A.com/x/?utm_a=1') AS u, word_count('a  b') AS n, url_priority('https://edukasi.kompas.com/') AS p, partial_ratio('abc', 'xxabcxx') AS f").first()

@@ -63,3 +63,27 @@ def test_selector_cache_and_counts(spark, tmp_path):
     counts = drain(S.outcome_counts(spark.readStream.schema("reject_reason string").json(str(tmp_path / "r"))), tmp_path, "complete")
     assert {r["outcome"]: r["n"] for r in counts.collect()} == {"x": 2, "accepted": 1}
     assert S.rescan_seconds(0.001) == 60.0
+
+
+def test_worker_settles_jobs_over_batches_and_replays(spark, tmp_path):
+    from corpusloom.operators import frontier
+    from tests.test_crawl import prose
+
+    path, kind = str(tmp_path / "crawl"), "id long, url string, html string, status int"
+    jobs = spark.createDataFrame([(i, f"https://a.com/{i}", "pending", 0) for i in range(1, 8)], "id long, url string, status string, attempts int")
+    have = set(jobs.columns)
+    for field in frontier.SCHEMA.replace("map<string,string>", "map").split(", "):
+        name, k = field.split(" ")
+        if name not in have:
+            jobs = jobs.withColumn(name, F.lit(None).cast("map<string,string>" if k == "map" else k))
+    jobs.write.parquet(f"{path}/jobs/start")
+    page = lambda t: f"<article><p>{prose(t)}</p></article>"
+    step = S.worker_step(path, now=F.expr("timestamp'2024-01-01 00:00:00'"), keywords=["guru"])
+    batches = [[(1, "https://a.com/1", page("satu"), 200), (2, "https://a.com/2", page("satu"), 200), (3, "https://a.com/3", None, 500)], [(4, "https://a.com/4", page("satu"), 200), (5, "https://a.com/5", page("lima"), 200), (1, "https://a.com/1", page("satu"), 200), (99, "https://a.com/99", page("x"), 200)]]
+    for n, rows in enumerate(batches):
+        for _ in range(2):  # the second time is a replay
+            step(spark.createDataFrame(rows, kind), n)
+    got = {r["id"]: (r["status"], r["last_error"]) for r in spark.read.parquet(f"{path}/jobs/1").collect()}
+    assert got == {1: ("completed", None), 2: ("ignored", "duplicate_content"), 3: ("pending", "HTTP 500"), 4: ("ignored", "duplicate_content"), 5: ("completed", None), 6: ("pending", None), 7: ("pending", None)}
+    assert sorted(r["id"] for r in spark.read.parquet(f"{path}/records/0", f"{path}/records/1").collect()) == [1, 5]
+    assert [r["domain"] for r in spark.read.parquet(f"{path}/selectors/1").collect()] == ["a.com"]
