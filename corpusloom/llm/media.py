@@ -202,18 +202,18 @@ def features(catalog: DataFrame, folder: str) -> DataFrame:
     """What the stored bytes say, read back: see the schema below."""
 
     def read(file, offset, length):
-        width, height, bits = png_header(file.read_at(HEADER, offset))
         media = file.read_at(length, offset)
         samples = png_decode(media)
         data = samples.tobytes()
-        return width, height, bits, len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples)
+        return len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples)
 
-    return _ranged(catalog, folder, read, "digest binary, width int, height int, bits int, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string")
+    return _ranged(catalog, folder, read, "digest binary, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string")
 
 
 def query(docs: DataFrame) -> DataFrame:
     folder = new_folder(docs)
     manifest = write_shards(docs, folder)
-    back = stored(features(canonical(manifest), folder))
+    catalog = stored(canonical(manifest))
+    back = stored(features(catalog, folder).join(metadata(catalog, folder), "digest"))
     rows = manifest.select(F.col("__id").alias("doc_id"), "n_bytes", "digest").join(back, "digest")
     return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bits")
