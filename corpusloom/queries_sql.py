@@ -10,6 +10,7 @@ import re
 
 from corpusloom.functions import vocabulary as V
 from corpusloom.queries import BLOCKED, COMMON, KEYWORDS, LEVELS, LOOSE, OLD_URLS, RULE_HOSTS, RULE_SECTIONS, SHARDS, SIGNALS, SITE_MARKUP, SITES
+from corpusloom.settings import Settings
 
 TS = "TIMESTAMP '2024-01-15 00:00:00'"
 
@@ -40,6 +41,8 @@ WORDS = r"regexp_extract_all({}, '\S+')"
 COUNT = "len(" + WORDS + ")"
 HOST = r"lower(regexp_extract({}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
 PATH = r"regexp_extract({}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+#: The text of markup as the tables have it: tags apart, four entities.
+BARE = "regexp_replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;?', '&', 'g')"
 NORMALIZED = rf"""
 parts AS (SELECT page_id, url, html, split_part(trim(url), '#', 1) AS u FROM pages),
 cut AS (SELECT *, lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) AS scheme, {HOST.format("u")} AS host, {PATH.format("u")} AS path,
@@ -108,18 +111,25 @@ def _hits(text: str, words: list[str]) -> str:
 
 
 FINGERPRINT = "sha256(" + SQUEEZE.format("lower({})") + ")"
-GATED = f"""
+
+
+def _gated(title: str, s: Settings) -> str:
+    """(…, main, quality, fp, reject_reason) of ``documents`` (doc_id, text, …), whose titles are ``title``."""
+    return f"""
 {MARKDOWN}, {_main("markdown", "cleaned")},
-stage AS (SELECT doc_id, text, main, {_quality("main", "substring(text, 1, 12)")} AS quality, {FINGERPRINT.format("main")} AS fp, length(trim(text)) AS n0, length(cleaned) AS n1, length(m) AS n2 FROM main),
+stage AS (SELECT *, {_quality("main", title)} AS quality, {FINGERPRINT.format("main")} AS fp, length({STRIP.format("text")}) AS n0, length(cleaned) AS n1, length(m) AS n2 FROM main),
 early AS (SELECT *, CASE WHEN n0 = 0 THEN 'no_content' WHEN n0 < 100 THEN 'too_short_raw' WHEN n1 < 100 THEN 'too_short_clean' WHEN n2 < 250 THEN 'too_short_main'
   WHEN quality < 0.7 THEN 'low_extraction_quality' END AS e FROM stage),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY fp, e IS NULL ORDER BY doc_id) AS r FROM early),
-gated AS (SELECT *, CASE WHEN e IS NOT NULL THEN e WHEN r > 1 THEN 'duplicate_content' WHEN len({_hits("main", SIGNALS)}) >= {LOOSE.max_ad_signals} THEN 'advertisement'
-  WHEN NOT ({_language("main", LOOSE.language_threshold)}) THEN 'non_indonesian'
-  WHEN len({_hits("substring(text, 1, 12) || ' ' || main", KEYWORDS)}) < {LOOSE.min_keywords} THEN 'low_relevance' END AS reject_reason FROM ranked)
+gated AS (SELECT *, CASE WHEN e IS NOT NULL THEN e WHEN r > 1 THEN 'duplicate_content' WHEN len({_hits("main", SIGNALS)}) >= {s.max_ad_signals} THEN 'advertisement'
+  WHEN NOT ({_language("main", s.language_threshold)}) THEN 'non_indonesian'
+  WHEN len({_hits(title + " || ' ' || main", KEYWORDS)}) < {s.min_keywords} THEN 'low_relevance' END AS reject_reason FROM ranked)
 """
 
 
+GATED = _gated("substring(text, 1, 12)", LOOSE)
+
+
 def _plain(source: str, column: str) -> str:
     """(…, plain) of ``source`` without fences (the tables hold none)."""
     bare = STRIP.format("x")
@@ -177,6 +187,12 @@ def _under(host: str, domains: list[str]) -> str:
     return "(" + " OR ".join(f"{host} = {_q(d)} OR ends_with({host}, {_q('.' + d)})" for d in domains) + ")"
 
 
+#: Pages as articles: paragraphs after the heading; below 40 words by the density rule, which needs one of 25 characters.
+ARTICLES = f"""parts AS (SELECT page_id, url, {BARE.format(r"regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")} AS t, regexp_extract(html, '(?is)<article>(.*)</article>', 1) AS article FROM pages),
+texts AS (SELECT page_id, url, trim(t) AS title, {COUNT.format(BARE.format("article"))} >= 40 AS long,
+  list_filter(list_transform(string_split(regexp_replace(article, '(?is)^.*?</h1>', ''), '<p>'), lambda x: {STRIP.format(BARE.format("x"))}), lambda x: x <> '') AS ps FROM parts),
+kinds AS (SELECT *, CASE WHEN long THEN 'css:article' WHEN len(list_filter(ps, lambda x: length(x) >= 25)) > 0 THEN 'density' ELSE 'none' END AS source FROM texts),
+articles AS (SELECT *, CASE source WHEN 'css:article' THEN array_to_string(ps, chr(10) || chr(10)) WHEN 'density' THEN array_to_string(ps, chr(10)) ELSE '' END AS text FROM kinds)"""
 SITE_ROWS = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in SITES)
 TEMPLATES = _list([t.replace("{site}", "example.org") for t in V.QUERY_TEMPLATES])
 CLEANER = f"""list_filter(list_transform(list_filter(list_transform({LINES}, lambda x: {STRIP.format("x")}), lambda x: x <> '' AND NOT regexp_matches(x, {_any(V.CLEANER_NOISE)})),
@@ -198,6 +214,15 @@ def oracle_sql() -> dict[str, str]:
         "blocked_domain_anti": f"SELECT page_id, url FROM pages WHERE NOT {_under(HOST.format('url'), BLOCKED)}",
         "whitelist_semi": f"SELECT page_id, url FROM pages WHERE {_under(HOST.format('url'), ['example.org'])}",
         "page_hrefs": """SELECT page_id, len(regexp_extract_all(html, '(?i)href="([^"]*)"', 1))::INT AS n_hrefs, array_to_string(regexp_extract_all(html, '(?i)href="([^"]*)"', 1), ' ') AS hrefs FROM pages""",
+        "page_links": f"""WITH h AS (SELECT DISTINCT url AS page, unnest(regexp_extract_all(html, '(?i)href="([^"]*)"', 1)) AS href FROM pages),
+            u AS (SELECT page, CASE WHEN starts_with(href, '/') THEN regexp_extract(page, '^[A-Za-z]+://[^/?#]*') || href ELSE href END AS url FROM h)
+            SELECT page, count(DISTINCT url) AS n_links FROM u WHERE regexp_matches(url, '^https?://') AND NOT regexp_matches(lower({PATH.format("url")}), '({"|".join(re.escape(e) for e in V.SKIP_EXTENSIONS)})$')
+              AND NOT ({" OR ".join(f"contains(lower(url), {_q(p.lower())})" for p in V.BLOCKED_URL_PARTS)}) AND NOT {_under(HOST.format("url"), V.BLOCKED_DOMAINS)} GROUP BY page""",
+        "page_extract": f"""WITH {ARTICLES} SELECT page_id AS id, title, source AS extraction_source, {COUNT.format("text")}::INT AS words FROM articles""",
+        "crawl_pipeline": f"""WITH {ARTICLES}, documents AS (SELECT page_id AS doc_id, url, title, source, text FROM articles), {_gated("title", Settings())},
+            hosts AS (SELECT *, {HOST.format("url")} AS host, row_number() OVER (PARTITION BY {HOST.format("url")}, reject_reason IS NULL ORDER BY doc_id) AS nth FROM gated)
+            SELECT doc_id AS id, host, source AS extraction_source, fp AS fingerprint,
+              CASE WHEN reject_reason IS NULL AND nth > 5 THEN 'domain_cap:' || host ELSE reject_reason END AS reject_reason FROM hosts""",
         "page_title": f"""SELECT page_id, {STRIP.format("replace(replace(replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")} AS title FROM pages""",
         "tag_urls": rf"""WITH {PHRASES}, s AS (SELECT pos, substring(trim(regexp_replace(lower(phrase), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80) AS slug FROM phrases)
             SELECT min(pos) AS pos, 'https://www.kompas.com/tag/' || slug AS search_url, 'kompas_tag' AS engine FROM s WHERE slug <> '' GROUP BY slug""",
