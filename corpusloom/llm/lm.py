@@ -140,10 +140,12 @@ def _step(m: Gru, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     return out, z, r, un, new
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+def _logs_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-softmax of each row at one place; ``z`` is used up."""
+    z -= z.max(axis=1, keepdims=True)
+    held = z[np.arange(len(z)), at]
+    np.exp(z, out=z)
+    return held - np.log(z.sum(axis=1))
 
 
 def _softmax(z: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, float]:
@@ -176,10 +178,10 @@ def _member_logits(m: Gru, own: np.ndarray, cls: np.ndarray, cuts: np.ndarray) -
 def token_logs(m: Gru, h: np.ndarray, x: np.ndarray) -> np.ndarray:
     """ln P(input id | state) of rows, up to the share inside a band or the rare class."""
     cls = class_of(x)
-    out = _log_softmax(h @ m.to_class + m.class_bias)[np.arange(len(x)), cls]
+    out = _logs_at(h @ m.to_class + m.class_bias, cls)
     rows, cuts = _by_class(cls)
-    logs = _log_softmax(_member_logits(m, h[rows], cls[rows], cuts)) if len(rows) else np.zeros((0, MEMBERS))
-    out[rows] += logs[np.arange(len(rows)), x[rows] % MEMBERS]
+    if len(rows):
+        out[rows] += _logs_at(_member_logits(m, h[rows], cls[rows], cuts), x[rows] % MEMBERS)
     return out
 
 
@@ -276,9 +278,18 @@ def fit(texts: list[np.ndarray], seed: int = 5, rate: float = 0.008, rounds: int
             now = rate * max(0.05, 1 - step / total)
             for p, g, f, s in zip(m.all(), grads, first, second, strict=True):
                 g /= n
-                f += np.float32(0.1) * (g - f)
-                s += np.float32(0.01) * (g * g - s)
-                p -= (now / (1 - 0.9**step)) * f / (np.sqrt(s / (1 - 0.99**step)) + np.float32(1e-7))
+                f *= np.float32(0.9)
+                s *= np.float32(0.99)
+                f += np.float32(0.1) * g
+                np.square(g, out=g)
+                g *= np.float32(0.01)
+                s += g
+                np.divide(s, np.float32(1 - 0.99**step), out=g)
+                np.sqrt(g, out=g)
+                g += np.float32(1e-7)
+                np.divide(f, g, out=g)
+                g *= np.float32(now / (1 - 0.9**step))
+                p -= g
     return m
 
 
@@ -374,6 +385,7 @@ def trained(docs: DataFrame, vocab: Vocabulary, start: Gru, n_all: int, id_col:
         def run(batches):
             _keep_memory()
             vocab, start = shared.value
+            inputs = np.append(vocab.input_id, RARE).astype(np.int32)  # rank -1 is the last
             now, texts = None, []
 
             def weights():
@@ -388,10 +400,7 @@ def trained(docs: DataFrame, vocab: Vocabulary, start: Gru, n_all: int, id_col:
                         texts = []
                     now = shard
                     words = tokens(text.as_py())
-                    known = vocab.ranks(words)
-                    x = np.full(len(words), RARE, np.int32)
-                    x[known >= 0] = vocab.input_id[known[known >= 0]]
-                    texts.append(x)
+                    texts.append(inputs[vocab.ranks(words)])
             if texts:
                 yield weights()
 
@@ -443,6 +452,8 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def run(batches):
         _keep_memory()
         vocab, model = shared.value
+        to_input = np.append(vocab.input_id, RARE).astype(np.int32)  # rank -1 is the last
+        log_count, band_log = np.append(vocab.log_count, 0.0), np.append(vocab.band_log, 0.0)
 
         def flush(block):
             """One pass over a block: what frequent words give, and each text's rare words with their counts."""
@@ -452,14 +463,11 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             for text in kinds:
                 words = tokens(text)
                 known = vocab.ranks(words)
-                hit = known[known >= 0]
                 rare: dict[bytes, int] = {}
                 for i in np.flatnonzero(known < 0).tolist():
                     rare[words[i]] = rare.get(words[i], 0) + 1
-                x = np.full(len(words), RARE, np.int32)
-                x[known >= 0] = vocab.input_id[hit]
-                inputs.append(x)
-                sums.append((len(words), len(hit), float(vocab.log_count[hit].sum()), float(vocab.band_log[hit].sum())))
+                inputs.append(to_input[known])
+                sums.append((len(words), len(words) - sum(rare.values()), float(log_count[known].sum()), float(band_log[known].sum())))
                 rares.append(rare)
             logs = score_texts(model, inputs) / np.log(10)
             cols = [[b[0] for b in block], [b[1] for b in block]] + [[sums[k][j] for k in of] for j in range(4)] + [[logs[k] for k in of]]
