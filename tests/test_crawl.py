@@ -290,3 +290,16 @@ def test_sql_names(spark):
     assert tuple(r) == ("http://a.com/x", 2, 1, 100.0)
     rows = spark.sql("""SELECT * FROM page_links('https://a.com/b/', '<a href="c"><a href="#x"><a href="/d">')""").collect()
     assert [(r["pos"], r["url"]) for r in rows] == [(0, "https://a.com/b/c"), (2, "https://a.com/d")]
+
+
+def test_clear_removes_what_queries_left(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from corpusloom import storage
+
+    base = Path(urlparse(storage.shared_dir(spark)).path)
+    for name in ("pipeline-t1", "media-t2", "stream-t3", "own"):
+        (base / name / "a").mkdir(parents=True)
+    gone = storage.clear(spark)
+    assert {"pipeline-t1", "media-t2", "stream-t3"} <= set(gone) and (base / "own").exists() and not (base / "media-t2").exists()
