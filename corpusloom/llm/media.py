@@ -161,8 +161,8 @@ def canonical(manifest: DataFrame) -> DataFrame:
     return one.select("digest", "at.shard", "at.offset", "at.length")
 
 
-def _ranged(catalog: DataFrame, folder: str, read, schema: str) -> DataFrame:
-    """``read(file, offset, length)`` for each member, in order of shard and offset."""
+def _ranged(catalog: DataFrame, folder: str, read, schema: str, total: int | None = None) -> DataFrame:
+    """``read(file, offset, length)`` for each member, in order of shard and offset; ``total``: their bytes, about, if known."""
     kinds = {"binary": pa.binary(), "int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
     shape = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")])
 
@@ -183,7 +183,8 @@ def _ranged(catalog: DataFrame, folder: str, read, schema: str) -> DataFrame:
             file.close()
 
     members = catalog.select("digest", "shard", "offset", "length")
-    total = members.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    if total is None:
+        total = members.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     tasks = max(1, -(-total // max(READ_BYTES, total // MOST_TASKS)))  # by what they read, not by the catalog's own size
     near = members.repartitionByRange(tasks, "shard", "offset").sortWithinPartitions("shard", "offset")
     return near.mapInArrow(run, schema)
@@ -198,22 +199,23 @@ def metadata(catalog: DataFrame, folder: str) -> DataFrame:
     return _ranged(catalog, folder, read, "digest binary, width int, height int, bits int")
 
 
-def features(catalog: DataFrame, folder: str) -> DataFrame:
-    """What the stored bytes say, read back: see the schema below."""
+def features(catalog: DataFrame, folder: str, total: int | None = None) -> DataFrame:
+    """What the stored bytes say, read back: see the schema below. The metadata come from a range read of the header alone."""
 
     def read(file, offset, length):
+        width, height, bits = png_header(file.read_at(HEADER, offset))
         media = file.read_at(length, offset)
         samples = png_decode(media)
         data = samples.tobytes()
-        return len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples)
+        return width, height, bits, len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples)
 
-    return _ranged(catalog, folder, read, "digest binary, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string")
+    return _ranged(catalog, folder, read, "digest binary, width int, height int, bits int, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string", total)
 
 
 def query(docs: DataFrame) -> DataFrame:
     folder = new_folder(docs)
     manifest = write_shards(docs, folder)
-    catalog = stored(canonical(manifest))
-    back = stored(features(catalog, folder).join(metadata(catalog, folder), "digest"))
+    total = manifest.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    back = stored(features(canonical(manifest), folder, total))
     rows = manifest.select(F.col("__id").alias("doc_id"), "n_bytes", "digest").join(back, "digest")
     return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bits")
