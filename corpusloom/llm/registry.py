@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import ann, language, line_dedup, lm, media, mixing, pieces, quality, simhash, toolcalls
+from corpusloom.llm import ann, language, line_dedup, lm, media, minmax, mixing, pieces, quality, simhash, toolcalls
 from corpusloom.llm.common import table
 
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_piece_sampling": lambda s, d: pieces.query(table(s, d, "documents")),
         "op9_quality_rules": lambda s, d: quality.query(table(s, d, "documents"), table(s, d, "labels")),
         "op10_language_id": lambda s, d: language.query(table(s, d, "documents")),
+        "op11_minmax_dedup": lambda s, d: minmax.query(table(s, d, "documents")),
     }
 
 
