@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import ann, language, line_dedup, lm, media, minmax, mixing, pieces, quality, simhash, toolcalls
+from corpusloom.llm import ann, divergence, language, line_dedup, lm, media, minmax, mixing, pieces, quality, simhash, toolcalls
 from corpusloom.llm.common import table
 
 
@@ -23,8 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_rules": lambda s, d: quality.query(table(s, d, "documents"), table(s, d, "labels")),
         "op10_language_id": lambda s, d: language.query(table(s, d, "documents")),
         "op11_minmax_dedup": lambda s, d: minmax.query(table(s, d, "documents")),
+        "op12_divergence_audit": lambda s, d: divergence.query(table(s, d, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_tool_calls": toolcalls.SQL, "op6_source_mixing": mixing.SQL, "op7_line_dedup": line_dedup.SQL}
+    return {"op2_tool_calls": toolcalls.SQL, "op6_source_mixing": mixing.SQL, "op7_line_dedup": line_dedup.SQL, "op12_divergence_audit": divergence.SQL}
