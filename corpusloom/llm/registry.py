@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import ann, divergence, language, line_dedup, lm, media, minmax, mixing, pieces, quality, simhash, toolcalls
+from corpusloom.llm import alignment, ann, divergence, language, line_dedup, lm, media, minmax, mixing, pieces, quality, simhash, toolcalls
 from corpusloom.llm.common import table
 
 
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_language_id": lambda s, d: language.query(table(s, d, "documents")),
         "op11_minmax_dedup": lambda s, d: minmax.query(table(s, d, "documents")),
         "op12_divergence_audit": lambda s, d: divergence.query(table(s, d, "documents")),
+        "op13_token_alignment": lambda s, d: alignment.query(table(s, d, "documents")),
     }
 
 
