@@ -60,6 +60,8 @@ TRIALS, RECALL, LEAVES = 200, 0.92, 4_096
 FILLED, TURNS = 8, 4
 #: The rank, BOUND * (k + 1), of the score in the sample that bounds a query's k-th best, and queries that get theirs at once.
 BOUND, TOGETHER = 2, 64
+#: A query whose leaves hold less of its nearest in the sample visits twice as many, until they hold RECALL of them.
+LOW = 0.75
 #: Queries of a task that walks the trees, about.
 WALKS = 256
 #: What goes on top of an estimate for a table of four times the sample or more.
@@ -206,10 +208,25 @@ class Index:
     gauge: np.ndarray
     top: float
     recall: float
+    goal: float = RECALL
 
     def cell(self, leaf: np.ndarray) -> np.ndarray:
         return leaf >> (self.forest.depth - self.cell_level) if self.forest else leaf
 
+    def visits(self, query: np.ndarray, scores: np.ndarray, k: int) -> list[int]:
+        """The leaves that a query visits: ``count``, and more where these hold too few of its nearest in the sample, whose ``scores`` are given."""
+        forest, count, least = self.forest, self.count, LOW
+        if not hasattr(self, "home"):
+            self.home = forest.leaves(self.gauge)
+        near = self.home[np.argpartition(-scores, min(k, len(scores) - 1))[: k + 1]]
+        while True:
+            out = forest.visits(query, count)
+            hit = np.zeros(forest.trees << forest.depth, bool)
+            hit[out] = True
+            if count == len(hit) or hit[near].any(axis=1).mean() >= least:
+                return out
+            count, least = min(2 * count, len(hit)), self.goal
+
     @property
     def scored(self) -> float:
         """Rows that a query scores, about, repeats included."""
@@ -270,7 +287,7 @@ def fit(sample: np.ndarray, rows: int, top: float, k: int = K, trees: int = TREE
     level = min(depth, forest.filled, max(0, math.ceil(math.log2(rows / part))))
     held = np.bincount((forest.leaves(sample) >> (depth - level)).ravel(), minlength=trees << level)
     parts = np.maximum(1, np.ceil(held * (rows / n) / (2 * part))).astype(np.int64)
-    return Index(forest, count, rows, level, parts, sample, top, got)
+    return Index(forest, count, rows, level, parts, sample, top, got, recall)
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -315,8 +332,11 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
     by itself. A query is no candidate of its own, its copies are. Ties go to
     the smaller id. Repeated rows (one id, one vector) count once; an id with
     several vectors asks and answers with each of them. Without valid rows the
-    result is empty; with few, all candidates come back. Norms whose square is
-    beyond a double are searched without trees. Other columns don't matter.
+    result is empty; with few, all candidates come back, else every query gets
+    ``k`` rows: what tasks pass on is bounded by a query's scores in the sample,
+    and a query that lies apart and finds too few above that is searched again
+    without the bound. Norms whose square is beyond a double are searched
+    without trees. Other columns don't matter.
     """
     spark = vectors.sparkSession
     narrow = vectors.schema[vector_col].dataType.elementType.typeName() == "float"
@@ -352,7 +372,7 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
                     cols = [np.full(len(of), dim), cell, part, leaves, kind[of], key[of]]
                     yield pa.RecordBatch.from_arrays([*map(pa.array, cols), _packed(v.astype(real)).take(pa.array(of))], names=["dim", "cell", "part", "leaf", "kind", "key", "v"])
 
-    def probe(batches):
+    def probe(batches, bounded):
         rank, names = BOUND * (k + 1), ["dim", "cell", "part", "query", "q", "least", "leaves"]
         for b in batches:
             for dim, at in by_dim(b.column(2)):
@@ -367,11 +387,11 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
                 for i in range(len(q)):
                     if i % TOGETHER == 0:
                         near = q[i : i + TOGETHER]
-                        bound = np.full(len(near), -np.inf)
-                        if len(one.gauge) > rank:
-                            bound = np.partition(near @ one.gauge.T, len(one.gauge) - rank, axis=1)[:, len(one.gauge) - rank] - 1e-9 * np.abs(near).sum(axis=1) * one.top
+                        bound, near = np.full(len(near), -np.inf), near @ one.gauge.T
+                        if bounded and len(one.gauge) > rank:
+                            bound = np.partition(near, len(one.gauge) - rank, axis=1)[:, len(one.gauge) - rank] - 1e-9 * np.abs(q[i : i + TOGETHER]).sum(axis=1) * one.top
                     least = float(bound[i % TOGETHER])
-                    leaves = np.sort(one.forest.visits(q[i], one.count)) if one.forest else np.zeros(1, np.int64)
+                    leaves = np.sort(one.visits(q[i], near[i % TOGETHER], k)) if one.forest else np.zeros(1, np.int64)
                     cell, begin = np.unique(one.cell(leaves), return_index=True)
                     for c, own in zip(cell.tolist(), np.split(leaves, begin[1:]), strict=True):
                         out += [(c, p, i, least, own) for p in range(one.parts[c])]
@@ -409,23 +429,33 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
         at = pa.array(join(at, np.int64))
         return pa.table({"query": join(ids, np.int64), "kind": members["kind"].take(at), "key": members["key"].take(at), "score": join(scores, float)})
 
-    asked = stored(asked.withColumn("__ask", F.monotonically_increasing_id()))
-    n_asked = asked.count()
-    walks = max(1, min(-(-n_asked // WALKS), max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_asked // 100_000)))
     members = kinds.select("__kind", "__v", "__dim", "__key").mapInArrow(index, "dim bigint, cell bigint, part bigint, leaf bigint, kind bigint, key bigint, v binary")
-    probes = asked.select("__ask", "__v", "__dim").repartition(walks).mapInArrow(probe, "dim bigint, cell bigint, part bigint, query bigint, q binary, least double, leaves array<bigint>")
     cell = ["dim", "cell", "part"]
-    pairs = members.groupBy(*cell).cogroup(probes.groupBy(*cell)).applyInArrow(rank, "query bigint, kind bigint, key bigint, score double")
-    pairs = pairs.groupBy("query", "kind").agg(F.first("key").alias("key"), F.first("score").alias("score"))  # one pair from several trees has one score
-    best = W.partitionBy("query").orderBy(F.desc("score"), "key", "kind")
-    pairs = pairs.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k + 1).drop("__r")
-    pairs = pairs.join(kinds.select(F.col("__kind").alias("kind"), "__ids"), "kind")
-    named = pairs.select("query", "score", F.explode("__ids").alias("vec_id"))
-    by_id = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    named = named.withColumn("__r", F.row_number().over(by_id)).where(F.col("__r") <= 2 * (k + 1))
-    lists = stored(named.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("__r", "vec_id", "score"))).alias("__near")))
+
+    def lists(asked, n, bounded):
+        """(query, __near): up to 2 (k + 1) ids for each of ``n`` queries, nearest first."""
+        walks = max(1, min(-(-n // WALKS), max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // 100_000)))
+        probes = asked.select("__ask", "__v", "__dim").repartition(walks).mapInArrow(lambda b: probe(b, bounded), "dim bigint, cell bigint, part bigint, query bigint, q binary, least double, leaves array<bigint>")
+        pairs = members.groupBy(*cell).cogroup(probes.groupBy(*cell)).applyInArrow(rank, "query bigint, kind bigint, key bigint, score double")
+        pairs = pairs.groupBy("query", "kind").agg(F.first("key").alias("key"), F.first("score").alias("score"))  # one pair from several trees has one score
+        best = W.partitionBy("query").orderBy(F.desc("score"), "key", "kind")
+        pairs = pairs.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k + 1).drop("__r")
+        pairs = pairs.join(kinds.select(F.col("__kind").alias("kind"), "__ids"), "kind")
+        named = pairs.select("query", "score", F.explode("__ids").alias("vec_id"))
+        by_id = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+        named = named.withColumn("__r", F.row_number().over(by_id)).where(F.col("__r") <= 2 * (k + 1))
+        return stored(named.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("__r", "vec_id", "score"))).alias("__near")))
+
+    asked = stored(asked.withColumn("__ask", F.monotonically_increasing_id()))
+    near = lists(asked, asked.count(), True)
+    if any(len(one.gauge) > BOUND * (k + 1) for one in found.values()):
+        # the sample's scores bound what is passed on; a query that finds too few above its bound is searched once more without
+        full = near.where(F.size("__near") > k).select(F.col("query").alias("__ask"))
+        short = stored(asked.join(full, "__ask", "left_anti"))
+        if n_short := short.count():
+            near = near.where(F.size("__near") > k).unionByName(lists(short, n_short, False))
     every = rows.where("__q").select(F.col("__id").alias("query_id"), "__h", "__v").join(asked, ["__h", "__v"]).select("query_id", F.col("__ask").alias("query"))
-    out = every.join(lists, "query")
+    out = every.join(near, "query")
     own = F.slice(F.filter("__near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     out = out.select("query_id", F.posexplode(own).alias("__p", "__n"))
     return out.select("query_id", (F.col("__p") + 1).cast("int").alias("rank"), F.col("__n.vec_id").alias("vec_id"), F.col("__n.score").alias("score"))

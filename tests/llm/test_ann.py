@@ -72,6 +72,17 @@ def test_recall_at_default_parameters(spark):
     assert len(got) == 300 and recall_of(got, x) >= 0.9
 
 
+def test_queries_that_lie_apart_get_whole_lists(spark):
+    rng = np.random.default_rng(12)
+    sheet = rng.normal(size=(20_000, 3)) @ rng.normal(size=(3, 32)) + 0.01 * rng.normal(size=(20_000, 32))
+    sheet[:4000:20] = rng.normal(size=(200, 32))  # 200 of 1,000 queries are off the sheet
+    x = (sheet / np.linalg.norm(sheet, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {q: {i for i, _ in near} for q, near in ours(df).items()}
+    assert len(got) == 1000 and all(len(near) == 20 for near in got.values())
+    assert recall_of({q: n for q, n in got.items() if q < 4000}, x) >= 0.9 and recall_of(got, x) >= 0.9
+
+
 def test_lengths_are_searched_apart(spark):
     rng = np.random.default_rng(6)
     rows = [(i, [float(np.float32(v)) for v in rng.normal(size=4 if i % 3 else 5)]) for i in range(200)] + [(1000, [1.0] * 9), (1001, [2.0] * 7)]
