@@ -166,8 +166,8 @@ def fit(values: np.ndarray, y: np.ndarray, names: list[str], seed: int = 7) -> R
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, seed: str = "quality-1") -> RuleEnsemble:
     """Fits on at most ``sample`` labelled rows outside the held-out fold.
 
-    Rows with a null id or label do not take part; an id with several labels
-    counts by their mean. Which rows are in the sample goes by hashes of ids
+    Rows with a null id or label do not take part, nor do labels of ids that
+    no document has; an id with several labels counts by their mean. Which rows are in the sample goes by hashes of ids
     alone; a task sends about its share of the sample. The sample is bounded,
     so it may be broadcast and its statistics collected.
     """
@@ -175,6 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("double").alias("__y"))
     known = known.where(F.col("__id").isNotNull() & F.col("__y").isNotNull() & (fold(F.col("__id"), FOLDS) != HELD_OUT))
     known = known.groupBy("__id").agg((F.avg("__y") >= 0.5).cast("double").alias("__y"))
+    known = known.join(docs.select(F.col(id_col).alias("__id")), "__id", "left_semi")  # labels of other documents are none
     known = seeded_sample(known, F.col("__id"), sample, seed)
     text = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     rows = text.join(F.broadcast(known), "__id")

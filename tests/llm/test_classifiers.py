@@ -150,3 +150,10 @@ def test_sparse_labels_of_two_languages(spark):
     rows = spark.range(400_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 20_000 < 10_000, "the and of was were").otherwise("der die und nicht auch").alias("text"), F.when(F.col("id") % 10_000 == 1, F.when(F.col("id") % 20_000 < 10_000, "en").otherwise("de")).alias("lang"))
     assert rows.where("lang IS NOT NULL").count() == 40
     assert language.train(rows).labels == ["de", "en"]
+
+
+def test_labels_of_other_documents_change_nothing(spark, docs):
+    few = spark.read.parquet(f"{BIG}/labels.parquet").select("doc_id", "quality")
+    wide = few.unionByName(spark.range(10**6, 10**6 + 60_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality")))
+    models = [quality.train(docs, labels, sample=200) for labels in (few, wide)]
+    assert models[0] == models[1] and (models[0].rules or models[0].linear)
