@@ -56,17 +56,14 @@ def _rendered(df: DataFrame, rendered: str, title: str, s: Settings) -> DataFram
     return df.select(*[out.get(c, F.col(c)).alias(c) for c in df.columns if c not in ("__r", "__s", "__text", rendered)])
 
 
-def gated(df: DataFrame, order: Sequence[str], s: Settings = Settings(), seen: DataFrame | None = None, text: bool = True, rendered: str | None = None, failed: str | None = None, **lists) -> DataFrame:
-    """``df`` (url, title, content) without content but with main, quality, fingerprint and ``reject_reason``, null for what passes.
-
-    A fingerprint counts as seen from the first page that reaches it, in
-    ``order``, even if a later gate rejects that page; and if ``seen``
-    (fingerprint) holds it. Every gate but that one depends on the page alone
-    and is settled where the page is; only ``order`` and fingerprints are
-    shuffled to find first pages. Without ``text`` no text is stored, nor
-    main returned. ``rendered`` names a column of HTML for a second try of
-    pages of poor quality; ``failed`` one that says why a page could not be
-    fetched, which goes before all gates.
+def judged(df: DataFrame, s: Settings = Settings(), text: bool = True, rendered: str | None = None, failed: str | None = None, **lists) -> DataFrame:
+    """``df`` (url, title, content) without content but with main, quality, fingerprint and what the gates before and after the fingerprint say, early and late.
+
+    These depend on the page alone and are settled where it is; late is null
+    where early is not. Without ``text`` no text is stored, nor main returned.
+    ``rendered`` names a column of HTML for a second try of pages of poor
+    quality; ``failed`` one that says why a page could not be fetched, which
+    goes before all gates.
     """
     df = X.computed(with_stages(df), "early", early_reason(s=s))
     if rendered is not None:
@@ -74,7 +71,18 @@ def gated(df: DataFrame, order: Sequence[str], s: Settings = Settings(), seen: D
     if failed is not None:
         df = df.withColumn("early", F.coalesce(failed, "early")).drop(failed)
     df = X.computed(df, "late", F.when(F.col("early").isNull(), late_reason(s=s, **lists)))
-    df = stored(df.drop("content", "cleaned", *([] if text else ["main"])))
+    return stored(df.drop("content", "cleaned", *([] if text else ["main"])))
+
+
+def gated(df: DataFrame, order: Sequence[str], s: Settings = Settings(), seen: DataFrame | None = None, text: bool = True, rendered: str | None = None, failed: str | None = None, **lists) -> DataFrame:
+    """:func:`judged` pages with ``reject_reason``, null for what passes, instead of early and late.
+
+    A fingerprint counts as seen from the first page that reaches it, in
+    ``order``, even if a later gate rejects that page; and if ``seen``
+    (fingerprint) holds it. Only ``order`` and fingerprints are shuffled to
+    find first pages.
+    """
+    df = judged(df, s, text, rendered, failed, **lists)
     reached = df.where(F.col("early").isNull()).select(*order, "fingerprint")
     first = first_of_key(reached, ["fingerprint"], order, "first_seen")
     if seen is not None:

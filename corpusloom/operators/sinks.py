@@ -5,9 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import token_count
+
 
 def append_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("ignoreNullFields", "false").json(path)
@@ -40,10 +42,8 @@ def notify(seen: Observation, send: Callable[[str], None]) -> None:
         logging.getLogger(__name__).warning("notice not sent: %s", error)
 
 
-def run_counters(df: DataFrame) -> DataFrame:
-    """One row: pages, accepted, rejected, tokens, of (reject_reason, main)."""
-    from corpusloom.functions import text as X
-
+def run_counters(df: DataFrame, tokens: Callable[[Column], Column] = token_count) -> DataFrame:
+    """One row: pages, accepted, rejected, tokens, of (reject_reason, main); ``tokens`` counts a text's."""
     ok = F.col("reject_reason").isNull()
-    tokens = F.sum(F.when(ok, X.token_count(F.col("main"))).otherwise(0)).cast("long")
+    tokens = F.sum(tokens(F.when(ok, F.col("main")))).cast("long")
     return df.agg(F.count(F.lit(1)).alias("pages"), F.count_if(ok).alias("accepted"), F.count_if(~ok).alias("rejected"), F.coalesce(tokens, F.lit(0)).alias("tokens"))

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
+from corpusloom.functions import tokens
 from corpusloom.functions import urls as U
 from corpusloom.functions.fuzzy import fuzzy_relevance
 from corpusloom.operators import frontier, gates, journal, links, sinks, sites
+from corpusloom.operators.claims import accepted_per_host, in_claim_order
 from corpusloom.operators.dedupe import cap_per_key, first_of_key, keep_first, not_seen
 from corpusloom.operators.extract import titles
 from corpusloom.plans import crawl, discovery
@@ -31,6 +33,8 @@ LEVELS = [("EN", r"\b(the|and)\b"), ("FR", r"\b(les|une)\b"), ("DE", r"\b(der|da
 SITES = [("example.org", "css"), ("example.com", "css"), ("www.example.com", "density"), ("blog.example.net", ""), ("example.net", "density")]
 BLOCKED = ["example.com", "m.example.org"]
 SHARDS = 3
+#: Accepted pages a host of documents as pages, few enough that hosts fill up.
+CLAIM_CAP = 20
 #: Site, method, and what stands before and after an article's paragraphs there.
 SITE_MARKUP = [
     ("detik.com", "custom_detik", '<div class="detail__body-text itp_bodycontent">', '<table class="linksisip"><tr><td><p>lain</p></td></tr></table><p>Baca juga: lain</p><div><p>dalam</p></div></div>'),
@@ -85,6 +89,21 @@ def _gates(s: SparkSession, d: str) -> DataFrame:
     return _gated(s, d, text=False).select(F.col("id").alias("doc_id"), "reject_reason")
 
 
+def ranks_path() -> str:
+    """A public byte-pair vocabulary, if its package is there."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        return ""
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def _in_order(s: SparkSession, d: str) -> DataFrame:
+    """Documents as pages of their sources' hosts, worked off by id."""
+    rows = gates.judged(_page_text(s, d), LOOSE, text=False, **LISTS).withColumn("host", U.host(F.col("url")))
+    return in_claim_order(rows, ["id"], CLAIM_CAP).rows
+
+
 def _claim(s: SparkSession, d: str) -> DataFrame:
     return frontier.claim(_jobs(s, d), F.expr(NOW), 25).select("id", "url", "priority")
 
@@ -356,6 +375,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "article_urls": _articles,
         "education_related": _doc(related=lambda t: X.is_education_related(t, None, KEYWORDS, 4), valid=lambda t: X.cleaner_valid(t, KEYWORDS, 100, 2)),
         "run_counters": lambda s, d: sinks.run_counters(_gated(s, d)),
+        "token_counts": lambda s, d: _docs(s, d).select("doc_id", tokens.counter(ranks_path())(F.col("text")).alias("tokens")),
+        "run_tokens": lambda s, d: sinks.run_counters(_gated(s, d), tokens.counter(ranks_path())),
+        "claim_order_gates": lambda s, d: _in_order(s, d).select(F.col("id").alias("doc_id"), "reject_reason"),
+        "host_successes": lambda s, d: accepted_per_host(_in_order(s, d)),
         "host_counts": lambda s, d: _pages(s, d).groupBy(U.host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n")),
         "uptime_format": lambda s, d: _jobs(s, d).select("id", X.uptime(F.col("id") * 7).alias("uptime"), X.utc_iso(F.col("created_at")).alias("iso")),
         "stream_dedupe": _stream,

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from corpusloom.functions import vocabulary as V
-from corpusloom.queries import BLOCKED, COMMON, KEYWORDS, LEVELS, LOOSE, OLD_URLS, RULE_HOSTS, RULE_SECTIONS, SHARDS, SIGNALS, SITE_MARKUP, SITES
+from corpusloom.queries import BLOCKED, CLAIM_CAP, COMMON, KEYWORDS, LEVELS, LOOSE, OLD_URLS, RULE_HOSTS, RULE_SECTIONS, SHARDS, SIGNALS, SITE_MARKUP, SITES, ranks_path
 from corpusloom.settings import Settings
 
 TS = "TIMESTAMP '2024-01-15 00:00:00'"
@@ -121,13 +121,35 @@ stage AS (SELECT *, {_quality("main", title)} AS quality, {FINGERPRINT.format("m
 early AS (SELECT *, CASE WHEN n0 = 0 THEN 'no_content' WHEN n0 < 100 THEN 'too_short_raw' WHEN n1 < 100 THEN 'too_short_clean' WHEN n2 < 250 THEN 'too_short_main'
   WHEN quality < 0.7 THEN 'low_extraction_quality' END AS e FROM stage),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY fp, e IS NULL ORDER BY doc_id) AS r FROM early),
-gated AS (SELECT *, CASE WHEN e IS NOT NULL THEN e WHEN r > 1 THEN 'duplicate_content' WHEN len({_hits("main", SIGNALS)}) >= {s.max_ad_signals} THEN 'advertisement'
+judged AS (SELECT *, CASE WHEN len({_hits("main", SIGNALS)}) >= {s.max_ad_signals} THEN 'advertisement'
   WHEN NOT ({_language("main", s.language_threshold)}) THEN 'non_indonesian'
-  WHEN len({_hits(title + " || ' ' || main", KEYWORDS)}) < {s.min_keywords} THEN 'low_relevance' END AS reject_reason FROM ranked)
+  WHEN len({_hits(title + " || ' ' || main", KEYWORDS)}) < {s.min_keywords} THEN 'low_relevance' END AS late FROM ranked),
+gated AS (SELECT *, CASE WHEN e IS NOT NULL THEN e WHEN r > 1 THEN 'duplicate_content' ELSE late END AS reject_reason FROM judged)
 """
 
 
 GATED = _gated("substring(text, 1, 12)", LOOSE)
+#: How a byte-pair vocabulary splits texts, in RE2; U+E000 stands where white space parts before its last character.
+PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x{E000}]+|\s+"
+#: One page after another, with what is accepted of hosts and seen of fingerprints so far.
+IN_ORDER = f"""{GATED}, queue AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id) AS n, doc_id, source || '.example.org' AS host, fp, e, late FROM judged),
+fold AS (SELECT 0::BIGINT AS n, 0::BIGINT AS doc_id, ''::VARCHAR AS host, []::VARCHAR[] AS accepted, []::VARCHAR[] AS seen, ''::VARCHAR AS reject_reason
+  UNION ALL SELECT n, doc_id, host, CASE WHEN reason IS NULL THEN list_append(accepted, host) ELSE accepted END, CASE WHEN beyond OR e IS NOT NULL THEN seen ELSE list_append(seen, fp) END, reason
+  FROM (SELECT *, CASE WHEN beyond THEN 'domain_cap:' || host WHEN e IS NOT NULL THEN e WHEN list_contains(seen, fp) THEN 'duplicate_content' ELSE late END AS reason
+    FROM (SELECT q.*, f.accepted, f.seen, len(list_filter(f.accepted, lambda x: x = q.host)) >= {CLAIM_CAP} AS beyond FROM fold f JOIN queue q ON q.n = f.n + 1)))"""
+
+
+def _tokens(of: str, text: str, path: str) -> str:
+    """CTEs that end in ``counts`` (doc_id, tokens) of ``text`` in ``of``: a pre-token's byte pairs are merged one at a time, lowest rank first."""
+    return rf"""ranks AS (SELECT hex(from_base64(split_part(line, ' ', 1))) AS token, split_part(line, ' ', 2)::INT AS rank FROM read_csv({_q(path)}, columns={{'line': 'VARCHAR'}}, delim='\t', header=false, quote='')),
+cut AS (SELECT doc_id, regexp_replace(substring(coalesce({text}, ''), 1, 200000), '(\s+)(\s\S)', '\1' || chr(57344) || '\2', 'g') AS t FROM {of}),
+pre AS (SELECT doc_id, unnest(regexp_extract_all(t, {_q(PRETOKENS)})) AS w FROM cut),
+merging AS (SELECT w, regexp_extract_all(hex(w), '..') AS parts, 0 AS step FROM (SELECT DISTINCT w FROM pre)
+  UNION ALL SELECT w, parts[:k - 1] || [parts[k] || parts[k + 1]] || parts[k + 2:], step + 1
+  FROM (SELECT w, any_value(parts) AS parts, any_value(step) AS step, arg_min(i, rank * 100000::BIGINT + i) AS k
+    FROM (SELECT w, parts, step, unnest(range(1, len(parts))) AS i FROM merging) p JOIN ranks r ON r.token = parts[i] || parts[i + 1] GROUP BY w)),
+sizes AS (SELECT w, arg_max(len(parts), step) AS n FROM merging GROUP BY w),
+counts AS (SELECT doc_id, coalesce(sum(n), 0)::BIGINT AS tokens FROM cut LEFT JOIN pre USING (doc_id) LEFT JOIN sizes USING (w) GROUP BY doc_id)"""
 
 
 def _plain(source: str, column: str) -> str:
@@ -200,8 +222,15 @@ CLEANER = f"""list_filter(list_transform(list_filter(list_transform({LINES}, lam
 
 
 def oracle_sql() -> dict[str, str]:
-    sha = "sha256({})".format
-    return {
+    sha, path = "sha256({})".format, ranks_path()
+    counted = {
+        "token_counts": f"WITH RECURSIVE {_tokens('documents', 'text', path)} SELECT doc_id, tokens FROM counts",
+        "run_tokens": f"""WITH RECURSIVE {GATED}, passing AS (SELECT doc_id, main FROM gated WHERE reject_reason IS NULL), {_tokens('passing', 'main', path)}
+            SELECT count(*) AS pages, count(*) FILTER (reject_reason IS NULL) AS accepted, count(*) FILTER (reject_reason IS NOT NULL) AS rejected, (SELECT coalesce(sum(tokens), 0)::BIGINT FROM counts) AS tokens FROM gated""",
+    }
+    return (counted if path else {}) | {
+        "claim_order_gates": f"WITH RECURSIVE {IN_ORDER} SELECT doc_id, reject_reason FROM fold WHERE n > 0",
+        "host_successes": f"WITH RECURSIVE {IN_ORDER} SELECT host, count(*) AS n FROM fold WHERE n > 0 AND reject_reason IS NULL GROUP BY host",
         "url_normalize": f"WITH {NORMALIZED} SELECT page_id, normalized, sha256(normalized) AS url_hash, {HOST.format('url')} AS host FROM norm",
         "url_predicates": f"""SELECT page_id, (regexp_matches(lower(url), '^https?://') AND NOT {_under(HOST.format("url"), BLOCKED)} AND NOT ends_with(lower({PATH.format("url")}), '.html') AND NOT contains(lower(url), 'page=2')) AS valid,
             (contains(lower(url), 'blog.') OR contains(lower(url), 'example.net/')) AS education,

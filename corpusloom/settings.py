@@ -28,6 +28,8 @@ class Settings:
     max_site_queries: int = 400
     pages_per_query: int = 3
     pages_per_focused_query: int = 1
+    #: A file of byte-pair ranks; without one, tokens count as 0.
+    tokenizer_ranks: str = ""
 
     @classmethod
     def of(cls, values: dict[str, str]) -> Settings:
