@@ -27,11 +27,17 @@ def write_tiers(raw: DataFrame, processed: DataFrame, folder: str, instance: str
     append_jsonl(processed, f"{folder}/dataset_raw_processed_1{suffix}.jsonl")
 
 
+def outcomes() -> list[Column]:
+    """Counts of rows (reject_reason): pages, accepted, failed, skipped."""
+    ok = F.col("reject_reason").isNull()
+    failed = F.coalesce(F.col("reject_reason").rlike("^(?:HTTP |fetch:)"), F.lit(False))
+    return [F.count(F.lit(1)).alias("pages"), F.count_if(ok).alias("accepted"), F.count_if(failed).alias("failed"), F.count_if(~ok & ~failed).alias("skipped")]
+
+
 def observed(df: DataFrame, name: str = "crawl") -> tuple[DataFrame, Observation]:
     """``df`` (reject_reason), which counts itself while an action writes it, and where the counts are found after."""
-    ok, seen = F.col("reject_reason").isNull(), Observation(name)
-    failed = F.coalesce(F.col("reject_reason").rlike("^(?:HTTP |fetch:)"), F.lit(False))
-    return df.observe(seen, F.count(F.lit(1)).alias("pages"), F.count_if(ok).alias("accepted"), F.count_if(failed).alias("failed"), F.count_if(~ok & ~failed).alias("skipped")), seen
+    seen = Observation(name)
+    return df.observe(seen, *outcomes()), seen
 
 
 def notify(seen: Observation, send: Callable[[str], None]) -> None:
