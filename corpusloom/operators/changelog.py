@@ -65,17 +65,23 @@ class ChangeLog:
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._table('base')} ({self._columns()}) USING parquet {by} LOCATION '{self.path}/base/{self.version}'")
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._table('log')} ({self._columns()}, `__batch` bigint) USING parquet PARTITIONED BY (`__batch`) {by} LOCATION '{self.path}/log/{self.version}'")
 
-    def _parts(self, keys: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    def _parts(self, keys: DataFrame | None, before: int | None) -> tuple[DataFrame, DataFrame]:
         """The base, and the latest of the log, of ``keys`` or of all; every batch lies in the same buckets, so neither is shuffled."""
         base, log = self.spark.table(self._table("base")), self.spark.table(self._table("log"))
+        if before is not None:
+            log = log.where(F.col("__batch") < before)
         if keys is not None:
             base, log = (x.join(keys, self.key, "left_semi") for x in (base, log))
         last = F.max_by(F.struct(*self.schema.names), "__batch").alias("__new")
         return base, log.groupBy(self.key).agg(last).select(F.col(self.key).alias("__key"), "__new")
 
-    def rows(self, keys: DataFrame | None = None) -> DataFrame:
-        """The latest rows, all or those of ``keys`` (the key column; any number of rows each). Keys that are not there give none."""
-        base, new = self._parts(None if keys is None else keys.select(self.key))
+    def rows(self, keys: DataFrame | None = None, before: int | None = None) -> DataFrame:
+        """The latest rows, all or those of ``keys`` (the key column; any number of rows each). Keys that are not there give none.
+
+        ``before``: only changes of batches before that one count, so a batch
+        that is run again doesn't see what it wrote.
+        """
+        base, new = self._parts(None if keys is None else keys.select(self.key), before)
         both = base.join(new, base[self.key] == new["__key"], "full")
         changed = F.col("__new").isNotNull()
         return both.select(*[F.when(changed, F.col("__new")[n]).otherwise(F.col(n)).alias(n) for n in self.schema.names])
@@ -96,9 +102,9 @@ class ChangeLog:
         """Batches in the log, a sign of when to compact."""
         return self.spark.table(self._table("log")).select("__batch").distinct().count()
 
-    def compact(self) -> None:
-        """Makes the latest rows the next base. Older versions stay for those who still read them, until :meth:`vacuum`."""
-        self._write(self.rows(), self.version + 1)
+    def compact(self, before: int | None = None) -> None:
+        """Makes the latest rows the next base, of batches ``before`` one that begins. Older versions stay for those who still read them, until :meth:`vacuum`."""
+        self._write(self.rows(before=before), self.version + 1)
         self.version += 1
         self._open()
 

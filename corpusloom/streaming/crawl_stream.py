@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpusloom.functions import text as X
 from corpusloom.operators import frontier
+from corpusloom.operators.changelog import ChangeLog
+from corpusloom.operators.dedupe import keep_first
 from corpusloom.plans import crawl
 from corpusloom.settings import Settings
 from corpusloom.storage import stored
@@ -84,45 +86,60 @@ def each_batch(stream: DataFrame, step: Callable[[DataFrame, int], None], checkp
     return writer.start()
 
 
-def selector_cache_step(path: str) -> Callable[[DataFrame, int], None]:
-    """Upserts (domain, selector, last_seen, quality) into a table of versions; a replayed batch writes its version again."""
+SELECTORS = "domain string, selector string, last_seen long, quality double"
+
+
+def selector_cache_step(path: str, buckets: int = 16, keep: int = 50) -> Callable[[DataFrame, int], None]:
+    """Upserts (domain, selector, last_seen, quality) into a change log, of which ``keep`` batches are read before it is compacted."""
 
     def step(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.parquet(f"{path}/{n - 1}") if n else batch.limit(0)
-        frontier.upsert_selectors(old, batch).write.mode("overwrite").parquet(f"{path}/{n}")
+        cache = _log(batch.sparkSession, path, "domain", SELECTORS, buckets, keep, n)
+        cache.append(frontier.upsert_selectors(cache.rows(batch, n), batch), n)
 
     return step
 
 
-def worker_step(path: str, sites: DataFrame | None = None, s: Settings = Settings(), now: Column | None = None, **lists) -> Callable[[DataFrame, int], None]:
-    """A crawl worker's step for :func:`each_batch`: fetched pages (id, url, html, ...) in, a new version of the crawl's tables out.
+def _log(spark: SparkSession, path: str, key: str, schema: str, buckets: int, keep: int, n: int) -> ChangeLog:
+    """The log as batch ``n`` finds it: what comes before it is compacted if it is long."""
+    log = ChangeLog(spark, path, key, schema, buckets)
+    if log.batches() > keep:
+        log.compact(n)
+        log.vacuum()
+    return log
+
+
+def jobs_log(spark: SparkSession, path: str, buckets: int = 64) -> ChangeLog:
+    """The frontier of a worker under ``path``; what it begins with is appended as batch -1."""
+    return ChangeLog(spark, f"{path}/jobs", "id", frontier.SCHEMA, buckets)
+
+
+def worker_step(path: str, sites: DataFrame | None = None, s: Settings = Settings(), now: Column | None = None, buckets: int = 64, keep: int = 50, **lists) -> Callable[[DataFrame, int], None]:
+    """A crawl worker's step for :func:`each_batch`: fetched pages (id, url, html, ...) in, changes of the crawl's tables out.
 
-    Under ``path`` each batch writes ``jobs``, ``seen`` and ``selectors`` as
-    versions of their own, ``jobs/start`` being the frontier before the first,
-    and its accepted pages to ``records``. A batch takes only pages whose job
-    is pending or being worked on, so a page that comes again does nothing. A
-    replayed batch reads the versions before it and writes its own again.
+    Under ``path`` lie :func:`jobs_log`, the change logs ``seen`` (fingerprint)
+    and ``selectors`` (domain), and ``records`` with each batch's accepted
+    pages. A batch looks up its own jobs, and writes what it changes; neither
+    grows with the frontier, which is not shuffled. It takes only pages whose
+    job is pending or being worked on, so a page that comes again does nothing;
+    of several pages of one job the first by its columns counts. A batch that
+    is run again reads what was there before it, and writes its part again.
     """
     now = F.current_timestamp() if now is None else now
 
     def step(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        before = lambda table: f"{path}/{table}/{n - 1}"
-        jobs = spark.read.parquet(before("jobs") if n else f"{path}/jobs/start")
-        seen = spark.read.parquet(before("seen")) if n else spark.createDataFrame([], "fingerprint string")
-        cache = spark.read.parquet(before("selectors")) if n else spark.createDataFrame([], "domain string, selector string, last_seen long, quality double")
-        pages = batch.join(jobs.where(F.col("status").isin("pending", "processing")).select("id"), "id", "left_semi").dropDuplicates(["id"])
-        rows = stored(crawl.curated(pages, sites, s, selectors=cache, seen=seen, **lists))
+        jobs = _log(spark, f"{path}/jobs", "id", frontier.SCHEMA, buckets, keep, n)
+        seen = _log(spark, f"{path}/seen", "fingerprint", "fingerprint string", buckets, keep, n)
+        cache = _log(spark, f"{path}/selectors", "domain", SELECTORS, buckets, keep, n)
+        open_ = jobs.rows(batch, n).where(F.col("status").isin("pending", "processing")).select("id")
+        pages = keep_first(batch.join(open_, "id", "left_semi"), ["id"], [c for c in batch.columns if c != "id"])
+        rows = stored(crawl.curated(pages, sites, s, selectors=cache.rows(before=n), seen=seen.rows(before=n), **lists))
         reached = rows.where(F.col("fingerprint").isNotNull() & ~F.coalesce(F.col("reject_reason").rlike(EARLY), F.lit(False)))
-        out = {
-            "jobs": crawl.settled(jobs, rows, now, s=s),
-            "seen": seen.unionByName(reached.select("fingerprint")).distinct(),
-            "selectors": frontier.upsert_selectors(cache, crawl.selectors_seen(rows, F.unix_timestamp(now), s)),
-            "records": rows.where(F.col("reject_reason").isNull()),
-        }
-        for table, df in out.items():
-            df.write.mode("overwrite").parquet(f"{path}/{table}/{n}")
+        found = stored(crawl.selectors_seen(rows, F.unix_timestamp(now), s))
+        jobs.append(crawl.settled(jobs.rows(rows, n), rows, now, s=s), n)
+        seen.append(reached.select("fingerprint").distinct(), n)
+        cache.append(frontier.upsert_selectors(cache.rows(found, n), found), n)
+        rows.where(F.col("reject_reason").isNull()).write.mode("overwrite").parquet(f"{path}/records/{n}")
 
     return step
 

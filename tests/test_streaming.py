@@ -3,6 +3,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from corpusloom.operators.changelog import ChangeLog
 from corpusloom.operators.dedupe import cap_per_key, keep_first
 from corpusloom.settings import Settings
 from corpusloom.streaming import crawl_stream as S
@@ -57,7 +58,7 @@ def test_selector_cache_and_counts(spark, tmp_path):
     feed(spark, tmp_path / "in", [("b", ".z", 1, 0.5), ("a", ".w", 1, 0.1)], kind)
     stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
     S.each_batch(stream, S.selector_cache_step(str(tmp_path / "cache")), str(tmp_path / "cp")).awaitTermination(120)
-    got = {r["domain"]: r["selector"] for r in spark.read.parquet(str(tmp_path / "cache" / "1")).collect()}
+    got = {r["domain"]: r["selector"] for r in ChangeLog(spark, str(tmp_path / "cache"), "domain", S.SELECTORS, 16).rows().collect()}
     assert got == {"a": ".y", "b": ".z"}
     feed(spark, tmp_path / "r", [("x",), (None,), ("x",)], "reject_reason string")
     counts = drain(S.outcome_counts(spark.readStream.schema("reject_reason string").json(str(tmp_path / "r"))), tmp_path, "complete")
@@ -76,14 +77,15 @@ def test_worker_settles_jobs_over_batches_and_replays(spark, tmp_path):
         name, k = field.split(" ")
         if name not in have:
             jobs = jobs.withColumn(name, F.lit(None).cast("map<string,string>" if k == "map" else k))
-    jobs.write.parquet(f"{path}/jobs/start")
+    S.jobs_log(spark, path, 4).append(jobs, -1)
     page = lambda t: f"<article><p>{prose(t)}</p></article>"
-    step = S.worker_step(path, now=F.expr("timestamp'2024-01-01 00:00:00'"), keywords=["guru"])
+    step = S.worker_step(path, now=F.expr("timestamp'2024-01-01 00:00:00'"), keywords=["guru"], buckets=4, keep=1)
     batches = [[(1, "https://a.com/1", page("satu"), 200), (2, "https://a.com/2", page("satu"), 200), (3, "https://a.com/3", None, 500)], [(4, "https://a.com/4", page("satu"), 200), (5, "https://a.com/5", page("lima"), 200), (1, "https://a.com/1", page("satu"), 200), (99, "https://a.com/99", page("x"), 200)]]
     for n, rows in enumerate(batches):
         for _ in range(2):  # the second time is a replay
             step(spark.createDataFrame(rows, kind), n)
-    got = {r["id"]: (r["status"], r["last_error"]) for r in spark.read.parquet(f"{path}/jobs/1").collect()}
+    got = {r["id"]: (r["status"], r["last_error"]) for r in S.jobs_log(spark, path, 4).rows().collect()}
     assert got == {1: ("completed", None), 2: ("ignored", "duplicate_content"), 3: ("pending", "HTTP 500"), 4: ("ignored", "duplicate_content"), 5: ("completed", None), 6: ("pending", None), 7: ("pending", None)}
     assert sorted(r["id"] for r in spark.read.parquet(f"{path}/records/0", f"{path}/records/1").collect()) == [1, 5]
-    assert [r["domain"] for r in spark.read.parquet(f"{path}/selectors/1").collect()] == ["a.com"]
+    assert [r["domain"] for r in ChangeLog(spark, f"{path}/selectors", "domain", S.SELECTORS, 4).rows().collect()] == ["a.com"]
+    assert S.jobs_log(spark, path, 4).version == 2  # each replay found the log too long, and compacted what came before its batch
