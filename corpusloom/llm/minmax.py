@@ -24,6 +24,7 @@ into chunks, and each pair of chunks is a cell of its own; no task gathers more.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import connected_components
-from corpusloom.llm.simhash import smallest
+from corpusloom.llm.simhash import fingerprint, smallest
 from corpusloom.storage import stored
 
 SEED = 42
@@ -54,6 +55,8 @@ class Scheme:
     rows: int = 5
     chunk: int = 2048
     weight: int = 1 << 19
+    #: Whether rows get a SimHash fingerprint over as many words, too.
+    fingerprints: bool = False
 
     @cached_property
     def bands(self) -> int:
@@ -116,7 +119,7 @@ def shingles(text: bytes, words: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, scheme: Scheme) -> DataFrame:
-    """(__id, __th, __set, __n, __sig, __keys) of every row: hash of the text, name and size of its set, signature, band keys."""
+    """(__id, __th, __set, __n, __sig, __keys, __fp) of every row: hash of the text, name and size of its set, signature, band keys, SimHash or 0."""
     rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     rows = rows.select("__id", F.xxhash64("__text").alias("__th"), F.col("__text").cast("binary").alias("__text"))
 
@@ -127,14 +130,15 @@ def described(docs: DataFrame, id_col: str, text_col: str, scheme: Scheme) -> Da
                 if th not in known:
                     s = shingles(text.as_py(), scheme.words)
                     name = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED)], np.uint64).view(np.int64)[0]
-                    known[th] = (int(name), len(s), *(scheme.described(s) if len(s) else (b"", np.empty(0, np.int64))))
+                    fp = np.array([fingerprint(text.as_py(), scheme.words) if scheme.fingerprints else 0], np.uint64).view(np.int64)[0]
+                    known[th] = (int(name), len(s), *(scheme.described(s) if len(s) else (b"", np.empty(0, np.int64))), int(fp))
             of = [known[th] for th in b.column(1).to_pylist()]
-            kinds = pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())
+            kinds = pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64()
             cols = [pa.array([x[i] for x in of], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["__id", "__th", "__set", "__n", "__sig", "__keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["__id", "__th", "__set", "__n", "__sig", "__keys", "__fp"])
 
     kind = dict(docs.dtypes)[id_col]
-    return rows.mapInArrow(run, f"__id {kind}, __th bigint, __set bigint, __n bigint, __sig binary, __keys array<bigint>")
+    return rows.mapInArrow(run, f"__id {kind}, __th bigint, __set bigint, __n bigint, __sig binary, __keys array<bigint>, __fp bigint")
 
 
 def trees(names: np.ndarray, near) -> list[tuple[int, int]]:
@@ -227,11 +231,16 @@ def verified(members: DataFrame, scheme: Scheme) -> DataFrame:
     return rows.mapInArrow(lambda batches: _runs(batches, found), "a bigint, b bigint").distinct()
 
 
-def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scheme: Scheme = Scheme()) -> tuple[DataFrame, DataFrame]:
-    """Rows (__id, __th, __set, __n), and sets (__set, __b, __k, __n, __group): first row as ``smallest`` has it, rows, size, group of linked sets."""
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scheme: Scheme = Scheme(), more: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows (__id, __th, __set, __n), and sets (__set, __b, __k, __n, __group): first row as ``smallest`` has it, rows, size, group of linked sets.
+
+    ``more`` gives further candidates (a, b) among the sets (__set, __n, __fp).
+    """
     rows = stored(described(docs, id_col, text_col, scheme))
-    sets = stored(rows.groupBy("__set").agg(smallest().alias("__b"), F.count(F.lit(1)).alias("__k"), F.min("__n").alias("__n"), F.min("__sig").alias("__sig"), F.min("__keys").alias("__keys")))
-    roots = connected_components(stored(candidates(sets, scheme))).select(F.col("node").alias("__set"), F.col("root").alias("__root"))
+    sets = stored(rows.groupBy("__set").agg(smallest().alias("__b"), F.count(F.lit(1)).alias("__k"), F.min("__n").alias("__n"), F.min("__sig").alias("__sig"), F.min("__keys").alias("__keys"), F.min("__fp").alias("__fp")))
+    edges = candidates(sets, scheme)
+    edges = stored(edges if more is None else edges.unionByName(more(sets.select("__set", "__n", "__fp"))))
+    roots = connected_components(edges).select(F.col("node").alias("__set"), F.col("root").alias("__root"))
     named = stored(sets.join(roots, "__set").select("__root", "__set", "__n", "__sig", F.col("__b.i").alias("__id"), F.col("__b.t").alias("__th")))
     named = named.join(named.groupBy("__root").agg(F.sum("__n").alias("__w")), "__root")
     texts = docs.select(F.col(id_col).alias("__i"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")).withColumn("__t", F.xxhash64("__text"))

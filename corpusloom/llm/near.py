@@ -1,165 +1,45 @@
-"""Near-duplicates by what texts share: word shingles with a Jaccard similarity of ``LEAST`` or more.
-
-A 64-bit SimHash says little at such a similarity: two texts of 0.8 differ in
-about 10 bits, where pigeonhole blocks no longer select. Candidates are found by
-min-hashes instead, ``BANDS`` keys of ``ROWS`` minima each; a pair of similarity
-s shares no key with a chance of (1 - s ** ROWS) ** BANDS, 3 in a million at 0.8
-and less above. Every link is then verified on the complete shingle sets.
-
-Pairs are never listed. Sets that share a key form a candidate group (by a star
-a key, so rows grow with the input), each set is sent to its group once, and a
-search inside the group follows the verified links and names what each row
-reaches. A group of more than ``WEIGHT`` shingles is dealt into chunks, each
-pair of chunks is a cell of its own, and the cells' trees are connected after.
+"""Near-duplicates of the pipeline: word shingles with a Jaccard similarity of ``LEAST`` or more.
+
+Operator 4 gives the close candidates: SimHash fingerprints over five words,
+joined on pigeonhole blocks and verified by Hamming distance. Two texts of
+similarity 0.8 differ in about 10 of 64 bits, though, where blocks no longer
+select; candidates further apart come from operator 11's min-max bands, which
+miss a pair of 0.8 with a chance of 3 in a million, less above. Every link is
+verified on the full shingle sets, as :mod:`corpusloom.llm.minmax` does it: keys
+and blocks only say which sets meet, groups are joined by links alone, and no
+group is gathered whole.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.components import connected_components
-from corpusloom.llm.simhash import chosen, smallest
+from corpusloom.llm import minmax, simhash
 from corpusloom.storage import stored
 
-SEED = 42
 SHINGLE = 5
-LEAST = 4, 5  # 0.8, as a fraction of whole numbers
-BANDS, ROWS = 32, 5
-WEIGHT = 2_000_000
-#: Shingles that are hashed by all functions at once.
-STRIDE = 1 << 14
-
-_RNG = np.random.default_rng(7)
-_XOR = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
-_MUL = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
-
-
-def shingles(text: bytes, words: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of a text's runs of words; of a shorter text, that of the whole; of one without words, none."""
-    found = text.lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    joined, digest = b" ".join(found), xxhash.xxh64_intdigest
-    if len(found) <= words:
-        return np.array([digest(joined, SEED)], np.uint64)
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    ends = np.cumsum(sizes + 1) - 1
-    starts, ends = (ends - sizes)[: len(found) - words + 1], ends[words - 1 :]
-    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64))
-
-
-def band_keys(found: np.ndarray) -> np.ndarray:
-    """A long for each band; the number of the band is part of what is hashed."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(found), STRIDE):
-        part = found[i : i + STRIDE]
-        for k in range(BANDS * ROWS):
-            least[k] = min(least[k], ((part ^ _XOR[k]) * _MUL[k]).min())
-    return np.array([xxhash.xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)], np.uint64).view(np.int64)
-
-
-def alike(a: int, b: int, common: int) -> bool:
-    """Whether sets of a and b members with so many in common are similar enough."""
-    return common * LEAST[1] >= LEAST[0] * (a + b - common)
-
-
-def forest(names: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """(first, other) of each tree of links among ``sets``, by search over those not yet reached."""
-    _, at = np.unique(names, return_index=True)
-    names, sets = names[at], [sets[i] for i in at]
-    keys, sizes = np.stack([band_keys(s) for s in sets]), np.array([len(s) for s in sets])
-    left, out = np.arange(len(sets)), []
-    while len(left):
-        first, queue, left = left[0], [left[0]], left[1:]
-        while queue and len(left):
-            x = queue.pop()
-            n = sizes[x]
-            near = (sizes[left] * LEAST[1] >= n * LEAST[0]) & (n * LEAST[1] >= sizes[left] * LEAST[0])
-            near[near] = (keys[left[near]] == keys[x]).any(axis=1)
-            for i in np.flatnonzero(near):
-                y = sets[left[i]]
-                pos = np.minimum(np.searchsorted(sets[x], y), n - 1)
-                near[i] = alike(n, len(y), int((sets[x][pos] == y).sum()))
-            out += [(int(names[first]), int(names[y])) for y in left[near]]
-            queue.extend(left[near].tolist())
-            left = left[~near]
-    return out
-
-
-def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(__id, __th, __set, __n, __keys) of every row: hash of the text, name and size of its set, band keys."""
-    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    rows = rows.select("__id", F.xxhash64("__text").alias("__th"), F.col("__text").cast("binary").alias("__text"))
-
-    def run(batches):
-        for b in batches:
-            known: dict[int, tuple] = {}  # equal texts of a batch are hashed once
-            for th, text in zip(b.column(1).to_pylist(), b.column(2), strict=True):
-                if th not in known:
-                    s = shingles(text.as_py())
-                    name = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED)], np.uint64).view(np.int64)[0]
-                    known[th] = (int(name), len(s), band_keys(s) if len(s) else np.empty(0, np.int64))
-            of = [known[th] for th in b.column(1).to_pylist()]
-            cols = [pa.array([x[0] for x in of], pa.int64()), pa.array([x[1] for x in of], pa.int64()), pa.array([x[2] for x in of], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["__id", "__th", "__set", "__n", "__keys"])
-
-    kind = dict(docs.dtypes)[id_col]
-    return rows.mapInArrow(run, f"__id {kind}, __th bigint, __set bigint, __n bigint, __keys array<bigint>")
-
-
-def links(members: DataFrame, big: DataFrame) -> DataFrame:
-    """(a, b, dealt): trees of verified links inside candidate groups; ``members``: (__root, __set, __text), ``big``: (__root, __g) of groups to deal into __g chunks."""
-    rows = members.join(big, "__root", "left").withColumn("__c", F.pmod(F.xxhash64("__set"), F.col("__g")))
-    pair = F.transform(F.sequence(F.lit(0), F.col("__g") - 1), lambda o: F.least(o, F.col("__c")) * F.col("__g") + F.greatest(o, F.col("__c")))
-    cells = rows.withColumn("__cell", F.explode(F.when(F.col("__g").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pair)))
-    cells = cells.select("__root", "__cell", "__set", "__text").repartition("__root", "__cell").sortWithinPartitions("__root", "__cell")
-
-    def run(batches):
-        now, names, sets = None, [], []
-
-        def edges():
-            found = forest(np.array(names, np.int64), sets) if len(names) > 1 else []
-            dealt = pa.array([now is not None and now[1] >= 0] * len(found), pa.bool_())
-            return pa.RecordBatch.from_arrays([*[pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], dealt], names=["a", "b", "dealt"])
+LEAST = 4, 5
+SCHEME = minmax.Scheme(words=SHINGLE, least=LEAST, permutations=80, fingerprints=True)
 
-        for b in batches:
-            for root, cell, name, text in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3), strict=True):
-                if (root, cell) != now:
-                    yield edges()
-                    now, names, sets = (root, cell), [], []
-                names.append(name)
-                sets.append(shingles(text.as_py()))
-        yield edges()
 
-    return cells.mapInArrow(run, "a bigint, b bigint, dealt boolean")
+def close_fingerprints(sets: DataFrame, max_bits: int = simhash.MAX_BITS) -> DataFrame:
+    """(a, b): trees over the sets (__set, __n, __fp) whose fingerprints differ in few bits, by operator 4; a fingerprint's first set stands for it."""
+    named = stored(sets.where("__n > 0").select("__set", "__fp"))
+    first = named.groupBy("__fp").agg(F.min("__set").alias("__first"))
+    links = simhash.links(first.select("__fp"), max_bits)
+    ends = links.join(first.select(F.col("__fp").alias("a"), F.col("__first").alias("__a")), "a").join(first.select(F.col("__fp").alias("b"), F.col("__first").alias("__b")), "b")
+    same = named.join(first, "__fp").where(F.col("__set") != F.col("__first")).select(F.col("__first").alias("a"), F.col("__set").alias("b"))
+    return ends.select(F.col("__a").alias("a"), F.col("__b").alias("b")).unionByName(same)
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weight: int = WEIGHT) -> DataFrame:
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scheme: minmax.Scheme = SCHEME) -> DataFrame:
     """(__b, __n) of every group of linked texts: its first row, as ``smallest`` has it, and its rows.
 
     Null text counts as empty; texts without words are equal to each other.
     """
-    rows = stored(described(docs, id_col, text_col))
-    sets = stored(rows.groupBy("__set").agg(smallest().alias("__b"), F.count(F.lit(1)).alias("__k"), F.min("__n").alias("__n"), F.min("__keys").alias("__keys")))
-    keyed = sets.select("__set", F.explode("__keys").alias("__key"))
-    hubs = keyed.groupBy("__key").agg(F.min("__set").alias("a"), F.count(F.lit(1)).alias("__k")).where("__k > 1").select("__key", "a")
-    stars = keyed.join(hubs, "__key").where(F.col("a") != F.col("__set")).select("a", F.col("__set").alias("b")).distinct()
-    candidates = connected_components(stars).select(F.col("node").alias("__set"), F.col("root").alias("__root"))
-    named = sets.join(candidates, "__set").select("__root", "__set", "__n", F.col("__b.i").alias("__id"), F.col("__b.t").alias("__th"))
-    texts = docs.select(F.col(id_col).alias("__i"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")).withColumn("__t", F.xxhash64("__text"))
-    members = texts.join(named, texts["__i"].eqNullSafe(named["__id"]) & (texts["__t"] == named["__th"]))
-    members = members.select("__root", "__set", F.col("__text").cast("binary").alias("__text")).dropDuplicates(["__set"])
-    big = named.groupBy("__root").agg(F.sum("__n").alias("__w")).where(F.col("__w") > weight).select("__root", F.ceil(F.col("__w") / weight).cast("int").alias("__g"))
-    found = stored(links(members, big))
-    roots = found.where("not dealt").select(F.col("b").alias("__set"), F.xxhash64("a").alias("root"))
-    if not (dealt := found.where("dealt").select("a", "b").distinct()).isEmpty():
-        roots = roots.unionByName(connected_components(dealt).select(F.col("node").alias("__set"), "root"))
-    named = sets.join(roots, "__set", "left").withColumn("__group", F.coalesce("root", F.xxhash64("__set")))
-    return named.groupBy("__group").agg(F.min("__b").alias("__b"), F.sum("__k").alias("__n"))
+    _, sets = minmax.grouped(docs, id_col, text_col, scheme, close_fingerprints)
+    return sets.groupBy("__group").agg(F.min("__b").alias("__b"), F.sum("__k").alias("__n"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,4 +49,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     length are compared whole; of repeated rows one stays. Columns of any name
     pass unchanged. An empty table gives no rows.
     """
-    return chosen(docs, groups(docs, id_col, text_col), id_col, text_col)
+    return simhash.chosen(docs, groups(docs, id_col, text_col), id_col, text_col)

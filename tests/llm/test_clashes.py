@@ -9,7 +9,7 @@ from corpusloom.llm import line_dedup, mixing, near, quality, simhash
 
 ROOT = pathlib.Path(line_dedup.__file__).parent
 #: Every internal name in the sources of the operators that hand on rows.
-NAMES = sorted({n for f in ("line_dedup", "mixing", "near", "quality", "simhash", "common", "components") for n in re.findall(r'["\'.](__[a-z]\w*)', (ROOT / f"{f}.py").read_text())} | {"size", "target", "whole", "part", "root", "node", "a", "b", "n", "m", "source_size", "log_chars", "word_len", "upper", "stop"})
+NAMES = sorted({n for f in ("line_dedup", "mixing", "near", "minmax", "quality", "simhash", "common", "components") for n in re.findall(r'["\'.](__[a-z]\w*)', (ROOT / f"{f}.py").read_text())} | {"size", "target", "whole", "part", "root", "node", "a", "b", "n", "m", "source_size", "log_chars", "word_len", "upper", "stop"})
 OWN = ["doc_id", "text", "lang", "source", "n_chars"]
 TEXTS = ["Baris  yang sama\nsatu dua tiga empat lima enam", "baris  yang sama\nsatu dua tiga empat lima enam", "sendiri di sini saja ya tentu " * 9, "sendiri di sini saja ya tentu " * 9 + "lagi", "x", None]
 

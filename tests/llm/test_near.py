@@ -1,8 +1,10 @@
+from dataclasses import replace
+
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusloom.llm import near
+from corpusloom.llm import near, simhash
 
 
 def shingle_set(text):
@@ -50,7 +52,31 @@ def test_stage_keeps_one_of_each_group_of_similar_texts(spark):
 def test_heavy_groups_are_cut_into_cells_without_loss(spark):
     rows = corpus(12)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r["i"] for r in near.groups(df, weight=500).select(F.col("__b.i").alias("i")).collect()} == brute(rows)
+    assert {r["i"] for r in near.groups(df, scheme=replace(near.SCHEME, weight=500, chunk=4)).select(F.col("__b.i").alias("i")).collect()} == brute(rows)
+
+
+def test_recall_on_planted_pairs(spark):
+    """Pairs of a similarity between 0.8 and 0.95, far from all others: the second of each pair goes."""
+    rng, rows = np.random.default_rng(9), []
+    while len(rows) < 600:
+        text = [f"k{i}" for i in rng.integers(0, 100_000, rng.integers(80, 500))]
+        copy = list(text)
+        for i in rng.choice(len(copy), max(1, len(copy) // int(rng.integers(45, 130))), replace=False):
+            copy[i] = "lain"
+        a, b = shingle_set(" ".join(text)), shingle_set(" ".join(copy))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.95:
+            rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(copy))]
+    kept = {r["doc_id"] for r in near.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(0, 600, 2))
+    close = near.close_fingerprints(spark.createDataFrame([(i, 1, int(np.array([simhash.fingerprint(t.encode(), 5)], np.uint64).view(np.int64)[0])) for i, t in rows], "__set long, __n long, __fp long"))
+    assert 30 < close.where("b = a + 1 OR a = b + 1").count() < 300  # what operator 4 alone would find
+
+
+def test_very_long_and_short_texts(spark):
+    long = " ".join(f"k{i % 70_000}" for i in range(300_000))
+    rows = [(1, long), (2, long + " lain"), (3, "k1 k2"), (4, "K1  k2"), (5, "\n"), (6, None)]
+    kept = near.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in kept} == {1, 3, 5}
 
 
 def test_repeated_rows_null_ids_and_empty_table(spark):
