@@ -34,6 +34,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of each group whose links are 5-word Jaccard similarities of 0.8 or more.
 
+    Operator 4 finds the pairs with close SimHash fingerprints; those of 0.8
+    that its blocks can't reach come from operator 11's bands; all are verified.
     Null texts count as empty, and texts without words are equal to each other;
     of repeated rows one stays; a null id is chosen only if there is no other.
     """
@@ -61,6 +63,7 @@ def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.select(F.col("__id").alias("doc_id"), F.col("__ids").alias("pieces"), F.size("__ids").alias("n_pieces"), F.col("__back_sha").alias("text_sha256"), lossless)
 
 
+#: By operators 9, 7, 4 (with 11 for what its blocks can't reach), 6 and 8.
 STAGES = [
     ("quality classifier", reject_low_quality),
     ("line dedup", drop_repeated_lines),
