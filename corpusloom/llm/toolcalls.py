@@ -48,22 +48,24 @@ SCHEMAS = {
 KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 #: Nesting that is read as JSON.
 DEPTH = 100
+#: References of a conversation that a task orders at once.
+WHOLE = 200_000
 LONE = re.compile("[\ud800-\udfff]")
 
 
-def whole(text: str) -> str:
+def escaped(text: str) -> str:
     """Text that UTF-8 can hold: lone surrogates as escapes."""
     return LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 def canonical(value) -> str:
     """JSON with sorted keys, no spaces, and no escapes but those JSON demands."""
-    return whole(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+    return escaped(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
 
 
 def named(value) -> str:
     """An identifier or name as text."""
-    return whole(value) if isinstance(value, str) else canonical(value)
+    return escaped(value) if isinstance(value, str) else canonical(value)
 
 
 def _is(value, kind: str) -> bool:
@@ -92,12 +94,12 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
             out += violations(x, schema.get("items", {}), f"{at}[{i}]")
     if isinstance(value, dict):
         known = schema.get("properties", {})
-        out += [f"{at}.{whole(k)}: missing" for k in sorted(schema.get("required", [])) if k not in value]
+        out += [f"{at}.{escaped(k)}: missing" for k in sorted(schema.get("required", [])) if k not in value]
         for k in sorted(value):
             if k in known:
-                out += violations(value[k], known[k], f"{at}.{whole(k)}")
+                out += violations(value[k], known[k], f"{at}.{escaped(k)}")
             elif schema.get("additionalProperties", True) is False:
-                out.append(f"{at}.{whole(k)}: unknown")
+                out.append(f"{at}.{escaped(k)}: unknown")
     return out
 
 
@@ -115,30 +117,30 @@ def _finite(text: str) -> float:
     return number
 
 
-def _load(text: str):
-    """The value, None if it is no JSON or nests too deep."""
+def _load(text: str, depth: int = DEPTH):
+    """The value, None if it is no JSON or nests deeper."""
     try:
         value = json.loads(text, parse_constant=_finite, parse_float=_finite)
     except (ValueError, RecursionError):
         return None
     layer = [value]
-    for _ in range(DEPTH):
+    for _ in range(depth):
         layer = [x for v in layer if isinstance(v, (dict, list)) for x in (v.values() if isinstance(v, dict) else v)]
         if not layer:
             return value
     return None
 
 
-def items(conv: int | None, turn: int | None, role: str | None, text: str | None, schemas: dict) -> list[tuple]:
+def items(conv: int | None, turn: int | None, role: str | None, text: str | None, schemas: dict, depth: int = DEPTH) -> list[tuple]:
     """(kind, index, id, tool, arguments, result, references, error) of a message."""
     text = text or ""
-    found = _load(text) if text[:1] == "{" else None
+    found = _load(text, depth) if text[:1] == "{" else None
     if isinstance(found, dict) and isinstance(found.get("tool_calls"), list):
         out = []
         for i, c in enumerate(found["tool_calls"]):
             c = c if isinstance(c, dict) else {}
             args, name, ident = c.get("arguments"), c.get("name"), c.get("id")
-            args = _load(args) if isinstance(args, str) else args
+            args = _load(args, depth) if isinstance(args, str) else args
             known = isinstance(name, str) and name in schemas
             wrong = violations(args, schemas[name]) if known else [f"unknown tool {named(name)}"]
             out.append(("call", i, None if ident is None else named(ident), None if name is None else named(name), canonical(args), None, sorted(set(_references(args))), "; ".join(wrong) or None))
@@ -158,36 +160,83 @@ def scoped(ident: Column) -> Column:
     return F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), F.lit(":"), ident)
 
 
-def parsed(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
-    """One row for every call, result or message."""
+def parsed(messages: DataFrame, schemas: dict = SCHEMAS, depth: int = DEPTH) -> DataFrame:
+    """One row for every call, result or message; what nests deeper than ``depth`` is a message."""
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     shape = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("kind", pa.string()), ("index", pa.int32()), ("id", pa.string()), ("tool", pa.string()), ("arguments", pa.string()), ("result", pa.string()), ("refs", pa.list_(pa.string())), ("error", pa.string())])
 
     def run(batches):
         for b in batches:
-            out = [(c, t, *i) for c, t, r, x in zip(*(b.column(j).to_pylist() for j in range(4)), strict=True) for i in items(c, t, r, x, schemas)]
+            out = [(c, t, *i) for c, t, r, x in zip(*(b.column(j).to_pylist() for j in range(4)), strict=True) for i in items(c, t, r, x, schemas, depth)]
             cols = zip(*out, strict=True) if out else [()] * len(shape)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, shape, strict=True)], schema=shape)
 
     return rows.mapInArrow(run, "conv_id bigint, turn bigint, kind string, index int, id string, tool string, arguments string, result string, refs array<string>, error string")
 
 
-def levels(calls: DataFrame) -> DataFrame:
-    """(id, level, broken) of calls (id, at, refs: structs of id and name): broken names a reference without a call, or a cycle.
+def ordered(edges: list[tuple[str, str, bool]]) -> list[tuple[str, int, bool]]:
+    """(id, level, whether it is in a cycle or waits for one) for the references (id, to, forward) of whole groups, in time of their number."""
+    root: dict[str, str] = {}
+    waits: dict[str, list[tuple[str, bool]]] = {}
+    left: dict[str, int] = {}
+
+    def find(x: str) -> str:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for one, to, forward in edges:
+        for x in (one, to):
+            if x not in root:
+                root[x], left[x] = x, 0
+        root[find(one)] = find(to)
+        waits.setdefault(to, []).append((one, forward))
+        left[one] += 1
+    level, ready = dict.fromkeys(root, 0), [x for x, n in left.items() if not n]
+    while ready:
+        to = ready.pop()
+        for one, forward in waits.get(to, ()):
+            level[one] = max(level[one], level[to] + forward)
+            left[one] -= 1
+            if not left[one]:
+                ready.append(one)
+    most: dict[str, int] = {}
+    for one, _, forward in edges:
+        most[find(one)] = most.get(find(one), 0) + forward
+    return [(x, most[find(x)] + 1 if left[x] else level[x], left[x] > 0) for x in root]
+
+
+def _whole_scopes(ends: DataFrame) -> DataFrame:
+    """(id, l, cycle) for the references (scope, id, to, forward) of scopes that a task can hold, one scope after another."""
+    rows = ends.select("scope", "id", "to", "forward").repartition("scope").sortWithinPartitions("scope")
 
-    Level 0 for calls that refer to earlier ones only; a call that refers
-    forward is one above what it refers to. Only groups of calls with a forward
-    reference go through the rounds. No level of a group without a cycle is
-    above its number of forward references, so what rises beyond is in a cycle
-    or waits for one, and the rounds end.
+    def run(batches):
+        now, edges = None, []
+
+        def batch(found):
+            cols = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.int32(), pa.bool_()))]
+            return pa.RecordBatch.from_arrays(cols, names=["id", "l", "cycle"])
+
+        for b in batches:
+            out = []
+            for scope, *edge in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if scope != now:
+                    out += ordered(edges)
+                    now, edges = scope, []
+                edges.append(tuple(edge))
+            yield batch(out)
+        yield batch(ordered(edges))
+
+    return rows.mapInArrow(run, "id string, l int, cycle boolean")
+
+
+def _by_rounds(ends: DataFrame) -> DataFrame:
+    """The same for scopes of any size: each round raises the levels of calls by those of what they refer to.
+
+    No level of a group without a cycle is above its number of forward
+    references, so what rises beyond is in a cycle or waits for one, and the
+    rounds end.
     """
-    refs = calls.select("id", "at", F.explode("refs").alias("r")).select("id", "at", F.col("r.id").alias("to"), "r.name")
-    ends = refs.join(calls.select(F.col("id").alias("to"), F.col("at").alias("to_at")), "to", "left")
-    missing = ends.where("to_at IS NULL").groupBy("id").agg(F.concat(F.lit("unresolved "), F.min("name")).alias("broken"))
-    ends = stored(ends.where("to_at IS NOT NULL").select("id", "to", (F.col("to_at") >= F.col("at")).alias("forward")))
-    out = calls.select("id", F.lit(0).alias("level")).join(missing, "id", "left")
-    if ends.where("forward").isEmpty():
-        return out
     groups = connected_components(ends.select(F.xxhash64("id").alias("a"), F.xxhash64("to").alias("b")))
     ends = ends.join(groups, F.xxhash64(ends["id"]) == groups["node"]).drop("node")
     most = ends.where("forward").groupBy("root").agg(F.count(F.lit(1)).cast("int").alias("most"))
@@ -202,12 +251,32 @@ def levels(calls: DataFrame) -> DataFrame:
         new = stored(level.join(up, "id", "left").select("id", "most", now.alias("level"), (now > F.col("level")).alias("raised")))
         raised = not new.where("raised").isEmpty()
         level = new.drop("raised")
-    cycle = F.when(F.col("l") > F.col("most"), F.lit("cycle"))
-    out = out.join(level.select("id", F.col("level").alias("l"), "most"), "id", "left")
-    return out.select("id", F.coalesce("l", "level").alias("level"), F.coalesce("broken", cycle).alias("broken"))
+    return level.select("id", F.col("level").alias("l"), (F.col("level") > F.col("most")).alias("cycle"))
+
 
+def levels(calls: DataFrame, whole: int = WHOLE) -> DataFrame:
+    """(id, level, broken) of calls (id, scope, at, refs: structs of id and name): broken names a reference without a call, or a cycle.
 
-def linked(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
+    Level 0 for calls that refer to earlier ones only; a call that refers
+    forward is one above what it refers to. References don't leave their scope,
+    a conversation: one of ``whole`` references at most is ordered in a task,
+    in time of their number however long the chains; larger ones in rounds.
+    """
+    refs = calls.select("id", "scope", "at", F.explode("refs").alias("r")).select("id", "scope", "at", F.col("r.id").alias("to"), "r.name")
+    ends = refs.join(calls.select(F.col("id").alias("to"), F.col("at").alias("to_at")), "to", "left")
+    missing = ends.where("to_at IS NULL").groupBy("id").agg(F.concat(F.lit("unresolved "), F.min("name")).alias("broken"))
+    ends = stored(ends.where("to_at IS NOT NULL").select("scope", "id", "to", (F.col("to_at") >= F.col("at")).alias("forward")))
+    sizes = ends.groupBy("scope").agg(F.count(F.lit(1)).alias("n"), F.bool_or("forward").alias("any")).where("any")
+    ends = stored(ends.join(sizes, "scope"))
+    level = _whole_scopes(ends.where(F.col("n") <= whole))
+    large = ends.where(F.col("n") > whole)
+    if not large.isEmpty():
+        level = level.unionByName(_by_rounds(large.select("id", "to", "forward")))
+    out = calls.select("id").join(missing, "id", "left").join(level, "id", "left")
+    return out.select("id", F.coalesce("l", F.lit(0)).alias("level"), F.coalesce("broken", F.when(F.col("cycle"), "cycle")).alias("broken"))
+
+
+def linked(messages: DataFrame, schemas: dict = SCHEMAS, depth: int = DEPTH, whole: int = WHOLE) -> DataFrame:
     """(conv_id, turn, index, kind, id, tool, level, result_turn, valid, error, record): every call, result and message.
 
     A call's record has its arguments and the earliest result of its
@@ -221,7 +290,7 @@ def linked(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     the four don't matter, whatever their names. An empty table gives no rows.
     """
     refs = F.transform("refs", lambda r: F.struct(scoped(r).alias("id"), r.alias("name")))
-    rows = parsed(messages, schemas).withColumns({"at": F.struct("turn", "index"), "row": F.monotonically_increasing_id(), "sid": scoped(F.col("id")), "refs": refs})
+    rows = parsed(messages, schemas, depth).withColumns({"at": F.struct("turn", "index"), "row": F.monotonically_increasing_id(), "sid": scoped(F.col("id")), "refs": refs})
     rows = stored(rows)
     ident = F.col("id").isNotNull()
     first = rows.where(ident & (F.col("kind") != "message")).groupBy("kind", "sid").agg(F.min(F.struct("at", "row")).alias("f"))
@@ -231,7 +300,7 @@ def linked(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     rows = stored(rows.withColumn("lead", F.coalesce(F.col("row") == F.col("first"), F.lit(False))).drop("first"))
     calls = rows.where((F.col("kind") == "call") & F.col("lead"))
     results = rows.where((F.col("kind") == "result") & F.col("lead"))
-    order = levels(calls.select(F.col("sid").alias("id"), "at", "refs")).withColumnRenamed("id", "sid")
+    order = levels(calls.select(F.col("sid").alias("id"), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("scope"), "at", "refs"), whole).withColumnRenamed("id", "sid")
     answers = results.select("sid", F.col("turn").alias("result_turn"), F.col("result").alias("answer"))
     full = calls.drop("result").join(answers, "sid", "left").join(order, "sid", "left")
     text = lambda c: F.when(F.col(c).isNull(), "null").otherwise(F.expr(f"substring(to_json(struct({c} AS v)), 6, char_length(to_json(struct({c} AS v))) - 6)"))

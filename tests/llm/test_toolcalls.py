@@ -1,4 +1,6 @@
 import json
+import random
+import time
 
 import pytest
 
@@ -96,3 +98,35 @@ def test_the_query_has_levels_and_errors_of_every_kind(spark):
 
 def test_empty_table(spark):
     assert T.query(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def chain(conv, n):
+    return (conv, 0, "assistant", call(*[(f"c{i}", "add", {"a": {"$ref": f"c{i + 1}"} if i + 1 < n else 1, "b": 1}) for i in range(n)]))
+
+
+LOG = "conv_id long, turn long, role string, text string"
+
+
+def test_long_chains_take_no_more_rounds_than_short_ones(spark):
+    def taken(n):
+        began = time.time()
+        rows = T.linked(spark.createDataFrame([chain(1, n), chain(2, 3)], LOG), SCHEMAS).collect()
+        assert {r["id"]: r["level"] for r in rows if r["conv_id"] == 1} == {f"c{i}": n - 1 - i for i in range(n)}
+        return time.time() - began
+
+    taken(20)
+    assert taken(1000) < 3 * taken(20) + 2
+
+
+def test_both_orders_of_a_conversation_agree(spark):
+    rng = random.Random(3)
+    rows = [(c, 0, "assistant", call(*[(f"c{i}", "add", {"a": {"$ref": f"c{rng.randrange(n)}"}, "b": {"$ref": f"c{min(n - 1, i + rng.randrange(1, 4))}"} if rng.random() < 0.7 else 1}) for i in range(n)])) for c, n in enumerate([2, 3, 5, 8, 8, 12])]
+    df = spark.createDataFrame([*rows, chain(9, 6)], LOG)
+    one, many = ({(r["conv_id"], r["id"]): (r["level"], r["error"]) for r in T.linked(df, SCHEMAS, whole=w).collect()} for w in (T.WHOLE, 4))
+    assert one == many and {e for _, e in one.values()} >= {None, "cycle"}
+
+
+def test_depth_is_a_parameter(spark):
+    deep = '{"tool_calls": [{"id": "d", "name": "add", "arguments": {"a": 1, "b": 1, "l": ' + "[" * 150 + "]" * 150 + "}}]}"
+    df = spark.createDataFrame([(1, 0, "assistant", deep)], LOG)
+    assert [T.linked(df, SCHEMAS, depth=d).first()["kind"] for d in (100, 200)] == ["orphan", "call"]
