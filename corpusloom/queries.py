@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions import tokens
 from corpusloom.functions import urls as U
+from corpusloom.functions.automaton import matcher
 from corpusloom.functions.fuzzy import fuzzy_relevance
 from corpusloom.operators import frontier, gates, journal, links, sinks, sites
 from corpusloom.operators.claims import accepted_per_host, in_claim_order
@@ -98,6 +99,14 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def _vocabulary(s: SparkSession, d: str) -> DataFrame:
+    """Every document with how many of the benchmark's words of five letters or more it contains, and which come first and last."""
+    b = s.read.parquet(f"{d}/benchmark.parquet")
+    words = b.select(F.explode(F.split(F.lower("text"), " ")).alias("w")).where(F.col("w").rlike("^[a-z]{5,}$")).distinct().orderBy("w")
+    rows = _docs(s, d).select("doc_id", matcher([r["w"] for r in words.collect()])(F.col("text")).alias("found"))
+    return rows.select("doc_id", F.size("found").alias("n"), F.get("found", F.lit(0)).alias("first"), F.get("found", F.size("found") - 1).alias("last"))
+
+
 def _in_order(s: SparkSession, d: str) -> DataFrame:
     """Documents as pages of their sources' hosts, worked off by id."""
     rows = gates.judged(_page_text(s, d), LOOSE, text=False, **LISTS).withColumn("host", U.host(F.col("url")))
@@ -375,6 +384,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "article_urls": _articles,
         "education_related": _doc(related=lambda t: X.is_education_related(t, None, KEYWORDS, 4), valid=lambda t: X.cleaner_valid(t, KEYWORDS, 100, 2)),
         "run_counters": lambda s, d: sinks.run_counters(_gated(s, d)),
+        "vocabulary_matches": _vocabulary,
         "token_counts": lambda s, d: _docs(s, d).select("doc_id", tokens.counter(ranks_path())(F.col("text")).alias("tokens")),
         "run_tokens": lambda s, d: sinks.run_counters(_gated(s, d), tokens.counter(ranks_path())),
         "claim_order_gates": lambda s, d: _in_order(s, d).select(F.col("id").alias("doc_id"), "reject_reason"),

@@ -229,6 +229,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS pages, count(*) FILTER (reject_reason IS NULL) AS accepted, count(*) FILTER (reject_reason IS NOT NULL) AS rejected, (SELECT coalesce(sum(tokens), 0)::BIGINT FROM counts) AS tokens FROM gated""",
     }
     return (counted if path else {}) | {
+        "vocabulary_matches": """WITH words AS (SELECT DISTINCT w FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM benchmark) WHERE regexp_full_match(w, '[a-z]{5,}')),
+            found AS (SELECT doc_id, count(*) AS n, min(w) AS a, max(w) AS z FROM documents JOIN words ON contains(lower(text), w) GROUP BY doc_id)
+            SELECT d.doc_id, coalesce(n, 0)::INTEGER AS n, a AS first, z AS last FROM documents d LEFT JOIN found USING (doc_id)""",
         "claim_order_gates": f"WITH RECURSIVE {IN_ORDER} SELECT doc_id, reject_reason FROM fold WHERE n > 0",
         "host_successes": f"WITH RECURSIVE {IN_ORDER} SELECT host, count(*) AS n FROM fold WHERE n > 0 AND reject_reason IS NULL GROUP BY host",
         "url_normalize": f"WITH {NORMALIZED} SELECT page_id, normalized, sha256(normalized) AS url_hash, {HOST.format('url')} AS host FROM norm",
