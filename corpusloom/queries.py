@@ -23,7 +23,7 @@ from corpusloom.operators.dedupe import cap_per_key, first_of_key, keep_first, n
 from corpusloom.operators.extract import titles
 from corpusloom.plans import crawl, discovery
 from corpusloom.settings import Settings
-from corpusloom.sources import readers, sitemap
+from corpusloom.sources import archive, readers, sitemap
 from corpusloom.storage import shared_dir, spread
 from corpusloom.streaming import crawl_stream
 
@@ -233,6 +233,24 @@ def _crawl(s: SparkSession, d: str) -> DataFrame:
     return rows.select("id", "host", "extraction_source", "reject_reason", "fingerprint")
 
 
+def _archived(s: SparkSession, d: str) -> DataFrame:
+    """The pages from an archive that they were written to: some not found, some records cut off; ids stand in the URLs."""
+    folder = f"{shared_dir(s).rstrip('/')}/archive-{uuid.uuid4().hex}"
+    status = F.when(F.col("page_id") % 7 == 3, 404).otherwise(200)
+    lost = F.when(F.col("page_id") % 11 == 5, 1000).otherwise(0)
+    url = F.concat("url", F.lit("#"), F.col("page_id").cast("string"))
+    archive.write_archive(_pages(s, d).select(archive.record(url, status, F.col("html"), lost=lost).alias("value")), folder)
+    return archive.archived_pages(s, folder).withColumn("id", F.substring_index("url", "#", -1).cast("long"))
+
+
+def _archive_crawl(s: SparkSession, d: str) -> DataFrame:
+    """The crawl of the archived pages, with what every fourth page would be known by seen before."""
+    pages = _archived(s, d)
+    known = gates.judged(crawl.extracted_pages(pages.where("id % 4 = 0")), text=False, failed="fetch_error", **LISTS).where("early IS NULL").select("fingerprint")
+    rows = crawl.curated(pages, s=Settings(domain_cap=5), text=False, seen=known, **LISTS)
+    return rows.select("id", "host", "reject_reason")
+
+
 def _cleaner(s: SparkSession, d: str) -> DataFrame:
     return journal.cleaner_records(_pages(s, d), KEYWORDS).select("url", "source", "word_count", "level", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha"))
 
@@ -347,6 +365,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_title": lambda s, d: titles(_pages(s, d)).select("page_id", "title"),
         "page_extract": lambda s, d: crawl.extracted_pages(_pages(s, d).withColumnRenamed("page_id", "id")).select("id", "title", "extraction_source", X.word_count(F.col("content")).alias("words")),
         "crawl_pipeline": _crawl,
+        "archive_pages": lambda s, d: _archived(s, d).groupBy("status", "error").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("html")).alias("chars")),
+        "archive_crawl": _archive_crawl,
         "cleaner_process": _cleaner,
         "experiment_records": lambda s, d: journal.experiment_records(_pages(s, d), keywords=KEYWORDS, science=["the tion"], common=COMMON).select("url", "title", "word_count", "metadata.relevance_score"),
         "tag_urls": lambda s, d: discovery.tag_urls(_phrases(s, d)),

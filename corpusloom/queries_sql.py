@@ -229,6 +229,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS pages, count(*) FILTER (reject_reason IS NULL) AS accepted, count(*) FILTER (reject_reason IS NOT NULL) AS rejected, (SELECT coalesce(sum(tokens), 0)::BIGINT FROM counts) AS tokens FROM gated""",
     }
     return (counted if path else {}) | {
+        "archive_pages": """SELECT CASE WHEN page_id % 11 = 5 THEN NULL WHEN page_id % 7 = 3 THEN 404 ELSE 200 END::INTEGER AS status, CASE WHEN page_id % 11 = 5 THEN 'record of another length' END AS error,
+            count(*) AS n, sum(CASE WHEN page_id % 11 <> 5 THEN length(html) END)::BIGINT AS chars FROM pages GROUP BY 1, 2""",
+        "archive_crawl": f"""WITH {ARTICLES}, fetched AS (SELECT * FROM articles WHERE page_id % 11 <> 5 AND page_id % 7 <> 3), documents AS (SELECT page_id AS doc_id, url, title, source, text FROM fetched), {_gated("title", Settings())},
+            known AS (SELECT DISTINCT fp FROM gated WHERE e IS NULL AND doc_id % 4 = 0),
+            settled AS (SELECT doc_id, url, CASE WHEN e IS NULL AND fp IN (SELECT fp FROM known) THEN 'duplicate_content' ELSE reject_reason END AS reject_reason FROM gated),
+            hosts AS (SELECT *, {HOST.format("url")} AS host, row_number() OVER (PARTITION BY {HOST.format("url")}, reject_reason IS NULL ORDER BY doc_id) AS nth FROM settled)
+            SELECT doc_id AS id, host, CASE WHEN reject_reason IS NULL AND nth > 5 THEN 'domain_cap:' || host ELSE reject_reason END AS reject_reason FROM hosts
+            UNION ALL SELECT page_id, {HOST.format("url")}, CASE WHEN page_id % 11 = 5 THEN 'fetch:record of another length' ELSE 'HTTP 404' END FROM pages WHERE page_id % 11 = 5 OR page_id % 7 = 3""",
         "vocabulary_matches": """WITH words AS (SELECT DISTINCT w FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM benchmark) WHERE regexp_full_match(w, '[a-z]{5,}')),
             found AS (SELECT doc_id, count(*) AS n, min(w) AS a, max(w) AS z FROM documents JOIN words ON contains(lower(text), w) GROUP BY doc_id)
             SELECT d.doc_id, coalesce(n, 0)::INTEGER AS n, a AS first, z AS last FROM documents d LEFT JOIN found USING (doc_id)""",

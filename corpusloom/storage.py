@@ -27,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
 #: Bytes of an input, by its files, that :func:`spread` may deal out.
 SMALL = 256 << 20
 #: What the library's queries leave in the shared folder.
-LEFT = ("media-", "pipeline-", "stream-")
+LEFT = ("archive-", "media-", "pipeline-", "stream-")
 
 
 def spread(df: DataFrame) -> DataFrame:
