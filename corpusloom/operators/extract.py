@@ -3,8 +3,8 @@
 A :class:`SiteRule` says where a site's article is, what to drop in it, and how
 its elements become markdown; :func:`run_rule` is the only interpreter. The
 cascade tries, in order: the manifest's body selector, the site's rule, generic
-selectors and the largest block, an article in a script variable, and a density
-heuristic. HTML is parsed once a page, and Python is entered once.
+selectors and the largest block, an article in a script variable, and the
+stretches of text that are worth most. HTML is parsed once a page, and Python is entered once.
 """
 
 from __future__ import annotations
@@ -25,6 +25,11 @@ from corpusloom.operators.dom import Node
 BOILERPLATE = ("script", "style", "nav", "footer", "header", "aside", "noscript", "form")
 BLOCK_TAGS = ("article", "main", "div", "section")
 MAX_BLOCKS = 800
+#: What a block of text is worth at least to be part of an article, and what opening one more stretch costs, in words.
+LEAST_WORDS, OPENING = {"p": 2, "pre": 2, "blockquote": 2, "li": 6, "td": 12, "div": 12, "article": 12, "section": 12, "main": 12}, 40
+#: Parts of a page that are no article, by their names, classes or ids.
+ASIDE = re.compile(r"(?i)\b(?:comment|komentar|disqus|respond|related|terkait|sidebar|share|social|promo|advert|ads?|breadcrumb|menu|widget|tags)\b")
+TEXT_BLOCKS = ("p", "pre", "blockquote", "li", "td", "div", "article", "section", "main", "h2", "h3", "h4")
 
 
 @dataclass(frozen=True)
@@ -169,29 +174,73 @@ def script_variable(root: Node, name: str = SCRIPT_VARIABLE) -> str:
         except (ValueError, SyntaxError, RecursionError):
             value = None
         body = dom.parse(value or html_lib.unescape(raw.strip('"')))
-        text = density(body) or body.text("\n")
+        text = readable(body) or body.text("\n")
         if text.strip():
             return text.strip()
     return ""
 
 
-def density(root: Node, least: int = 25) -> str:
-    """Paragraphs of the element whose own text is longest and least made of links; a stand-in for readability."""
-    dom.drop(root, [*BOILERPLATE, "table", ".comments", "#comments"])
-    scores: dict[int, tuple[float, Node]] = {}
-    for p in root.find_all(["p", "pre", "blockquote"]):
-        text = p.text(" ")
-        if len(text) < least or p.parent is None:
-            continue
-        linked = sum(len(a.text(" ")) for a in p.find_all(["a"]))
-        gain = (len(text) - 2 * linked) / 100 + text.count(",")
-        for up, share in ((p.parent, 1.0), (p.parent.parent, 0.5)):
-            if up is not None:
-                scores[id(up)] = (scores.get(id(up), (0.0, up))[0] + gain * share, up)
-    if not scores:
+def _blocks(root: Node) -> list[tuple[str, str, float, bool, Node | None]]:
+    """(name, text, share of it in links, whether it stands aside, parent) of the innermost blocks, in order."""
+    out, stack = [], [(root, False)]
+    while stack:
+        node, aside = stack.pop()
+        aside = aside or node.name in ("table", "aside", "form", "figure") or bool(ASIDE.search(" ".join((*node.classes, node.attrs.get("id", "")))))
+        inner = node.name in TEXT_BLOCKS and not any(n.name in TEXT_BLOCKS or n.name in dom.BLOCKS for n in node.walk())
+        if inner:
+            text = node.text(" ")
+            if text:
+                out.append((node.name, text, sum(len(a.text(" ")) for a in node.find_all(["a"])) / len(text), aside, node.parent))
+        else:
+            stack.extend((c, aside) for c in reversed(node.elements()))
+    return out
+
+
+def readable(root: Node) -> str:
+    """The article's blocks: the stretches of blocks that are worth most together.
+
+    A block is worth its words, those in links against it, less what its kind
+    needs at least; headings are worth nothing by themselves; tables, comments
+    and other things aside count against a stretch and are left out of it. Any
+    number of stretches may be chosen, by dynamic programming in one pass, but
+    each further one costs ``OPENING``, so an article that something divides
+    comes whole, and a teaser far from it does not come along. Paragraphs of a
+    few words beside a stretch belong to it.
+    """
+    dom.drop(root, BOILERPLATE)
+    blocks = _blocks(root)
+    worth = []
+    for name, text, linked, aside, _ in blocks:
+        words = len(text.split()) * (1 - 2 * linked)
+        worth.append(-1.0 - max(0.0, words) / 4 if aside else -0.5 if name[0] == "h" else words - LEAST_WORDS[name])
+    # best sums of choices that end inside a stretch, and outside of any; whence the inside came
+    inside, outside, opened, left = -float("inf"), 0.0, [], []
+    for i, value in enumerate(worth):
+        opened.append(outside - (OPENING if i and outside > 0 else 0) > inside)
+        before = inside
+        inside = max(inside, outside - (OPENING if i and outside > 0 else 0)) + value
+        left.append(before > outside)
+        outside = max(outside, before)
+    if max(inside, outside) <= 0:
         return ""
-    _, best = max(scores.values(), key=lambda x: x[0])
-    return "\n".join(t for t in (n.text(" ") for n in best.find_all(["p", "pre", "blockquote", "h2", "h3", "li"])) if t)
+    chosen, within = [], inside > outside
+    for i in range(len(blocks) - 1, -1, -1):
+        if within:
+            chosen.append(i)
+            within = not opened[i]
+        else:
+            within = left[i]
+    taken = set(chosen)
+    for step in (1, -1):  # few words beside a stretch, in the same element, are of it
+        for i in sorted(chosen, reverse=step < 0):
+            while 0 <= i + step < len(blocks) and i + step not in taken and _goes_on(blocks[i], blocks[i + step]):
+                i += step
+                taken.add(i)
+    return "\n".join(blocks[i][1] for i in sorted(taken) if not blocks[i][3])
+
+
+def _goes_on(block: tuple, beside: tuple) -> bool:
+    return beside[4] is block[4] and not beside[3] and beside[0] in ("p", "pre", "blockquote") and beside[2] < 0.5
 
 
 def title_of(root: Node, selector: str = "") -> str:
@@ -236,7 +285,7 @@ def extract_page(html: str | None, method: str | None = "", selectors: dict | No
         holder.children.append(n)
         if text := script_variable(holder):
             return out | {"content": text, "source": f"script:{SCRIPT_VARIABLE}"}
-    text = density(dom.parse(html))
+    text = readable(dom.parse(html))
     return out | {"content": text, "source": "density" if text else "none"}
 
 
@@ -261,7 +310,7 @@ def extract(pages: DataFrame, html_col: str = "html", persisted_col: str | None
 
 
 def read_rendered(html: str | None) -> dict:
-    """content, source and selector of a page as a browser shows it: generic rules, script variable, density."""
+    """content, source and selector of a page as a browser shows it: generic rules, script variable, stretches of text."""
     out = {"content": "", "source": "none", "selector": None}
     if not html:
         return out
@@ -270,7 +319,7 @@ def read_rendered(html: str | None) -> dict:
         return out | {"content": text, "source": f"css:{used}", "selector": used}
     if text := script_variable(dom.parse(html)):
         return out | {"content": text, "source": f"script:{SCRIPT_VARIABLE}"}
-    text = density(dom.parse(html))
+    text = readable(dom.parse(html))
     return out | {"content": text, "source": "density" if text else "none"}
 
 

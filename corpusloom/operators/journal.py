@@ -51,12 +51,12 @@ def cleaner_records(pages: DataFrame, terms: Sequence[str] = V.CLEANER_WORDS, mi
 
 
 def experiment_records(pages: DataFrame, s: Settings = Settings(), keywords: Sequence[str] = V.TARGET_KEYWORDS, science: Sequence[str] = V.SCIENCE_TERMS, common: Sequence[str] = V.COMMON_WORDS) -> DataFrame:
-    """Records of pages (url, html) by density extraction: long, good, in the language, relevant exactly or nearly."""
+    """Records of pages (url, html) by the page's stretches of text: long, good, in the language, relevant exactly or nearly."""
 
     @F.udf("title string, content string", useArrow=True)
     def read(html):
         root = E.dom.parse(html or "")
-        return {"title": E.title_of(root), "content": E.density(root)}
+        return {"title": E.title_of(root), "content": E.readable(root)}
 
     rows = pages.select("url", read("html").alias("m")).select("url", "m.title", X.normalize_text(F.col("m.content")).alias("content"))
     rows = rows.where(F.char_length("content") >= 100).withColumn("quality", X.extraction_quality(F.col("content"), F.col("title")))
