@@ -209,7 +209,7 @@ def _under(host: str, domains: list[str]) -> str:
     return "(" + " OR ".join(f"{host} = {_q(d)} OR ends_with({host}, {_q('.' + d)})" for d in domains) + ")"
 
 
-#: Pages as articles: paragraphs after the heading; below 40 words by the density rule, which needs one of 25 characters.
+#: Pages as articles: paragraphs after the heading; below 40 words by stretches of text, here where one has 25 characters.
 ARTICLES = f"""parts AS (SELECT page_id, url, {BARE.format(r"regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")} AS t, regexp_extract(html, '(?is)<article>(.*)</article>', 1) AS article FROM pages),
 texts AS (SELECT page_id, url, trim(t) AS title, {COUNT.format(BARE.format("article"))} >= 40 AS long,
   list_filter(list_transform(string_split(regexp_replace(article, '(?is)^.*?</h1>', ''), '<p>'), lambda x: {STRIP.format(BARE.format("x"))}), lambda x: x <> '') AS ps FROM parts),
