@@ -22,7 +22,7 @@ def first_of_key(df: DataFrame, key: Sequence[str], order: Sequence[str], name:
     return both.select(*[df[c] for c in df.columns], (F.struct(*[df[o] for o in order]) == F.col("__least")).alias(name))
 
 
-def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key: a bounded window that is limited before the shuffle."""
     by = W.partitionBy(*key).orderBy(*order)
     return df.withColumn("__n", F.row_number().over(by)).where(F.col("__n") == 1).drop("__n")

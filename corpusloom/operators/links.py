@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import urls as U
-from corpusloom.operators.dedupe import ordered_distinct
+from corpusloom.operators.dedupe import keep_first, ordered_distinct
 from corpusloom.settings import Settings
 from corpusloom.storage import stored
 
@@ -83,9 +83,10 @@ def paginated(first: DataFrame, pages: DataFrame, s: Settings = Settings()) -> D
     has no content ends its chain.
     """
     chain = first.select("url", F.array("content").alias("parts"), F.array("url").alias("seen"), F.col("next_url").alias("at"))
-    table = pages.select(F.col("url").alias("__u"), F.col("content").alias("__c"), F.col("next_url").alias("__n")).dropDuplicates(["__u"])
+    table = pages.select(F.col("url").alias("__u"), F.col("content").alias("__c"), F.col("next_url").alias("__to"))
+    table = keep_first(table, ["__u"], [F.col("__c").isNull(), "__c", "__to"])
     for _ in range(max(0, s.max_pagination - 1)):
         go = F.col("at").isNotNull() & ~F.array_contains("seen", F.coalesce("at", F.lit(""))) & (F.coalesce("__c", F.lit("")) != "")
         both = chain.join(table, chain["at"] == table["__u"], "left").withColumn("go", F.coalesce(go, F.lit(False)))
-        chain = stored(both.select("url", F.when(F.col("go"), F.concat("parts", F.array("__c"))).otherwise(F.col("parts")).alias("parts"), F.when(F.col("go"), F.concat("seen", F.array("at"))).otherwise(F.col("seen")).alias("seen"), F.when(F.col("go"), F.col("__n")).alias("at")))
+        chain = stored(both.select("url", F.when(F.col("go"), F.concat("parts", F.array("__c"))).otherwise(F.col("parts")).alias("parts"), F.when(F.col("go"), F.concat("seen", F.array("at"))).otherwise(F.col("seen")).alias("seen"), F.when(F.col("go"), F.col("__to")).alias("at")))
     return chain.select("url", F.array_join("parts", "\n\n").alias("content"), F.size("parts").alias("n_pages"))

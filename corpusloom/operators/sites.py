@@ -44,5 +44,7 @@ def _suffix(urls: DataFrame, domains: DataFrame, url_col: str, domain_col: str,
 
 
 def with_selector(urls: DataFrame, cache: DataFrame, url_col: str = "url") -> DataFrame:
-    """``urls`` with the cached selector of their host (domain, selector), null if none."""
+    """``urls`` with the cached selector of their host (domain, selector), null if none; of several the latest by ``last_seen``, if there is one."""
+    order = F.struct("last_seen", "selector") if "last_seen" in cache.columns else F.col("selector")
+    cache = cache.groupBy("domain").agg(F.max_by("selector", order).alias("selector"))
     return urls.withColumn("domain", U.host(F.col(url_col))).join(cache.select("domain", "selector"), "domain", "left")

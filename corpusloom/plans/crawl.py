@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import urls as U
 from corpusloom.operators import frontier
 from corpusloom.operators.claims import Settled, in_claim_order
-from corpusloom.operators.dedupe import cap_per_key
+from corpusloom.operators.dedupe import cap_per_key, keep_first
 from corpusloom.operators.extract import extract
 from corpusloom.operators.gates import gated, judged
 from corpusloom.operators.links import absolute, paginated
@@ -49,7 +49,8 @@ def extracted_pages(pages: DataFrame, sites: DataFrame | None = None, selectors:
     if sites is None or "selectors" not in sites.columns or sites.where(F.coalesce(F.col("selectors")["next_page"], F.lit("")) != "").isEmpty():
         return out.drop("next_page")
     out = stored(out.withColumn("next_url", F.when(F.col("next_page").isNotNull(), absolute("url", "next_page"))).drop("next_page"))
-    begin = out.where(F.col("next_url").isNotNull()).select("url", "content", "next_url").dropDuplicates(["url"])
+    begin = out.where(F.col("next_url").isNotNull()).select("url", "content", "next_url")
+    begin = keep_first(begin, ["url"], [F.col("content").isNull(), "content", "next_url"])
     chains = paginated(begin, out.select("url", "content", "next_url"), s).where("n_pages > 1").select(F.col("url").alias("__u"), F.col("content").alias("__c"), "n_pages")
     both = out.drop("next_url").join(chains, out["url"] == chains["__u"], "left")
     source = F.concat("extraction_source", F.coalesce(F.concat(F.lit("+pagination:"), F.col("n_pages").cast("string")), F.lit("")))

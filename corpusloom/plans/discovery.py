@@ -10,6 +10,7 @@ from corpusloom.functions import urls as U
 from corpusloom.functions import vocabulary as V
 from corpusloom.operators.dedupe import ordered_distinct
 from corpusloom.settings import Settings
+from corpusloom.storage import stored
 
 
 def site_queries(keywords: DataFrame, site: str, s: Settings = Settings()) -> DataFrame:
@@ -63,10 +64,15 @@ def search_tasks(spark: SparkSession, only_domain: str | None = None, phrases: D
 
 
 def _numbered(tasks: DataFrame) -> DataFrame:
-    """Places 0, 1, … by ``pos``: a list that is small by the limits above goes through one window."""
+    """Places 0, 1, … by ``pos``, of lists of any length: places inside ranges of ``pos``, and a sum over the ranges' sizes."""
     from pyspark.sql import Window as W
 
-    return tasks.withColumn("idx", F.row_number().over(W.orderBy("pos")) - 1).select("idx", "search_url", "engine")
+    rows = stored(tasks.repartitionByRange(F.col("pos")).withColumn("part", F.spark_partition_id()))
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.join(sizes.select("part", before.alias("before")), "part")
+    place = F.row_number().over(W.partitionBy("part").orderBy("pos")) - 1 + F.col("before")
+    return rows.select(place.cast("int").alias("idx"), "search_url", "engine")
 
 
 def batch(tasks: DataFrame, at: int, size: int = 6) -> tuple[DataFrame, int]:

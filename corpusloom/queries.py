@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
@@ -301,6 +302,17 @@ def _search_results(s: SparkSession, d: str) -> DataFrame:
     return found.groupBy("page", "url").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _tag_pages(s: SparkSession, d: str) -> DataFrame:
+    """A tag page for each host, whose links are articles of two sections, other pages and other sites, and the place of each article there."""
+    p = _pages(s, d).select("page_id", U.host(F.col("url")).alias("host"))
+    base = F.get(F.array(*map(F.lit, ["https://www.kompas.com/read/", "https://www.kompas.com/edu/read/", "https://www.kompas.com/tag/", "https://www.kompas.com/skola/read/", "https://example.org/read/"])), (F.col("page_id") % 5).cast("int"))
+    tag = F.concat(F.lit('<a href="'), base, F.col("page_id").cast("string"), F.lit('">x</a>'))
+    html = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", tag.alias("tag")))), lambda x: x["tag"]), "")
+    pages = p.groupBy("host").agg(html.alias("html")).select(F.lit("kompas_tag").alias("engine"), F.concat(F.lit("https://www.kompas.com/tag/"), "host").alias("search_url"), "html")
+    found = links.search_links(pages)
+    return found.select("page", "url", F.row_number().over(W.partitionBy("page").orderBy("pos")).cast("int").alias("place"))
+
+
 def _pagination(s: SparkSession, d: str) -> DataFrame:
     """Conversations as articles: each turn is a page that leads to the next turn's."""
     c = s.read.parquet(f"{d}/conversations.parquet")
@@ -365,6 +377,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_title": lambda s, d: titles(_pages(s, d)).select("page_id", "title"),
         "page_extract": lambda s, d: crawl.extracted_pages(_pages(s, d).withColumnRenamed("page_id", "id")).select("id", "title", "extraction_source", X.word_count(F.col("content")).alias("words")),
         "crawl_pipeline": _crawl,
+        "tag_tasks": lambda s, d: discovery.search_tasks(s, "www.kompas.com", _phrases(s, d)).select("idx", "search_url", "engine"),
+        "tag_page_links": _tag_pages,
         "archive_pages": lambda s, d: _archived(s, d).groupBy("status", "error").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("html")).alias("chars")),
         "archive_crawl": _archive_crawl,
         "cleaner_process": _cleaner,

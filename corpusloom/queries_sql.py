@@ -229,6 +229,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS pages, count(*) FILTER (reject_reason IS NULL) AS accepted, count(*) FILTER (reject_reason IS NOT NULL) AS rejected, (SELECT coalesce(sum(tokens), 0)::BIGINT FROM counts) AS tokens FROM gated""",
     }
     return (counted if path else {}) | {
+        "tag_tasks": rf"""WITH {PHRASES}, s AS (SELECT pos, substring(trim(regexp_replace(lower(phrase), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80) AS slug FROM phrases), t AS (SELECT min(pos) AS pos, slug FROM s WHERE slug <> '' GROUP BY slug)
+            SELECT (row_number() OVER (ORDER BY pos) - 1)::INTEGER AS idx, 'https://www.kompas.com/tag/' || slug AS search_url, 'kompas_tag' AS engine FROM t""",
+        "tag_page_links": f"""WITH p AS (SELECT page_id, {HOST.format("url")} AS host, page_id % 5 AS k FROM pages)
+            SELECT 'https://www.kompas.com/tag/' || host AS page, CASE k WHEN 0 THEN 'https://www.kompas.com/read/' WHEN 1 THEN 'https://www.kompas.com/edu/read/' ELSE 'https://www.kompas.com/skola/read/' END || page_id AS url,
+              row_number() OVER (PARTITION BY host ORDER BY k = 0, page_id)::INTEGER AS place FROM p WHERE k IN (0, 1, 3)""",
         "archive_pages": """SELECT CASE WHEN page_id % 11 = 5 THEN NULL WHEN page_id % 7 = 3 THEN 404 ELSE 200 END::INTEGER AS status, CASE WHEN page_id % 11 = 5 THEN 'record of another length' END AS error,
             count(*) AS n, sum(CASE WHEN page_id % 11 <> 5 THEN length(html) END)::BIGINT AS chars FROM pages GROUP BY 1, 2""",
         "archive_crawl": f"""WITH {ARTICLES}, fetched AS (SELECT * FROM articles WHERE page_id % 11 <> 5 AND page_id % 7 <> 3), documents AS (SELECT page_id AS doc_id, url, title, source, text FROM fetched), {_gated("title", Settings())},
