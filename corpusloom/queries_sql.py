@@ -229,6 +229,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS pages, count(*) FILTER (reject_reason IS NULL) AS accepted, count(*) FILTER (reject_reason IS NOT NULL) AS rejected, (SELECT coalesce(sum(tokens), 0)::BIGINT FROM counts) AS tokens FROM gated""",
     }
     return (counted if path else {}) | {
+        "experiment_records": f"""WITH {ARTICLES}, read AS (SELECT url, title, {SQUEEZE.format("array_to_string(ps, chr(10))")} AS c FROM articles), good AS (SELECT *, len({_hits("c", KEYWORDS)})::INTEGER AS relevance_score FROM read WHERE length(c) >= 100)
+            SELECT url, title, {COUNT.format("c")}::INTEGER AS word_count, relevance_score FROM good WHERE {_quality("c", "title")} >= 0.7 AND {_language("c", 0.02)} AND relevance_score >= 1""",
+        "cleaner_process": rf"""WITH whole AS (SELECT url, regexp_extract(html, '(?is)<article>(.*)</article>', 1) AS article, regexp_extract(html, '(?is)<body[^>]*>(.*)</body>', 1) AS body FROM pages),
+            chosen AS (SELECT url, CASE WHEN {COUNT.format(BARE.format("article"))} > 30 THEN article ELSE replace(replace(regexp_replace(regexp_replace(body, '(?is)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?is)<!--.*?-->', '', 'g'), '&copy;', '©'), '&middot;', '·') END AS h FROM whole),
+            lines AS (SELECT url, {BARE.format("h").replace("'<[^>]*>', ' '", "'<[^>]*>', chr(10)")} AS text FROM chosen), done AS (SELECT url, array_to_string({CLEANER}, chr(10)) AS t FROM lines)
+            SELECT url, split_part(url, '/', 3) AS source, {COUNT.format("t")}::INTEGER AS word_count, {_q(V.OTHER_LEVEL)} AS level, sha256(t) AS text_sha FROM done WHERE {COUNT.format("t")} >= 30 AND len({_hits("t", KEYWORDS)}) >= 1""",
         "tag_tasks": rf"""WITH {PHRASES}, s AS (SELECT pos, substring(trim(regexp_replace(lower(phrase), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80) AS slug FROM phrases), t AS (SELECT min(pos) AS pos, slug FROM s WHERE slug <> '' GROUP BY slug)
             SELECT (row_number() OVER (ORDER BY pos) - 1)::INTEGER AS idx, 'https://www.kompas.com/tag/' || slug AS search_url, 'kompas_tag' AS engine FROM t""",
         "tag_page_links": f"""WITH p AS (SELECT page_id, {HOST.format("url")} AS host, page_id % 5 AS k FROM pages)
