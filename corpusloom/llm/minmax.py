@@ -55,6 +55,8 @@ class Scheme:
     rows: int = 5
     chunk: int = 2048
     weight: int = 1 << 19
+    #: Edges that one task may join (:func:`corpusloom.llm.components.connected_components`).
+    whole: int = 0
     #: Whether rows get a SimHash fingerprint over as many words, too.
     fingerprints: bool = False
 
@@ -240,13 +242,13 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sch
     sets = stored(rows.groupBy("__set").agg(smallest().alias("__b"), F.count(F.lit(1)).alias("__k"), F.min("__n").alias("__n"), F.min("__sig").alias("__sig"), F.min("__keys").alias("__keys"), F.min("__fp").alias("__fp")))
     edges = candidates(sets, scheme)
     edges = stored(edges if more is None else edges.unionByName(more(sets.select("__set", "__n", "__fp"))))
-    roots = connected_components(edges).select(F.col("node").alias("__set"), F.col("root").alias("__root"))
+    roots = connected_components(edges, scheme.whole).select(F.col("node").alias("__set"), F.col("root").alias("__root"))
     named = stored(sets.join(roots, "__set").select("__root", "__set", "__n", "__sig", F.col("__b.i").alias("__id"), F.col("__b.t").alias("__th")))
     named = named.join(named.groupBy("__root").agg(F.sum("__n").alias("__w")), "__root")
     texts = docs.select(F.col(id_col).alias("__i"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")).withColumn("__t", F.xxhash64("__text"))
     members = texts.join(named, texts["__i"].eqNullSafe(named["__id"]) & (texts["__t"] == named["__th"]))
     members = members.select("__root", "__w", "__set", "__sig", F.col("__text").cast("binary").alias("__text"))
-    links = connected_components(stored(verified(members, scheme))).select(F.col("node").alias("__set"), "root")
+    links = connected_components(stored(verified(members, scheme)), scheme.whole).select(F.col("node").alias("__set"), "root")
     sets = sets.join(links, "__set", "left").select("__set", "__b", "__k", "__n", F.coalesce("root", F.xxhash64("__set")).alias("__group"))
     return rows.select("__id", "__th", "__set", "__n"), sets
 

@@ -20,7 +20,7 @@ from corpusloom.storage import stored
 
 SHINGLE = 5
 LEAST = 4, 5
-SCHEME = minmax.Scheme(words=SHINGLE, least=LEAST, permutations=80, fingerprints=True)
+SCHEME = minmax.Scheme(words=SHINGLE, least=LEAST, permutations=80, whole=1 << 18, fingerprints=True)
 
 
 def close_fingerprints(sets: DataFrame, max_bits: int = simhash.MAX_BITS) -> DataFrame:

@@ -52,7 +52,7 @@ def test_stage_keeps_one_of_each_group_of_similar_texts(spark):
 def test_heavy_groups_are_cut_into_cells_without_loss(spark):
     rows = corpus(12)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r["i"] for r in near.groups(df, scheme=replace(near.SCHEME, weight=500, chunk=4)).select(F.col("__b.i").alias("i")).collect()} == brute(rows)
+    assert {r["i"] for r in near.groups(df, scheme=replace(near.SCHEME, weight=500, chunk=4, whole=7)).select(F.col("__b.i").alias("i")).collect()} == brute(rows)
 
 
 def test_recall_on_planted_pairs(spark):

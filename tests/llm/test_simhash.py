@@ -95,3 +95,15 @@ def test_chains_and_stars(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.query(df).count() == 0 and simhash.one_of_each(df).count() == 0
+
+
+def test_components_by_one_task_are_those_by_rounds(spark):
+    rng = np.random.default_rng(8)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(1000 + i, 1001 + i) for i in range(40)] + [(7, 7)]
+    df, parts = spark.createDataFrame(edges, "a long, b long"), []
+    for whole in (0, 50, 10_000):
+        by = {}
+        for r in connected_components(df, whole).collect():
+            by.setdefault(r["root"], set()).add(r["node"])
+        parts.append(sorted(map(sorted, by.values())))
+    assert parts[0] == parts[1] == parts[2] and sum(map(len, parts[0])) == len({x for e in edges for x in e})
