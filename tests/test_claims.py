@@ -69,9 +69,9 @@ def test_crawl_plan_in_order(spark):
     page = lambda i, host, k: (i, f"https://{host}/a/{i}", f"<title>Judul {i}</title><article><p>{text(k)}</p></article>")
     pages = spark.createDataFrame([page(1, "a.id", 1), page(2, "a.id", 2), page(3, "b.id", 2), page(4, "b.id", 1)], "id long, url string, html string")
     s = Settings(domain_cap=1, min_quality=0.0)
-    got = {r["id"]: r["reject_reason"] for r in crawl.curated_in_order(pages, s=s).rows.collect()}
+    got = {r["id"]: r["reject_reason"] for r in crawl.curated_in_order(pages, s=s, keywords=["guru"]).rows.collect()}
     assert got == {1: None, 2: "domain_cap:a.id", 3: None, 4: "domain_cap:b.id"}
-    plain = {r["id"]: r["reject_reason"] for r in crawl.curated(pages, s=s).collect()}
+    plain = {r["id"]: r["reject_reason"] for r in crawl.curated(pages, s=s, keywords=["guru"]).collect()}
     assert plain[3] == "duplicate_content"  # there a page beyond the cap has left its fingerprint
 
 
