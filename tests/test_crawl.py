@@ -295,11 +295,13 @@ def test_sql_names(spark):
 def test_clear_removes_what_queries_left(spark):
     from pathlib import Path
     from urllib.parse import urlparse
+    from uuid import uuid4
 
     from corpusloom import storage
 
     base = Path(urlparse(storage.shared_dir(spark)).path)
-    for name in ("pipeline-t1", "media-t2", "stream-t3", "own"):
+    own = f"own-{uuid4().hex}"  # the folder may be one that other runs have used
+    for name in ("pipeline-t1", "media-t2", "stream-t3", own):
         (base / name / "a").mkdir(parents=True)
     gone = storage.clear(spark)
-    assert {"pipeline-t1", "media-t2", "stream-t3"} <= set(gone) and (base / "own").exists() and not (base / "media-t2").exists()
+    assert {"pipeline-t1", "media-t2", "stream-t3"} <= set(gone) and (base / own).exists() and not (base / "media-t2").exists()
