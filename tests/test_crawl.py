@@ -302,6 +302,6 @@ def test_clear_removes_what_queries_left(spark):
     base = Path(urlparse(storage.shared_dir(spark)).path)
     own = f"own-{uuid4().hex}"  # the folder may be one that other runs have used
     for name in ("pipeline-t1", "media-t2", "stream-t3", own):
-        (base / name / "a").mkdir(parents=True)
+        (base / name / "a").mkdir(parents=True, exist_ok=True)
     gone = storage.clear(spark)
     assert {"pipeline-t1", "media-t2", "stream-t3"} <= set(gone) and (base / own).exists() and not (base / "media-t2").exists()
