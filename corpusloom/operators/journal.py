@@ -11,6 +11,7 @@ from corpusloom.functions import text as X
 from corpusloom.functions import urls as U
 from corpusloom.functions import vocabulary as V
 from corpusloom.functions.fuzzy import fuzzy_relevance
+from corpusloom.functions.slices import by_slices
 from corpusloom.operators import extract as E
 from corpusloom.operators.links import absolute
 from corpusloom.settings import Settings
@@ -18,12 +19,8 @@ from corpusloom.settings import Settings
 
 def journal_pages(pages: DataFrame, domains: Sequence[str] = V.JOURNAL_DOMAINS, terms: Sequence[str] = V.JOURNAL_WORDS) -> DataFrame:
     """(url, title, authors, abstract, links) of relevant pages (url, html) of the listed domains."""
-
-    @F.udf("title string, authors array<string>, abstract string, links array<string>", useArrow=True)
-    def read(html):
-        return E.citation_metadata(html) | {"links": E.pdf_links(html)}
-
-    rows = pages.where(U.is_journal_url(F.col("url"), domains)).select("url", read("html").alias("m")).select("url", "m.*")
+    read = by_slices(lambda html: E.citation_metadata(html) | {"links": E.pdf_links(html)}, "title string, authors array<string>, abstract string, links array<string>")
+    rows = X.computed(pages.where(U.is_journal_url(F.col("url"), domains)).select("url", "html"), "m", read("html")).select("url", "m.*")
     return rows.where(X.is_education_related(F.col("abstract"), F.col("title"), terms))
 
 
@@ -44,7 +41,7 @@ def journal_records(pages: DataFrame, pdfs: DataFrame, s: Settings = Settings(),
 
 def cleaner_records(pages: DataFrame, terms: Sequence[str] = V.CLEANER_WORDS, min_words: int = 30, least: int = 1) -> DataFrame:
     """(text, source, url, word_count, level) of pages (url, html) with enough words and terms."""
-    main = F.udf(lambda html: E.cleaner_html(html, min_words=min_words), "string", useArrow=True)
+    main = by_slices(lambda html: E.cleaner_html(html, min_words=min_words), "string")
     rows = X.computed(pages.select("url", main("html").alias("m")), "text", F.array_join(X.cleaner_lines(F.col("m")), "\n"))
     rows = rows.where(X.cleaner_valid(F.col("text"), terms, min_words, least))
     return rows.select("text", U.source_of(F.col("url")).alias("source"), "url", X.word_count(F.col("text")).cast("int").alias("word_count"), F.lit(V.OTHER_LEVEL).alias("level"))
@@ -53,15 +50,16 @@ def cleaner_records(pages: DataFrame, terms: Sequence[str] = V.CLEANER_WORDS, mi
 def experiment_records(pages: DataFrame, s: Settings = Settings(), keywords: Sequence[str] = V.TARGET_KEYWORDS, science: Sequence[str] = V.SCIENCE_TERMS, common: Sequence[str] = V.COMMON_WORDS) -> DataFrame:
     """Records of pages (url, html) by the page's stretches of text: long, good, in the language, relevant exactly or nearly."""
 
-    @F.udf("title string, content string", useArrow=True)
     def read(html):
         root = E.dom.parse(html or "")
         return {"title": E.title_of(root), "content": E.readable(root)}
 
-    rows = pages.select("url", read("html").alias("m")).select("url", "m.title", X.normalize_text(F.col("m.content")).alias("content"))
+    # each page is parsed once: a condition on a UDF's result would be pushed below it with the UDF
+    rows = X.computed(pages.select("url", "html"), "m", by_slices(read, "title string, content string")("html"))
+    rows = X.computed(rows.select("url", "m.title", "m.content").withColumnRenamed("content", "raw"), "content", X.normalize_text(F.col("raw"))).drop("raw")
     rows = rows.where(F.char_length("content") >= 100).withColumn("quality", X.extraction_quality(F.col("content"), F.col("title")))
     rows = rows.where((F.col("quality") >= s.min_quality) & X.is_language(F.col("content"), common, s.language_threshold))
-    rows = rows.withColumn("exact", X.relevance_score(F.col("content"), keywords)).withColumn("fuzzy", fuzzy_relevance(science)("content"))
+    rows = X.computed(rows.withColumn("exact", X.relevance_score(F.col("content"), keywords)), "fuzzy", fuzzy_relevance(science)("content"))
     rows = rows.where((F.col("exact") >= s.min_keywords) | (F.col("fuzzy.score") > 0))
     meta = F.struct(F.col("exact").alias("relevance_score"), F.col("fuzzy.score").alias("fuzzy_science_score"), F.col("fuzzy.hits").alias("fuzzy_science_hits"), F.col("quality").alias("extraction_quality"))
     return rows.select("url", "title", "content", X.word_count(F.col("content")).cast("int").alias("word_count"), meta.alias("metadata"))
