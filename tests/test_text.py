@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -141,3 +142,52 @@ def test_a_hundred_thousand_lines_in_time_of_their_number(spark):
 
     taken(100)
     assert taken(100_000) < 60 * max(1.0, taken(10_000))
+
+
+ODD = [None, "", " ", "\n", "a", "a b", " a", "a ", "a  b", "a\n\nb", "a\n\n\nb", "\n\na", "a\n\n", "a b", "a b 　", "\x1ca\x85b", "a​b", "“a” – b…", "a\tb\r\nc", "İ Σ ς ſ", "é", "é ", "a . . b", "...", "a.b c..", "ab ", "1 2 3 4", "1 2 3 4 5"]
+
+
+def test_short_ways_equal_plain_python(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "i int, t string")
+    t = F.col("t")
+    rows = df.select("t", X.stripped(X.given(t)).alias("s"), X.word_count(t).alias("n"), X.squeezed(t).alias("q"), X.words(t).alias("w"), X.has_words(t, 4).alias("h"), X.shorter(X.given(t), 3).alias("u"), X.flat(t).alias("f")).collect()
+    for r in rows:
+        x = r["t"] or ""
+        assert (r["s"], r["n"], r["q"], r["w"]) == (x.strip(), len(x.split()), " ".join(x.split()), x.split()), repr(x)
+        assert (r["h"], r["u"]) == (len(x.split()) >= 4, len(x) < 3), repr(x)
+        assert len(r["f"].split(" ")) == max(1, len(x.split())), repr(x)
+
+
+def test_language_is_the_share_of_listed_words(spark):
+    texts = ["the cat the", "the the", "thе then other", "a.b a+b x", "The\n\nCAT", "the x y z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    common = ["the", "a+b", "two words", ""]
+    got = [r[0] for r in df.select(X.is_language(F.col("t"), common, 0.3, 2)).collect()]
+    assert got == [sum(w in common for w in t.lower().split()) / len(t.split()) >= 0.3 for t in texts]
+
+
+def test_sentences_of_four_words_on_average(spark):
+    texts = ["one two three four five. " * 3 + ",;", "one two. three four. a, b; c", "... . . . a b c d, e", "a.b.c.d.e.f,g;h", "x " * 60 + ",,,", "four words are here. " * 2 + "a;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+
+    def plain(t):
+        sentences = [s.strip() for s in t.split(".") if s.strip()]
+        mean = sum(len(s.split()) for s in sentences) / len(sentences) >= 4 if sentences else True
+        return len(t.split()) >= 3 and sum(t.count(c) for c in ".!?,;:") >= 3 and mean
+
+    assert [r[0] for r in df.select(X.is_quality_content(F.col("t"), 3)).collect()] == [plain(t) for t in texts]
+
+
+def test_long_words_take_no_square_of_their_length(spark):
+    """A word without an address in a text with an "@" was scanned from each of its characters on."""
+    df = spark.createDataFrame([("x" * 200_000 + " @ \nmail me at some.one@example.org today, please do.",)], "t string")
+    start = time.monotonic()
+    df.select(X.clean_for_training(F.col("t"), compat=False)).collect()
+    assert time.monotonic() - start < 20
+
+
+def test_levels_by_word_lists_and_other_patterns(spark):
+    df = spark.createDataFrame([("a SMA b",), ("kelas 8",), ("KELAS 12",), ("asma",), ("ſd",), ("",)], "t string")
+    assert [r[0] for r in df.select(X.classify_level(F.col("t"))).collect()] == ["SMA", "SMP", "SMA", "Umum", "SD", "Umum"]
+    rules = [("x", r"\b(a|b)|c"), ("y", "d$")]
+    assert [r[0] for r in spark.createDataFrame([("zc",), ("zd",), ("a",), ("q",)], "t string").select(X.classify_level(F.col("t"), F.lit("zd"), rules)).collect()] == ["x", "y", "x", "y"]
