@@ -115,24 +115,39 @@ def class_of(inputs: np.ndarray) -> np.ndarray:
     return np.where(inputs < head, inputs // MEMBERS, inputs - head + CLASSES)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    np.negative(x, out=x)
-    with np.errstate(over="ignore"):
-        np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+@dataclass
+class Steps:
+    """A model's weights as steps use them, those of gates with the other sign."""
 
+    hidden: np.ndarray
+    gate_in: np.ndarray
+    new_bias: np.ndarray
 
-def _step(m: Gru, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The next state, and what the way back needs, from input ids and a state."""
-    g, u, n = m.gate_in[x], h @ m.hidden, HIDDEN
-    gates = _sigmoid(u[:, : 2 * n] + g[:, : 2 * n])
-    z, r = gates[:, :n], gates[:, n:]
-    un = u[:, 2 * n :]
-    un += m.new_bias
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """Gate sums of a window's input ids, (steps, sums, lanes)."""
+        return np.ascontiguousarray(self.gate_in[x].transpose(0, 2, 1))
+
+
+def _steps(m: Gru) -> Steps:
+    sign = np.where(np.arange(3 * HIDDEN) < 2 * HIDDEN, -1, 1).astype(m.hidden.dtype)
+    return Steps(np.ascontiguousarray((m.hidden * sign).T), m.gate_in * sign, m.new_bias[:, None])
+
+
+def _move(s: Steps, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The next state, and what the way back needs, from gate sums and a state: a column a lane, so that all runs along lanes.
+
+    Gates far below zero overflow on their way to zero; callers ignore that.
+    """
+    n, u = HIDDEN, s.hidden @ h
+    gates, un = u[: 2 * n], u[2 * n :]
+    gates += g[: 2 * n]
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
+    z, r = gates[:n], gates[n:]
+    un += s.new_bias
     new = r * un
-    new += g[:, 2 * n :]
+    new += g[2 * n :]
     np.tanh(new, out=new)
     out = h - new
     out *= z
@@ -140,48 +155,73 @@ def _step(m: Gru, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     return out, z, r, un, new
 
 
-def _logs_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log-softmax of each row at one place; ``z`` is used up."""
-    z -= z.max(axis=1, keepdims=True)
+def _step(m: Gru, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """:func:`_move` from input ids, with a row a lane."""
+    s = _steps(m)
+    with np.errstate(over="ignore"):
+        return tuple(a.T for a in _move(s, s.sums(x[None])[0], h.T))
+
+
+def _rows(a: np.ndarray) -> np.ndarray:
+    """(steps, values, lanes) as a row a step and lane."""
+    return a.transpose(0, 2, 1).reshape(-1, a.shape[1])
+
+
+#: Of every input id, in the smallest integers, which sort fastest.
+CLASS_OF = class_of(np.arange(N_INPUT)).astype(np.uint8)
+#: Logits whose exponentials, and sums of them, are normal numbers in single precision.
+TAME = 80
+
+
+def _exp(z: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of rows in place, up to a factor a row: the logit at one place, and the sum."""
+    if len(z) and not (z.max() < TAME and z.min() > -TAME):
+        z -= z.max(axis=1, keepdims=True)
     held = z[np.arange(len(z)), at]
     np.exp(z, out=z)
-    return held - np.log(z.sum(axis=1))
+    return held, z @ np.ones(z.shape[1], z.dtype)
+
+
+def _logs_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-softmax of each row at one place; ``z`` is used up."""
+    held, total = _exp(z, at)
+    return held - np.log(total)
 
 
 def _softmax(z: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, float]:
     """Probabilities of rows, in place, less one at ``at``, and the sum of the logs there."""
-    z -= z.max(axis=1, keepdims=True)
-    rows = np.arange(len(z))
-    held = float(z[rows, at].sum())
-    np.exp(z, out=z)
-    total = z.sum(axis=1, keepdims=True)
-    z /= total
-    z[rows, at] -= 1
-    return z, held - float(np.log(total).sum())
+    held, total = _exp(z, at)
+    z *= np.reciprocal(total)[:, None]
+    z[np.arange(len(z)), at] -= 1
+    return z, float(held.sum()) - float(np.log(total).sum())
 
 
 def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of head classes in order of class, and where each class begins among them."""
     order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+    cuts = np.cumsum([0, *np.bincount(cls, minlength=N_CLASS)[:CLASSES]])
     return order[: cuts[-1]], cuts
 
 
-def _member_logits(m: Gru, own: np.ndarray, cls: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+def _member_logits(m: Gru, own: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Of states in order of class."""
-    z = m.member_bias[cls]
+    z = np.empty((len(own), MEMBERS), own.dtype)
     for k in range(CLASSES):
-        z[cuts[k] : cuts[k + 1]] += own[cuts[k] : cuts[k + 1]] @ m.to_member[k]
+        part = z[cuts[k] : cuts[k + 1]]
+        np.matmul(own[cuts[k] : cuts[k + 1]], m.to_member[k], out=part)
+        part += m.member_bias[k]
     return z
 
 
 def token_logs(m: Gru, h: np.ndarray, x: np.ndarray) -> np.ndarray:
     """ln P(input id | state) of rows, up to the share inside a band or the rare class."""
-    cls = class_of(x)
-    out = _logs_at(h @ m.to_class + m.class_bias, cls)
+    cls = CLASS_OF[x]
+    z = h @ m.to_class
+    z += m.class_bias
+    out = _logs_at(z, cls)
     rows, cuts = _by_class(cls)
     if len(rows):
-        out[rows] += _logs_at(_member_logits(m, h[rows], cls[rows], cuts), x[rows] % MEMBERS)
+        out[rows] += _logs_at(_member_logits(m, h[rows], cuts), x[rows] % MEMBERS)
     return out
 
 
@@ -193,50 +233,62 @@ def _window(m: Gru, x: np.ndarray, keep: np.ndarray, h: np.ndarray) -> tuple[flo
     """
     n, (steps, lanes) = HIDDEN, x.shape
     grads = [np.zeros_like(p) for p in m.all()]
-    states, kept = np.empty((steps, lanes, n), m.hidden.dtype), []
-    for t in range(steps):
-        np.multiply(h, keep[t][:, None], out=states[t])
-        kept.append(_step(m, x[t], states[t]))
-        h = kept[-1][0]
-    flat, target = states.reshape(-1, n), x.ravel()
-    cls = class_of(target)
-    d, logs = _softmax(flat @ m.to_class + m.class_bias, cls)
+    states, kept, h = np.empty((steps, n, lanes), m.hidden.dtype), [], h.T
+    s = _steps(m)
+    sums = s.sums(x)
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            np.multiply(h, keep[t], out=states[t])
+            kept.append(_move(s, sums[t], states[t]))
+            h = kept[-1][0]
+    flat, target = _rows(states), x.ravel()
+    cls = CLASS_OF[target]
+    z = flat @ m.to_class
+    z += m.class_bias
+    d, logs = _softmax(z, cls)
     loss = -logs
     back = d @ m.to_class.T
-    grads[3], grads[4] = flat.T @ d, d.sum(axis=0)
+    grads[3], grads[4] = flat.T @ d, np.ones(len(d), d.dtype) @ d
     rows, cuts = _by_class(cls)
     if len(rows):
         own = flat[rows]
-        d, logs = _softmax(_member_logits(m, own, cls[rows], cuts), target[rows] % MEMBERS)
+        d, logs = _softmax(_member_logits(m, own, cuts), target[rows] % MEMBERS)
         loss -= logs
-        more = np.empty_like(own)
+        more, ones = np.empty_like(own), np.ones(len(own), own.dtype)
         for k in range(CLASSES):
             part = slice(cuts[k], cuts[k + 1])
             np.matmul(d[part], m.to_member[k].T, out=more[part])
-            grads[5][k], grads[6][k] = own[part].T @ d[part], d[part].sum(axis=0)
+            grads[5][k], grads[6][k] = own[part].T @ d[part], ones[part] @ d[part]
         back[rows] += more
-    back = back.reshape(steps, lanes, n)
+    back = np.ascontiguousarray(back.reshape(steps, lanes, n).transpose(0, 2, 1))
     dh = np.zeros_like(h)
-    du, new_sums = np.empty((steps, lanes, 3 * n), m.hidden.dtype), np.empty((steps, lanes, n), m.hidden.dtype)
+    du, new_sums = np.empty((steps, 3 * n, lanes), m.hidden.dtype), np.empty((steps, n, lanes), m.hidden.dtype)
     for t in range(steps - 1, -1, -1):
         _, z, r, un, new = kept[t]
         low = 1 - z
-        dn = np.multiply(dh * low, 1 - new * new, out=new_sums[t])
+        dn = np.multiply(new, new, out=new_sums[t])
+        np.subtract(1, dn, out=dn)
+        dn *= low
+        dn *= dh
         low *= z
-        np.multiply(dh * (states[t] - new), low, out=du[t, :, :n])
-        np.multiply(dn * un, r * (1 - r), out=du[t, :, n : 2 * n])
-        np.multiply(dn, r, out=du[t, :, 2 * n :])
+        low *= dh
+        np.multiply(states[t] - new, low, out=du[t, :n])
+        dr = np.multiply(dn, r, out=du[t, 2 * n :])
+        dr = np.multiply(dr, un, out=du[t, n : 2 * n])
+        dr *= 1 - r
         dh *= z
-        dh += du[t] @ m.hidden.T
+        dh += m.hidden @ du[t]
         dh += back[t]
-        dh *= keep[t][:, None]
-    du = du.reshape(-1, 3 * n)
-    grads[1], grads[2] = flat.T @ du, du[:, 2 * n :].sum(axis=0)
-    du[:, 2 * n :] = new_sums.reshape(-1, n)
-    order = np.argsort(target, kind="stable")
-    kinds, first = np.unique(target[order], return_index=True)
+        dh *= keep[t]
+    du = _rows(du)
+    grads[1], grads[2] = flat.T @ du, np.ones(len(du), du.dtype) @ du[:, 2 * n :]
+    du[:, 2 * n :] = _rows(new_sums)
+    order = np.argsort(target.astype(np.uint16), kind="stable")
+    per_kind = np.bincount(target, minlength=N_INPUT)
+    kinds = np.flatnonzero(per_kind)
+    first = np.cumsum(per_kind[kinds]) - per_kind[kinds]
     grads[0][kinds] = np.add.reduceat(du[order], first, axis=0)
-    return float(loss), grads, h
+    return float(loss), grads, h.T
 
 
 def _keep_memory() -> None:
@@ -296,27 +348,34 @@ def fit(texts: list[np.ndarray], seed: int = 5, rate: float = 0.008, rounds: int
 def score_texts(m: Gru, texts: list[np.ndarray]) -> np.ndarray:
     """ln P of whole texts (arrays of input ids), the state carried from window to window."""
     out = np.zeros(len(texts))
+    s = _steps(m)
     sizes = np.array([len(t) for t in texts])
     order = np.argsort(-sizes, kind="stable")
-    joined = np.concatenate([*texts, np.zeros(STEPS, np.int64)]) if len(texts) else np.zeros(STEPS, np.int64)
+    joined = np.concatenate([*texts, np.zeros(STEPS, np.int32)])
     begin = np.cumsum(sizes) - sizes
     for a in range(0, len(order), WIDE):
         rows = order[a : a + WIDE]
         size, at = sizes[rows], begin[rows]
-        h = np.zeros((len(rows), HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, len(rows)), np.float32)
         for start in range(0, size[0], STEPS):
             live = int(np.searchsorted(-size, -start))
             steps = min(STEPS, int(size[0]) - start)
             x = joined[np.minimum(at[None, :live] + start + np.arange(steps)[:, None], len(joined) - 1)]
-            h, states = h[:live], np.empty((steps, live, HIDDEN), np.float32)
-            for t in range(steps):
-                states[t] = h
-                if start + t + 1 < size[0]:
-                    h = _step(m, x[t], h)[0]
-            real = np.arange(steps)[:, None] < (size[:live] - start)[None, :]
-            logs = np.zeros(real.shape)
-            logs[real] = token_logs(m, states[real], x[real])
-            out[rows[:live]] += logs.sum(axis=0)
+            h, states = h[:, :live], np.empty((steps, HIDDEN, live), np.float32)
+            sums = s.sums(x)
+            with np.errstate(over="ignore"):
+                for t in range(steps):
+                    states[t] = h
+                    if start + t + 1 < size[0]:
+                        h = _move(s, sums[t], h)[0]
+            full = int(np.searchsorted(-size, -(start + steps), side="right"))  # texts that fill the window, the first ones
+            if full:
+                out[rows[:full]] += token_logs(m, _rows(states[:, :, :full]), x[:, :full].reshape(-1)).reshape(steps, full).sum(axis=0, dtype=float)
+            if full < live:
+                real = np.arange(steps)[:, None] < (size[full:live] - start)[None, :]
+                logs = np.zeros(real.shape)
+                logs[real] = token_logs(m, states.transpose(0, 2, 1)[:, full:][real], x[:, full:][real])
+                out[rows[full:live]] += logs.sum(axis=0)
     return out
 
 

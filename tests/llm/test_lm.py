@@ -168,3 +168,27 @@ def test_a_very_long_text_is_scored_whole(spark):
     rows = [(i, "satu dua tiga " * 50) for i in range(20)] + [(100, "satu dua tiga " * 60_000)]
     got = {r["doc_id"]: r for r in lm.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[100]["n_tokens"] == 180_001 and got[100]["score"] < got[0]["score"]
+
+
+def test_logits_beyond_single_precision_and_within_it():
+    """Rows are shifted by their maxima only if a logit could leave the range of exp; both ways agree with doubles."""
+    rng = np.random.default_rng(3)
+    for scale, add in ((1, 0), (30, 0), (100, 0), (1, 500), (1, -500)):
+        z = (rng.normal(size=(40, 45)) * scale + add).astype(np.float32)
+        at, d = rng.integers(0, 45, 40), z.astype(float)
+        want = d[np.arange(40), at] - d.max(axis=1) - np.log(np.exp(d - d.max(axis=1, keepdims=True)).sum(axis=1))
+        assert lm._logs_at(z.copy(), at) == pytest.approx(want, rel=1e-4, abs=1e-4)
+        rest, logs = lm._softmax(z.copy(), at)
+        assert logs == pytest.approx(want.sum(), rel=1e-4, abs=1e-3)
+        assert rest.sum(axis=1) == pytest.approx(0, abs=1e-4)
+
+
+def test_step_of_prepared_weights_against_the_plain_formula():
+    m, rng, n = lm.fresh(), np.random.default_rng(4), lm.HIDDEN
+    x, h = rng.integers(0, lm.N_INPUT, 9), rng.normal(size=(9, n)).astype(np.float32)
+    u, g = h @ m.hidden, m.gate_in[x]
+    z, r = (1 / (1 + np.exp(-(u + g)[:, k * n : (k + 1) * n])) for k in (0, 1))
+    new = np.tanh(g[:, 2 * n :] + r * (u[:, 2 * n :] + m.new_bias))
+    s = lm._steps(m)
+    assert lm._move(s, s.sums(x[None])[0], h.T)[0].T == pytest.approx(z * h + (1 - z) * new, abs=1e-5)
+    assert (lm.CLASS_OF == lm.class_of(np.arange(lm.N_INPUT))).all() and lm.CLASS_OF.dtype == np.uint8
