@@ -41,3 +41,30 @@ def test_every_document_as_a_search_of_all_windows_scores_it(spark):
     got = {r["doc_id"]: (r["score"], r["n"]) for r in queries.queries()["fuzzy_relevance"](spark, folder).collect()}
     want = {r["doc_id"]: plain(r["text"]) for r in docs}
     assert got == want and len(set(want.values())) > 3
+
+
+def test_whole_texts_however_long(monkeypatch):
+    import pyarrow.parquet as pq
+
+    from corpusloom.functions import fuzzy
+
+    texts = [" ".join((t or "").lower().split()) for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()]
+    long = [t for t in texts if len(t) > 8000]
+    hits = lambda t: [s for s in (100 if x in t else int(best_window(x, t)) for x in TERMS) if s >= LEAST]
+    want = [(max(h, default=0), len(h)) for h in map(hits, long)]
+    got = [fuzzy.science_hits(t, TERMS, LEAST) for t in long]
+    assert [(s, len(h)) for s, h in got] == want
+    assert any((s, len(h)) != w for (s, h), w in zip([fuzzy.science_hits(t, TERMS, LEAST, first=8000) for t in long], want, strict=True))
+    monkeypatch.setattr(fuzzy, "WINDOWS", 7)
+    for t in (*(t[:300] for t in long), "und d", "der", "d", "n der x und"):
+        for term in (*TERMS, "x"):
+            assert abs(fuzzy.partial_ratio(term, t) - best_window(term, t)) < 1e-9
+
+
+def test_the_experiment_finds_what_stands_at_a_long_page_s_end(spark):
+    from corpusloom.operators import journal
+
+    page = lambda end: "<p>" + "guru dan murid belajar yang di sekolah, " * 500 + end + "</p>"
+    pages = spark.createDataFrame([("u", page("lalu fotosintesis")), ("v", page("lalu gravitasi"))], "url string, html string")
+    rows = journal.experiment_records(pages, science=["fotosintesys"], keywords=["zzz"]).collect()
+    assert [(r["url"], r["metadata"]["fuzzy_science_score"]) for r in rows] == [("u", 91)]
